@@ -62,12 +62,6 @@ def weighted_avg(value: Column, weight: Column, exact: str) -> Column:
     return F.try_divide(total(value * weight, exact), total(weight, exact))
 
 
-def sample_std(value: Column, count: Column | None = None) -> Column:
-    """Sample standard deviation of a whole-number column from exact power sums; null for one row."""
-    v = value.cast("decimal(19,0)")
-    return std_from_sums(F.count(value), F.sum(v), F.sum((v * v).cast("decimal(38,0)")))
-
-
 def std_from_sums(n: Column, s: Column, s2: Column) -> Column:
     """Sample standard deviation from count, sum and sum of squares."""
     n = n.cast("double")

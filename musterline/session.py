@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+_local_dirs: dict[str, str] = {}
+
 
 def build_session(name: str = "musterline", master: str | None = None, **conf) -> SparkSession:
     """Session with the settings the jobs rely on; sizes stay with the cluster's defaults."""
@@ -38,9 +40,10 @@ def shared_dir(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="musterline-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="musterline-")
+    return _local_dirs[app]
 
 
 def scratch(spark: SparkSession, label: str) -> str:
