@@ -118,6 +118,19 @@ class Bindings:
             "last_updated",
         )
 
+    def reported_orgs(self) -> DataFrame:
+        """Organisations as reported, with flaws for the quality checks to find.
+
+        Every 50th reports a rate 5 points off and every 75th one person too many.
+        """
+        off = F.col("org_id") % 50 == 0
+        return self.orgs().withColumns(
+            {
+                "rate": F.when(off, (F.floor(F.col("rate") * 100) + 5) / 100.0).otherwise(F.col("rate")),
+                "non_nationals": F.col("non_nationals") + F.when(F.col("org_id") % 75 == 0, 1).otherwise(0),
+            }
+        )
+
     def people(self) -> DataFrame:
         """One person per order, employed by the customer who placed it."""
         key = F.col("o_orderkey")

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import gold, planning, silver
+from .operators import gold, planning, quality, silver
 from .plans.bindings import AS_OF, POLICY, Bindings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +46,28 @@ def _hires(b: Bindings, target: str | None = None) -> DataFrame:
     return planning.hires_to_target(_org(b), b.rules(), target, POLICY)
 
 
+def _dq_results(b: Bindings) -> DataFrame:
+    tables = {quality.ORGS: b.reported_orgs(), quality.PEOPLE: b.people()}
+    return quality.validate(tables, quality.catalogue(AS_OF, POLICY))
+
+
+def _dq_anomalies(b: Bindings) -> DataFrame:
+    return quality.anomalies(b.reported_orgs(), b.people())
+
+
+def _dq_warn(b: Bindings) -> DataFrame:
+    orgs = quality.violations(b.reported_orgs(), quality.org_expectations(POLICY))
+    return orgs.unionByName(quality.violations(b.people(), quality.people_expectations(AS_OF, POLICY)))
+
+
+def _dq_drop(b: Bindings) -> DataFrame:
+    wanted = ("person_salary_reasonable", "person_hire_date_not_future")
+    rules = [
+        replace(r, policy="drop") for r in quality.people_expectations(AS_OF, POLICY) if r.name in wanted
+    ]
+    return quality.check(b.people(), rules)[0]
+
+
 BATCH: dict[str, Callable[[Bindings], DataFrame]] = {
     "org_clean": _org,
     "person_clean": _person,
@@ -63,6 +86,16 @@ BATCH: dict[str, Callable[[Bindings], DataFrame]] = {
     "what_if": lambda b: planning.what_if(_org(b), b.rules(), SCENARIOS, POLICY),
     "top_hires": lambda b: planning.top_hires(_hires(b, POLICY.default_target)),
     "hires_by_tier": lambda b: planning.hires_by_tier(_hires(b, POLICY.default_target)),
+    "dq_validation": _dq_results,
+    "dq_summary": lambda b: quality.summary(_dq_results(b)),
+    "dq_anomalies": _dq_anomalies,
+    "dq_dashboard": lambda b: quality.dashboard(quality.summary(_dq_results(b)), _dq_anomalies(b)),
+    "dq_by_type": lambda b: quality.by_check_type(_dq_results(b)),
+    "dq_failed_rules": lambda b: quality.failed_rules(_dq_results(b)),
+    "dq_expect_warn": _dq_warn,
+    "dq_expect_drop": _dq_drop,
+    # Against the larger organisations only, so that there are orphans to find.
+    "dq_orphans": lambda b: quality.orphans(b.people(), b.orgs().filter("total > 10"), "org_id"),
 }
 
 
