@@ -107,14 +107,14 @@ def since(df: DataFrame, column: str, minutes: int, now: dt.datetime | Column) -
     return df.filter(F.col(column) > now - F.make_dt_interval(mins=F.lit(minutes)))
 
 
-def event_key(ts: Column, tie: Column) -> Column:
-    """One decimal that orders events by time, then by id.
+def event_key(time: Column, tie: Column) -> Column:
+    """One decimal that orders events by a whole-number time, then by id.
 
     A single fixed-width key keeps ``min_by`` / ``max_by`` in a hash aggregation;
     a struct key would make Spark sort every partition first.
     """
     spread = F.lit("20000000000000000000").cast("decimal(20,0)")
-    return F.unix_micros(ts).cast("decimal(18,0)") * spread + tie.cast("bigint")
+    return time.cast("decimal(18,0)") * spread + tie.cast("bigint")
 
 
 def opening(value: Column, key: Column) -> Column:

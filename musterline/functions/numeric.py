@@ -47,6 +47,11 @@ def mean(value: Column, places: int, stored: int = 0) -> Column:
     return ratio(F.sum(units), F.count(value) * F.lit(10**stored), places)
 
 
+def rounded(value: Column, places: int) -> Column:
+    """Half-up rounding of a computed double, its last-digit noise removed first."""
+    return F.round(value.cast("decimal(38,10)"), places).cast("double")
+
+
 def total(value: Column, exact: str) -> Column:
     """Sum of a double column, accumulated in the decimal type ``exact``."""
     return F.sum(value.cast(exact)).cast("double")

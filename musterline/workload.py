@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import replace
 from functools import partial
@@ -9,8 +10,13 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import gold, planning, quality, silver
+from .operators import gold, lookups, market, planning, quality, silver, trades
+from .plans import sql_functions
 from .plans.bindings import AS_OF, POLICY, Bindings
+from .session import scratch
+from .sinks import tables
+from .sources import files, wire
+from .streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,6 +74,113 @@ def _dq_drop(b: Bindings) -> DataFrame:
     return quality.check(b.people(), rules)[0]
 
 
+def _call(sql: str) -> Callable[[Bindings], DataFrame]:
+    """Query over the registered SQL functions, which read the bound tables through views."""
+
+    def run(b: Bindings) -> DataFrame:
+        views = {"orgs": b.orgs, "people": b.people, "rules": b.rules, "alerts": b.alerts}
+        names = {k: f"bound_{k}" for k in views}
+        for k, build in views.items():
+            build().createOrReplaceTempView(names[k])
+        sql_functions.register(b.spark, names, AS_OF, POLICY)
+        return b.spark.sql(sql)
+
+    return run
+
+
+def _trades(b: Bindings) -> DataFrame:
+    return trades.with_times(b.trades())
+
+
+def _ntz(df: DataFrame, *columns: str) -> DataFrame:
+    """Timestamps without zone, as the SQL check has them."""
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
+
+
+def _daily(b: Bindings) -> DataFrame:
+    """Trades with the day as their batch."""
+    day = F.datediff(F.col("trade_timestamp"), F.lit(dt.date(2024, 1, 1)))
+    return _trades(b).withColumn("batch_id", day.cast("bigint"))
+
+
+def _daily_alerts(b: Bindings) -> DataFrame:
+    return trades.trade_alerts(_daily(b), ["batch_id", "symbol"])
+
+
+LANDED_COLUMNS = [*wire.WIRE_FIELDS, "trade_value"]
+
+
+def _landing(b: Bindings, frame: DataFrame, label: str) -> tuple[str, str]:
+    """NDJSON files in a new shared folder, and a folder for the stream's output."""
+    base = scratch(b.spark, label)
+    tables.write_ndjson(frame, f"{base}/landing", max_rows=100_000)
+    return f"{base}/landing", base
+
+
+def _stream_raw(b: Bindings) -> DataFrame:
+    landing, base = _landing(b, b.trades(), "raw")
+    stream = files.trade_stream(b.spark, landing)
+    jobs.ingest_trades(stream, f"{base}/trades_raw", f"{base}/ckpt", name=None).awaitTermination()
+    raw = b.spark.read.schema(files.RAW).parquet(f"{base}/trades_raw")
+    return _ntz(raw.select(*LANDED_COLUMNS, "trade_timestamp"), "trade_timestamp")
+
+
+def _pipeline_table(name: str, schema: str, *drop: str) -> Callable[[Bindings], DataFrame]:
+    def run(b: Bindings) -> DataFrame:
+        landing, base = _landing(b, b.trades(), name)
+        jobs.pipeline(b.spark, landing, f"{base}/out", f"{base}/ckpt")
+        return b.spark.read.schema(schema).parquet(f"{base}/out/{name}").drop(*drop)
+
+    return run
+
+
+def _stream_windowed(b: Bindings) -> DataFrame:
+    landing, base = _landing(b, b.trades(), "windowed")
+    result = jobs.windowed_metrics(files.trade_stream(b.spark, landing), "1 hour", "10 minutes")
+    jobs.write_files(result, f"{base}/windows", f"{base}/ckpt").awaitTermination()
+    return _ntz(b.spark.read.schema(result.schema).parquet(f"{base}/windows"), "window_start", "window_end")
+
+
+def _stream_dedup(b: Bindings) -> DataFrame:
+    """Every third trade is landed twice more."""
+    copies = b.trades().filter("trade_id % 3 = 0")
+    landing, base = _landing(b, b.trades().unionByName(copies).unionByName(copies), "dedup")
+    result = jobs.dedup_trades(files.trade_stream(b.spark, landing), watermark="1 day", spread=8)
+    jobs.write_files(result, f"{base}/unique", f"{base}/ckpt").awaitTermination()
+    return b.spark.read.schema(result.schema).parquet(f"{base}/unique").select(*LANDED_COLUMNS)
+
+
+def _stream_normalise(b: Bindings) -> DataFrame:
+    base = scratch(b.spark, "wire")
+    b.wire_messages().write.text(f"{base}/messages")
+    result = wire.normalise_trades(files.message_stream(b.spark, f"{base}/messages"))
+    jobs.write_files(result, f"{base}/trades", f"{base}/ckpt").awaitTermination()
+    return b.spark.read.schema(result.schema).parquet(f"{base}/trades")
+
+
+def _ndjson_roundtrip(b: Bindings) -> DataFrame:
+    path = f"{scratch(b.spark, 'ndjson')}/trades"
+    tables.write_ndjson(b.trades(), path)
+    return files.read_ndjson(b.spark, path, files.LANDED)
+
+
+def _csv_roundtrip(b: Bindings) -> DataFrame:
+    """Organisations written as CSV and loaded twice; the second load finds nothing new."""
+    base = scratch(b.spark, "csv")
+    orgs = b.orgs()
+    orgs.write.option("header", True).csv(f"{base}/csv")
+    for _ in range(2):
+        loaded = files.load_csv(b.spark, f"{base}/csv", orgs.schema, f"{base}/table", f"{base}/ledger")
+    return loaded.drop("_ingestion_timestamp", "_source_file")
+
+
+def _layer_counts(b: Bindings) -> DataFrame:
+    views = {"orgs": _org, "people": _person, "gap": _gap, "alerts": Bindings.alerts}
+    for name, build in views.items():
+        build(b).createOrReplaceTempView(f"layer_{name}")
+    return tables.layer_counts(b.spark, [f"layer_{n}" for n in views] + ["layer_missing"]).drop("error")
+
+
 BATCH: dict[str, Callable[[Bindings], DataFrame]] = {
     "org_clean": _org,
     "person_clean": _person,
@@ -96,6 +209,51 @@ BATCH: dict[str, Callable[[Bindings], DataFrame]] = {
     "dq_expect_drop": _dq_drop,
     # Against the larger organisations only, so that there are orphans to find.
     "dq_orphans": lambda b: quality.orphans(b.people(), b.orgs().filter("total > 10"), "org_id"),
+    "tvf_org_status": _call("SELECT * FROM org_status('CUSTOMER#00000001')"),
+    "tvf_orgs_in_tier": _call("SELECT * FROM orgs_in_tier('high green')"),
+    "tvf_sector_summary": _call("SELECT * FROM sector_summary('U')"),
+    "tvf_sector_profile": lambda b: lookups.sector_profile(b.orgs(), b.benchmarks(), "BUILDING", POLICY),
+    "tvf_expiring_nationals": _call("SELECT * FROM expiring_nationals('customer#', 60)"),
+    "tvf_org_alerts": _call("SELECT * FROM org_alerts('#00000001')"),
+    "tvf_alerts_filtered": lambda b: lookups.org_alerts(b.alerts(), "#0000000", "High", True, POLICY),
+    "tvf_overall_summary": _call("SELECT * FROM overall_summary()"),
+    # One call per row of the left side.
+    "tvf_tier_thresholds": _call(
+        "SELECT t.*, s.orgs FROM (SELECT sector, size, count(*) AS orgs FROM bound_orgs GROUP BY sector, size) s, "
+        "LATERAL tier_thresholds(s.sector, s.size) t"
+    ),
+    "tvf_hires_needed": _call("SELECT * FROM hires_needed('#000000010', 'High Green')"),
+    "tvf_simulate_change": _call("SELECT * FROM simulate_change('#000000010', 5, 0, 0, 3)"),
+    "tvf_org_people": _call("SELECT * FROM org_people('customer#0000001')"),
+    "tvf_people_filtered": lambda b: lookups.org_people(b.people(), b.orgs(), "#", True, 30, AS_OF, POLICY),
+    "tvf_list_orgs": _call("SELECT * FROM list_orgs()"),
+    "tvf_compare": lambda b: lookups.compare(b.orgs(), ["#000000007", "#00000001", "#000000042", "nobody"], POLICY),
+    "trade_normalise": lambda b: wire.normalise_trades(b.wire_messages()),
+    "trade_metrics": lambda b: trades.trade_metrics(b.trades()),
+    "trade_alerts": lambda b: _ntz(trades.trade_alerts(b.trades()), "alert_time"),
+    "market_summary": lambda b: market.market_summary(b.trades()),
+    "market_lite": lambda b: market.market_lite(b.trades()),
+    "session_rollup": lambda b: market.session_rollup(trades.trade_metrics(_daily(b), ["batch_id", "symbol"])),
+    "volume_per_minute": lambda b: _ntz(market.volume_over_time(_trades(b), "minute"), "minute"),
+    "volume_per_second": lambda b: _ntz(market.volume_over_time(_trades(b), "second"), "second"),
+    "live_activity": lambda b: _ntz(
+        market.live_activity(_trades(b), 1440, F.lit("2024-01-30 12:00:00").cast("timestamp")), "second"
+    ),
+    "pressure": lambda b: market.pressure(b.trades()),
+    "recent_trades": lambda b: _ntz(market.recent_trades(_trades(b)), "trade_timestamp"),
+    "recent_alerts": lambda b: _ntz(market.recent_alerts(_daily_alerts(b)), "alert_time"),
+    "latest_trade": lambda b: market.latest_per_key(
+        b.trades(), ["symbol"], F.desc("trade_time"), F.desc("trade_id")
+    ).select("symbol", "trade_id", "price", "quantity"),
+    "stream_raw": _stream_raw,
+    "stream_metrics": _pipeline_table("trades_analytics", tables.METRICS, "window_start", "window_end", "batch_id"),
+    "stream_alerts": _pipeline_table("price_alerts", tables.ALERTS, "alert_time", "batch_id"),
+    "stream_windowed": _stream_windowed,
+    "stream_dedup": _stream_dedup,
+    "stream_normalise": _stream_normalise,
+    "ndjson_roundtrip": _ndjson_roundtrip,
+    "csv_roundtrip": _csv_roundtrip,
+    "layer_counts": _layer_counts,
 }
 
 

@@ -1 +1,13 @@
-SQL: dict[str, str] = {}
+"""Reports, feature tables, files and layer counts."""
+
+from .parts import query
+
+SQL = {
+    "csv_roundtrip": query("SELECT * FROM org", "org"),
+    "layer_counts": query(
+        """SELECT 'layer_orgs' AS name, count(*) AS rows FROM org UNION ALL SELECT 'layer_people', count(*) FROM person
+        UNION ALL SELECT 'layer_gap', count(*) FROM gap UNION ALL SELECT 'layer_alerts', count(*) FROM alert
+        UNION ALL SELECT 'layer_missing', NULL""",
+        "org", "person", "gap", "alert",
+    ),
+}
