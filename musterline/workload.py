@@ -10,7 +10,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import gold, lookups, market, planning, quality, silver, trades
+from .operators import features, gold, lookups, market, models, planning, quality, reports, silver, trades
 from .plans import sql_functions
 from .plans.bindings import AS_OF, POLICY, Bindings
 from .session import scratch
@@ -181,6 +181,27 @@ def _layer_counts(b: Bindings) -> DataFrame:
     return tables.layer_counts(b.spark, [f"layer_{n}" for n in views] + ["layer_missing"]).drop("error")
 
 
+def _features(b: Bindings) -> DataFrame:
+    return features.org_features(b.orgs(), b.people(), b.alerts(), POLICY)
+
+
+def _encoded(b: Bindings) -> DataFrame:
+    columns = ["sector", "size", "region", "tier"]
+    return features.encode(b.orgs(), columns).select("org_id", *[f"{c}_encoded" for c in columns])
+
+
+def _risk_model(b: Bindings) -> DataFrame:
+    table = _stored(b, _features(b), "features")
+    return models.risk_probabilities(models.fit_risk_model(table), table)
+
+
+def _stored(b: Bindings, frame: DataFrame, label: str) -> DataFrame:
+    """The frame from a table in the shared folder, for jobs that read it many times."""
+    path = scratch(b.spark, label)
+    frame.write.parquet(path)
+    return b.spark.read.parquet(path)
+
+
 BATCH: dict[str, Callable[[Bindings], DataFrame]] = {
     "org_clean": _org,
     "person_clean": _person,
@@ -254,6 +275,31 @@ BATCH: dict[str, Callable[[Bindings], DataFrame]] = {
     "ndjson_roundtrip": _ndjson_roundtrip,
     "csv_roundtrip": _csv_roundtrip,
     "layer_counts": _layer_counts,
+    "value_counts": lambda b: reports.value_counts(b.orgs(), "tier"),
+    "histogram": lambda b: reports.histogram(b.orgs().select((F.col("rate") * 100).alias("rate")), "rate", 20),
+    "crosstab": lambda b: reports.crosstab(b.orgs(), "sector", "size", POLICY.sizes),
+    "salary_by_sector": lambda b: reports.salary_by_sector(b.people(), b.orgs()),
+    "salary_by_department": lambda b: reports.describe_by(b.people(), "department", "salary"),
+    "sector_rate": lambda b: reports.mean_by(b.orgs(), "sector", "rate", times=100),
+    "org_features": _features,
+    "encoded": _encoded,
+    "class_weights": lambda b: features.class_weights(b.orgs(), "tier"),
+    "hash_split": lambda b: features.split(b.orgs(), "org_id").groupBy("is_test").count(),
+    "stratified_split": lambda b: features.stratified_split(b.orgs(), "org_id", "tier")
+    .groupBy("tier", "is_test")
+    .agg(F.count(F.lit(1)).alias("orgs")),
+}
+
+# Iterative: fitted when called.
+MODELS: dict[str, Callable[[Bindings], DataFrame]] = {
+    "tier_model": lambda b: models.classification_report(models.fit_tier_model(_stored(b, _features(b), "features"))),
+    "rate_model": lambda b: models.regression_report(
+        models.fit_rate_model(_stored(b, _features(b), "features")), "rate"
+    ),
+    "risk_model": _risk_model,
+    "salary_model": lambda b: models.regression_report(models.fit_salary_model(b.people(), b.orgs()), "salary"),
+    "segments": lambda b: models.segment_profiles(models.segment(_stored(b, _features(b), "features")).rows),
+    "pca_2d": lambda b: models.project2d(models.standardise(_features(b))).select("org_id", "pc1", "pc2"),
 }
 
 
@@ -262,4 +308,4 @@ def _bound(build: Callable[[Bindings], DataFrame], spark: SparkSession, folder:
 
 
 def all_queries() -> dict[str, Query]:
-    return {name: partial(_bound, build) for name, build in BATCH.items()}
+    return {name: partial(_bound, build) for name, build in {**BATCH, **MODELS}.items()}
