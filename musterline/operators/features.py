@@ -122,23 +122,24 @@ def stratified_split(
 
     Each label's rows are cut into hash slices. Counting the slices tells which lie
     wholly on the test side; only the one slice where the quota ends has to be
-    ranked row by row. No task ever holds a whole label.
+    ranked row by row. No task ever holds a whole label. Rows without a label are left out.
     """
-    sliced = df.withColumn("_slice", F.pmod(_draw(key, seed), F.lit(slices)))
+    rank = F.row_number().over(Window.partitionBy(label, "_slice").orderBy(_draw(key, seed), key))
+    sliced = df.filter(F.col(label).isNotNull()).withColumn("_slice", F.pmod(_draw(key, seed), F.lit(slices)))
     counts = sliced.groupBy(label, "_slice").agg(F.count(F.lit(1)).alias("_n"))
     whole = Window.partitionBy(label)
     # At most ``slices`` rows per label.
     edges = (
         counts.withColumn("_quota", F.round(F.sum("_n").over(whole) * fraction, 0).cast("bigint"))
         .withColumn("_upto", F.sum("_n").over(whole.orderBy("_slice")))
-        .withColumn("_left", F.col("_quota") - (F.col("_upto") - F.col("_n")))
-        .select(F.col(label).alias("_label"), F.col("_slice").alias("_edge_slice"), "_left", "_n")
+        .select(label, "_slice", (F.col("_quota") - F.col("_upto") + F.col("_n")).alias("_left"))
     )
-    joined = sliced.join(
-        edges, F.col(label).eqNullSafe(F.col("_label")) & (F.col("_slice") == F.col("_edge_slice")), "inner"
+    ranked = sliced.withColumn("_rank", rank)
+    return (
+        ranked.join(edges, [label, "_slice"])
+        .withColumn("is_test", F.col("_rank") <= F.col("_left"))
+        .select(*df.columns, "is_test")
     )
-    rank = F.row_number().over(Window.partitionBy(label, "_slice").orderBy(_draw(key, seed), key))
-    return joined.withColumn("is_test", rank <= F.col("_left")).select(*df.columns, "is_test")
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:

@@ -14,7 +14,7 @@ from musterline.session import build_session
 folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
 names = sys.argv[2:]
 spark = build_session(
-    "check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "16g"}
+    "check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g"}
 )
 spark.sparkContext.setLogLevel("ERROR")
 con = connect(folder)
