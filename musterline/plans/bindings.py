@@ -19,6 +19,19 @@ SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 POLICY = replace(Policy(), national="N", sectors=SEGMENTS)
 
 
+# Columns of the test tables that are used. A reader with a schema opens no file to infer one.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 class Bindings:
     """Raw frames over one folder of test tables."""
 
@@ -28,7 +41,7 @@ class Bindings:
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def rules(self) -> DataFrame:
         """Thresholds for 5 sectors x 4 sizes: a base plus a step per size and per sector.

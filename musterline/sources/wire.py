@@ -7,44 +7,62 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# One-letter keys of the feed and the type of each landed column.
+# One-letter keys of the feed and their JSON types, by landed column.
 WIRE_FIELDS = {
     "event_type": ("e", "string"),
     "event_time": ("E", "bigint"),
     "symbol": ("s", "string"),
     "trade_id": ("t", "bigint"),
-    "price": ("p", "double"),
-    "quantity": ("q", "double"),
+    "price": ("p", "string"),
+    "quantity": ("q", "string"),
     "buyer_order_id": ("b", "bigint"),
     "seller_order_id": ("a", "bigint"),
     "trade_time": ("T", "bigint"),
     "is_buyer_maker": ("m", "boolean"),
 }
+NUMBERS_AS_TEXT = ("price", "quantity")
 TRADE = "trade"
 
 
 def parse_event(message: Column) -> Column:
-    """Event as a map of its keys, out of the envelope if there is one; null for text that is not JSON.
-
-    A map, because the feed has keys that differ only in case.
-    """
+    """Event as a map of its keys, out of the envelope if there is one; null for text that is not JSON."""
     body = F.coalesce(F.get_json_object(message, "$.data"), message)
     return F.from_json(body, "map<string,string>")
 
 
+def _events(messages: DataFrame, column: str) -> DataFrame:
+    """Typed events, enveloped or not, from one parse of each message.
+
+    The feed has keys that differ only in case, so the parsed structs are turned
+    into columns and renamed by position. As generated columns they are computed
+    once, however often later filters and projections use them.
+    """
+    keys = list(WIRE_FIELDS.values())
+    inner = ", ".join(f"{key}: {kind}" for key, kind in keys)
+    outer = ", ".join(f"{key} {kind}" for key, kind in keys)
+    parsed = F.from_json(F.col(column), f"data struct<{inner}>, {outer}")
+    bare = [f"bare_{name}" for name in WIRE_FIELDS]
+    top = messages.select(F.inline(F.array(parsed))).toDF("data", *bare)
+    both = top.select("data", *bare, F.inline(F.array("data"))).toDF("data", *bare, *WIRE_FIELDS)
+    enveloped = F.col("data").isNotNull()
+    return both.select(
+        *[F.when(enveloped, F.col(n)).otherwise(F.col(b)).alias(n) for n, b in zip(WIRE_FIELDS, bare)]
+    )
+
+
 def normalise_trades(
     messages: DataFrame, column: str = "message", now: dt.datetime | Column | None = None, producer: str | None = None
 ) -> DataFrame:
-    """Trades with named, typed columns and their value; other events and malformed text are left out."""
-    event = F.col("event")
-    fields = [
-        event[key].try_cast(kind).alias(name) if kind != "string" else event[key].alias(name)
-        for name, (key, kind) in WIRE_FIELDS.items()
-    ]
+    """Trades with named, typed columns and their value.
+
+    Other events are left out, as is text that is not JSON or has no readable price and quantity.
+    """
+    numbers = {name: F.col(name).try_cast("double") for name in NUMBERS_AS_TEXT}
     out = (
-        messages.select(parse_event(F.col(column)).alias("event"))
-        .filter(event[WIRE_FIELDS["event_type"][0]] == TRADE)
-        .select(*fields)
+        _events(messages, column)
+        .filter(F.col("event_type") == TRADE)
+        .withColumns(numbers)
+        .filter(F.col("price").isNotNull() & F.col("quantity").isNotNull())
         .withColumn("trade_value", F.col("price") * F.col("quantity"))
     )
     if now is not None:
