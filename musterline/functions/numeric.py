@@ -52,19 +52,28 @@ def rounded(value: Column, places: int) -> Column:
     return F.round(value.cast("decimal(38,10)"), places).cast("double")
 
 
-def total(value: Column, exact: str) -> Column:
-    """Sum of a double column, accumulated in the decimal type ``exact``."""
-    return F.sum(value.cast(exact)).cast("double")
+def total(value: Column, places: int) -> Column:
+    """Sum of a double column to ``places`` decimals, the same in whatever order rows arrive.
+
+    Values are summed as whole units of the last decimal. Turning a double into a
+    whole number is far cheaper than into a decimal, which is left to the values
+    too large for it.
+    """
+    units = F.when(
+        F.abs(value) < F.lit(9e18 / 10**places), F.floor(value * F.lit(float(10**places)) + F.lit(0.5)).cast("decimal(28,0)")
+    ).otherwise((value.cast(f"decimal(38,{places})") * F.lit(10**places)).cast("decimal(28,0)"))
+    unit = F.lit(f"{10**-places:.{places}f}").cast(f"decimal({places + 1},{places})")
+    return (F.sum(units).cast("decimal(28,0)") * unit).cast("double")
 
 
-def average(value: Column, exact: str) -> Column:
+def average(value: Column, places: int) -> Column:
     """Average of a double column over an exact sum."""
-    return F.try_divide(total(value, exact), F.count(value).cast("double"))
+    return F.try_divide(total(value, places), F.count(value).cast("double"))
 
 
-def weighted_avg(value: Column, weight: Column, exact: str) -> Column:
+def weighted_avg(value: Column, weight: Column, places: int) -> Column:
     """Mean of ``value`` weighted by ``weight`` (VWAP for price and quantity)."""
-    return F.try_divide(total(value * weight, exact), total(weight, exact))
+    return F.try_divide(total(value * weight, places), total(weight, places))
 
 
 def std_from_sums(n: Column, s: Column, s2: Column) -> Column:

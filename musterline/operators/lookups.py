@@ -60,7 +60,7 @@ def _sector_measures(policy: Policy) -> list:
         F.count(F.lit(1)).alias("orgs"),
         F.sum("total").alias("workforce"),
         F.sum("nationals").alias("nationals"),
-        N.rounded(N.average(F.col("rate") * 100, "decimal(28,10)"), 2).alias("avg_rate_pct"),
+        N.rounded(N.average(F.col("rate") * 100, 10), 2).alias("avg_rate_pct"),
         N.count_where(tier == policy.graded[0]).alias("platinum_orgs"),
         N.count_where(tier.contains(policy.family)).alias("green_orgs"),
         N.count_where(tier == policy.floor_tier).alias("yellow_orgs"),

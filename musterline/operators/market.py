@@ -25,7 +25,7 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], *order: Column) -> DataFr
 
 
 def _value_where(condition: Column, policy: TradePolicy) -> Column:
-    return N.total(F.when(condition, F.col("trade_value")).otherwise(0.0), policy.exact)
+    return N.total(F.when(condition, F.col("trade_value")).otherwise(0.0), policy.places)
 
 
 def market_summary(trades: DataFrame, policy: TradePolicy = TradePolicy()) -> DataFrame:
@@ -36,11 +36,11 @@ def market_summary(trades: DataFrame, policy: TradePolicy = TradePolicy()) -> Da
         C.closing(F.col("price"), key).alias("last"),
         C.opening(F.col("price"), key).alias("open"),
         F.count(F.lit(1)).alias("total_trades"),
-        N.total(F.col("trade_value"), policy.exact).alias("value"),
+        N.total(F.col("trade_value"), policy.places).alias("value"),
         F.min("price").alias("low"),
         F.max("price").alias("high"),
-        N.total(F.when(~maker, quantity).otherwise(0.0), policy.exact).alias("bought"),
-        N.total(F.when(maker, quantity).otherwise(0.0), policy.exact).alias("sold"),
+        N.total(F.when(~maker, quantity).otherwise(0.0), policy.places).alias("bought"),
+        N.total(F.when(maker, quantity).otherwise(0.0), policy.places).alias("sold"),
     )
     return per_symbol.select(
         "symbol",
@@ -60,10 +60,10 @@ def market_lite(trades: DataFrame, policy: TradePolicy = TradePolicy()) -> DataF
         trades.groupBy("symbol")
         .agg(
             F.count(F.lit(1)).alias("total_trades"),
-            F.round(N.total(F.col("trade_value"), policy.exact), 2).alias("total_volume_value"),
+            F.round(N.total(F.col("trade_value"), policy.places), 2).alias("total_volume_value"),
             F.round(F.min("price"), 2).alias("low"),
             F.round(F.max("price"), 2).alias("high"),
-            N.rounded(N.average(F.col("price"), policy.exact), 2).alias("avg_price"),
+            N.rounded(N.average(F.col("price"), policy.places), 2).alias("avg_price"),
         )
         .orderBy(F.desc("total_volume_value"), "symbol")
     )
@@ -75,7 +75,7 @@ def session_rollup(metrics: DataFrame, policy: TradePolicy = TradePolicy()) -> D
         metrics.groupBy("symbol")
         .agg(
             F.sum("trade_count").alias("total_trades"),
-            F.round(N.total(F.col("total_value"), policy.exact), 2).alias("total_volume_value"),
+            F.round(N.total(F.col("total_value"), policy.places), 2).alias("total_volume_value"),
             N.mean(F.col("vwap"), 2, stored=4).alias("avg_vwap"),
             F.round(F.min("min_price"), 2).alias("session_low"),
             F.round(F.max("max_price"), 2).alias("session_high"),
@@ -89,8 +89,8 @@ def volume_over_time(trades: DataFrame, unit: str = "minute", policy: TradePolic
     """Trades, value and mean price per symbol and time unit."""
     return trades.groupBy(F.date_trunc(unit, "trade_timestamp").alias(unit), "symbol").agg(
         F.count(F.lit(1)).alias("trades"),
-        F.round(N.total(F.col("trade_value"), policy.exact), 2).alias("volume_value"),
-        N.rounded(N.average(F.col("price"), policy.exact), 2).alias("avg_price"),
+        F.round(N.total(F.col("trade_value"), policy.places), 2).alias("volume_value"),
+        N.rounded(N.average(F.col("price"), policy.places), 2).alias("avg_price"),
     )
 
 
@@ -101,7 +101,7 @@ def live_activity(trades: DataFrame, minutes: int, now: dt.datetime | Column, po
         .groupBy(F.date_trunc("second", "trade_timestamp").alias("second"), "symbol")
         .agg(
             F.count(F.lit(1)).alias("trades"),
-            N.rounded(N.average(F.col("price"), policy.exact), 2).alias("price"),
+            N.rounded(N.average(F.col("price"), policy.places), 2).alias("price"),
         )
         .orderBy(F.desc("second"), "symbol")
     )

@@ -27,7 +27,7 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     values = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
     low = values.agg(F.min("v")).scalar()
     high = values.agg(F.max("v")).scalar()
-    mean = values.agg(N.average(F.col("v"), "decimal(28,10)")).scalar()
+    mean = values.agg(N.average(F.col("v"), 10)).scalar()
     place = F.floor(F.try_divide((F.col("v") - low) * bins, high - low))
     counted = (
         values.select(F.least(F.coalesce(place, F.lit(0)), F.lit(bins - 1)).cast("bigint").alias("bin"))
@@ -101,7 +101,7 @@ def salary_by_sector(people: DataFrame, orgs: DataFrame, places: int = 0) -> Dat
 
 def mean_by(df: DataFrame, key: str, value: str, times: int = 1, places: int = 2) -> DataFrame:
     """Mean of a double per group, lowest first."""
-    mean = N.average(F.col(value) * times, "decimal(28,10)")
+    mean = N.average(F.col(value) * times, 10)
     return (
         df.filter(F.col(key).isNotNull())
         .groupBy(key)

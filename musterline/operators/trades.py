@@ -35,17 +35,17 @@ def trade_metrics(
     task and symbol is shuffled.
     """
     price, quantity, maker = F.col("price"), F.col("quantity"), F.col("is_buyer_maker")
-    exact = policy.exact
+    places = policy.places
     grouped = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("trade_count"),
-        N.total(quantity, exact).alias("volume"),
-        N.total(F.col("trade_value"), exact).alias("value"),
-        N.weighted_avg(price, quantity, exact).alias("vwap_raw"),
-        N.average(price, exact).alias("avg_raw"),
+        N.total(quantity, places).alias("volume"),
+        N.total(F.col("trade_value"), places).alias("value"),
+        N.weighted_avg(price, quantity, places).alias("vwap_raw"),
+        N.average(price, places).alias("avg_raw"),
         F.min("price").alias("low"),
         F.max("price").alias("high"),
-        N.total(F.when(~maker, quantity).otherwise(0.0), exact).alias("bought"),
-        N.total(F.when(maker, quantity).otherwise(0.0), exact).alias("sold"),
+        N.total(F.when(~maker, quantity).otherwise(0.0), places).alias("bought"),
+        N.total(F.when(maker, quantity).otherwise(0.0), places).alias("sold"),
         *[measure.alias(name) for name, measure in (extra or {}).items()],
     )
     return grouped.select(
@@ -77,7 +77,7 @@ def trade_alerts(df: DataFrame, keys: Sequence[str] = ("symbol",), policy: Trade
             F.count(F.lit(1)).alias("trade_count"),
             C.opening(F.col("price"), key).alias("previous_price"),
             C.closing(F.col("price"), key).alias("current_price"),
-            N.total(F.col("quantity"), policy.exact).alias("volume_in_window"),
+            N.total(F.col("quantity"), policy.places).alias("volume_in_window"),
             F.max("trade_time").alias("last_trade_time"),
         )
         .withColumn(

@@ -89,8 +89,8 @@ class TradePolicy:
     high_move_pct: float = 0.5
     busy_trades: int = 2
     ratio_guard: float = 0.0001
-    # Sums are kept in this type: the same whatever the split into tasks.
-    exact: str = "decimal(28,8)"
+    # Decimals kept in sums of prices and quantities.
+    places: int = 8
 
 
 @dataclass(frozen=True)
