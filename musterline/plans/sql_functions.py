@@ -133,7 +133,10 @@ def definitions(names: Mapping[str, str], as_of: dt.date, policy: Policy) -> dic
 def register(
     spark: SparkSession, names: Mapping[str, str], as_of: dt.date, policy: Policy = Policy(), db: str | None = None
 ) -> list[str]:
-    """Create the functions, in database ``db`` or, without one, for this session only."""
+    """Create the functions, in database ``db`` or, without one, for this session only.
+
+    Table functions are called by plain name, so run ``USE`` on their database first.
+    """
     kind = "FUNCTION" if db else "TEMPORARY FUNCTION"
     prefix = f"{db}." if db else ""
     created = []
