@@ -24,6 +24,23 @@ def find_org(orgs: DataFrame, name: str) -> DataFrame:
     return first_match(orgs, C.name_like(F.col("name"), name), "name", "org_id")
 
 
+# Up to this many matching organisations are looked up by id, which the file scan can use.
+MOST_IDS = 1000
+
+
+def people_of(people: DataFrame, orgs: DataFrame, name: str, most: int = MOST_IDS) -> DataFrame:
+    """People of all organisations whose name contains ``name``.
+
+    A small job first sees how many match. A few become a filter on the people scan,
+    so a lookup does not shuffle every person; more, or repeated ids, are joined.
+    """
+    matching = orgs.filter(C.name_like(F.col("name"), name)).select("org_id")
+    ids = [r["org_id"] for r in matching.limit(most + 1).collect()]
+    if len(ids) <= most and len(set(ids)) == len(ids):
+        return people.filter(F.col("org_id").isin(ids))
+    return people.join(matching, "org_id")
+
+
 def _status_columns(policy: Policy) -> list:
     return [
         "org_id",
@@ -96,10 +113,8 @@ def expiring_nationals(
     """Nationals of matching organisations whose contract ends from today to ``days`` ahead, both days included."""
     today = C.as_date(as_of)
     ending = (F.col("nationality") == policy.national) & F.col("contract_end").between(today, F.date_add(today, days))
-    matching = orgs.filter(C.name_like(F.col("name"), name)).select("org_id")
     return (
-        people.filter(ending)
-        .join(matching, "org_id")
+        people_of(people.filter(ending), orgs, name)
         .select(
             "person_id",
             "job_title",
@@ -209,10 +224,8 @@ def org_people(
     if expiring_days is not None:
         today = C.as_date(as_of)
         conditions.append(F.col("contract_end").between(today, F.date_add(today, expiring_days)))
-    matching = orgs.filter(C.name_like(F.col("name"), name)).select("org_id")
     return (
-        C.where_all(people, conditions)
-        .join(matching, "org_id")
+        people_of(C.where_all(people, conditions), orgs, name)
         .select(
             "person_id",
             "nationality",

@@ -16,6 +16,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import columns as C
 from ..session import shared_dir
 from . import features as FE
 
@@ -80,9 +81,12 @@ def _fit(marked: DataFrame, features: Sequence[str], stages: Sequence) -> Fitted
 
 def fit_tier_model(table: DataFrame, trees: int = 100, depth: int = 10, seed: int = 42) -> Fitted:
     """Random forest for the tier, balanced by class weights, on a stratified split."""
-    table = FE.encode(table, ENCODED).drop("weight")
-    weights = FE.class_weights(table, "tier").select("tier", F.col("balanced_weight").alias("weight"))
-    marked = FE.stratified_split(table, "org_id", "tier", seed=seed).join(weights, "tier")
+    table = FE.encode(table, ENCODED)
+    # A classifier has few classes; their weights become a CASE instead of a join on a hot key.
+    weights = {r["tier"]: r["balanced_weight"] for r in FE.class_weights(table, "tier").collect()}
+    marked = FE.stratified_split(table, "org_id", "tier", seed=seed).withColumn(
+        "weight", C.map_values(F.col("tier"), {t: w for t, w in weights.items() if t is not None}, 1.0)
+    )
     labels = StringIndexer(inputCol="tier", outputCol="label", stringOrderType="alphabetAsc").fit(marked)
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, weightCol="weight", labelCol="label")
     names = IndexToString(inputCol="prediction", outputCol="predicted_tier", labels=labels.labels)
@@ -99,13 +103,12 @@ def fit_rate_model(table: DataFrame, trees: int = 100, depth: int = 5, step: flo
 def fit_risk_model(table: DataFrame, trees: int = 100, depth: int = 5, step: float = 0.1, seed: int = 42) -> Fitted:
     """Boosted trees for the risk label; the risky class weighs as much as the rest together."""
     marked = FE.split(FE.encode(table, ENCODED), "org_id", seed=seed)
-    weights = FE.class_weights(marked.filter(~F.col("is_test")), "at_risk").select(
-        "at_risk", F.when(F.col("at_risk") == 1, F.col("rest_ratio")).otherwise(1.0).alias("weight")
-    )
+    weights = {r["at_risk"]: r["rest_ratio"] for r in FE.class_weights(marked.filter(~F.col("is_test")), "at_risk").collect()}
+    weighted = marked.withColumn("weight", F.when(F.col("at_risk") == 1, float(weights.get(1, 1.0))).otherwise(1.0))
     boosted = GBTClassifier(
         labelCol="at_risk", weightCol="weight", maxIter=trees, maxDepth=depth, stepSize=step, seed=seed
     )
-    return _fit(marked.join(weights, "at_risk", "left").fillna(1.0, ["weight"]), RISK_FEATURES, [boosted])
+    return _fit(weighted, RISK_FEATURES, [boosted])
 
 
 def risk_probabilities(fitted: Fitted, table: DataFrame) -> DataFrame:

@@ -78,44 +78,56 @@ def hires_to_target(
     )
 
 
-def hiring_plan(hires: DataFrame, capacity: int = 3, salary: int = 8000) -> DataFrame:
-    """Month-by-month plan of every organisation that has to hire.
+def _month(month: Column, capacity: int, salary: int) -> dict[str, Column]:
+    """One month of an organisation's plan.
 
     All months but the last hire at full capacity, so the running totals have a
     closed form: every month is computed from its own row, without a window or shuffle.
     """
     need = F.col("hires")
-    month = F.col("month")
     done = F.least(month * capacity, need)
-    this_month = F.least(F.lit(capacity).cast("bigint"), need - (month - 1) * capacity)
-    months = N.ceil_div(need, F.lit(capacity))
-    return (
-        hires.filter(need > 0)
-        .withColumn("months_to_complete", months)
-        .withColumn("month", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("months_to_complete"))))
-        .select(
-            "org_id",
-            "target_tier",
-            "month",
-            "months_to_complete",
-            need.alias("total_hires"),
-            this_month.alias("hires_this_month"),
-            done.alias("cumulative_hires"),
-            N.pct(F.col("nationals") + done, F.col("total") + done, 2).alias("projected_rate_pct"),
-            (this_month * salary).alias("new_payroll"),
-            (done * salary).alias("cumulative_payroll"),
-            (need * salary * 12).alias("annual_cost"),
-        )
-    )
+    now = F.least(F.lit(capacity).cast("bigint"), need - (month - 1) * capacity)
+    return {
+        "month": month,
+        "hires_this_month": now,
+        "cumulative_hires": done,
+        "projected_rate_pct": N.pct(F.col("nationals") + done, F.col("total") + done, 2),
+        "new_payroll": now * salary,
+        "cumulative_payroll": done * salary,
+    }
 
 
-def plan_documents(plan: DataFrame) -> DataFrame:
-    """Plan as one nested document per organisation and target, months in order."""
-    months = F.struct(
-        "month", "hires_this_month", "cumulative_hires", "projected_rate_pct", "new_payroll", "cumulative_payroll"
+def _to_plan(hires: DataFrame, capacity: int) -> tuple[DataFrame, Column]:
+    months = N.ceil_div(F.col("hires"), F.lit(capacity))
+    planned = hires.filter(F.col("hires") > 0).withColumn("months_to_complete", months)
+    return planned, F.sequence(F.lit(1).cast("bigint"), F.col("months_to_complete"))
+
+
+def hiring_plan(hires: DataFrame, capacity: int = 3, salary: int = 8000) -> DataFrame:
+    """Month-by-month plan of every organisation that has to hire."""
+    planned, months = _to_plan(hires, capacity)
+    rows = _month(F.col("month"), capacity, salary)
+    return planned.withColumn("month", F.explode(months)).select(
+        "org_id",
+        "target_tier",
+        "months_to_complete",
+        F.col("hires").alias("total_hires"),
+        *[value.alias(name) for name, value in rows.items()],
+        (F.col("hires") * salary * 12).alias("annual_cost"),
     )
-    return plan.groupBy("org_id", "target_tier", "total_hires", "months_to_complete", "annual_cost").agg(
-        F.array_sort(F.collect_list(months)).alias("monthly_plan")
+
+
+def plan_documents(hires: DataFrame, capacity: int = 3, salary: int = 8000) -> DataFrame:
+    """The same plan as one nested document per organisation and target, months in order."""
+    planned, months = _to_plan(hires, capacity)
+    as_struct = lambda m: F.struct(*[value.alias(name) for name, value in _month(m, capacity, salary).items()])
+    return planned.select(
+        "org_id",
+        "target_tier",
+        "months_to_complete",
+        F.col("hires").alias("total_hires"),
+        (F.col("hires") * salary * 12).alias("annual_cost"),
+        F.transform(months, as_struct).alias("monthly_plan"),
     )
 
 

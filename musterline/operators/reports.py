@@ -4,18 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import numeric as N
 
 
 def value_counts(df: DataFrame, column: str, share_places: int = 1) -> DataFrame:
-    """Rows per value with their share in percent, most frequent first; nulls are left out."""
-    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("count"))
-    # One row per value by now.
-    share = N.pct(F.col("count"), F.sum("count").over(Window.partitionBy()), share_places)
-    return counts.withColumn("share_pct", share).orderBy(F.desc("count"), column)
+    """Rows per value with their share in percent, most frequent first; nulls are left out.
+
+    The total is a scalar subquery, so a column of very many values is not gathered for it.
+    """
+    known = df.filter(F.col(column).isNotNull())
+    total = known.agg(F.count(F.lit(1))).scalar()
+    counts = known.groupBy(column).agg(F.count(F.lit(1)).alias("count"))
+    return counts.withColumn("share_pct", N.pct(F.col("count"), total, share_places)).orderBy(F.desc("count"), column)
 
 
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:

@@ -119,7 +119,7 @@ def dedup_trades(
     return timed.dropDuplicatesWithinWatermark([key])
 
 
-def pipeline(
+def chain(
     spark: SparkSession,
     landing: str,
     out: str,

@@ -125,10 +125,10 @@ def _stream_raw(b: Bindings) -> DataFrame:
     return _ntz(raw.select(*LANDED_COLUMNS, "trade_timestamp"), "trade_timestamp")
 
 
-def _pipeline_table(name: str, schema: str, *drop: str) -> Callable[[Bindings], DataFrame]:
+def _chained_table(name: str, schema: str, *drop: str) -> Callable[[Bindings], DataFrame]:
     def run(b: Bindings) -> DataFrame:
         landing, base = _landing(b, b.trades(), name)
-        jobs.pipeline(b.spark, landing, f"{base}/out", f"{base}/ckpt")
+        jobs.chain(b.spark, landing, f"{base}/out", f"{base}/ckpt")
         return b.spark.read.schema(schema).parquet(f"{base}/out/{name}").drop(*drop)
 
     return run
@@ -267,8 +267,8 @@ BATCH: dict[str, Callable[[Bindings], DataFrame]] = {
         b.trades(), ["symbol"], F.desc("trade_time"), F.desc("trade_id")
     ).select("symbol", "trade_id", "price", "quantity"),
     "stream_raw": _stream_raw,
-    "stream_metrics": _pipeline_table("trades_analytics", tables.METRICS, "window_start", "window_end", "batch_id"),
-    "stream_alerts": _pipeline_table("price_alerts", tables.ALERTS, "alert_time", "batch_id"),
+    "stream_metrics": _chained_table("trades_analytics", tables.METRICS, "window_start", "window_end", "batch_id"),
+    "stream_alerts": _chained_table("price_alerts", tables.ALERTS, "alert_time", "batch_id"),
     "stream_windowed": _stream_windowed,
     "stream_dedup": _stream_dedup,
     "stream_normalise": _stream_normalise,

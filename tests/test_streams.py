@@ -17,8 +17,8 @@ def landing(bound, tmp_path):
     return str(tmp_path / "landing")
 
 
-def test_pipeline_equals_batch(spark, bound, landing, tmp_path):
-    queries = jobs.pipeline(spark, landing, str(tmp_path / "out"), str(tmp_path / "ckpt"))
+def test_chain_equals_batch(spark, bound, landing, tmp_path):
+    queries = jobs.chain(spark, landing, str(tmp_path / "out"), str(tmp_path / "ckpt"))
     raw = spark.read.schema(files.RAW).parquet(f"{tmp_path}/out/trades_raw")
     assert raw.count() == bound.trades().count()
     metrics = spark.read.schema(tables.METRICS).parquet(f"{tmp_path}/out/trades_analytics")
@@ -32,17 +32,17 @@ def test_pipeline_equals_batch(spark, bound, landing, tmp_path):
 
 def test_batches_add_up_and_restart_adds_nothing(spark, bound, landing, tmp_path):
     args = (str(tmp_path / "out"), str(tmp_path / "ckpt"))
-    jobs.pipeline(spark, landing, *args, max_files=1)
+    jobs.chain(spark, landing, *args, max_files=1)
     read = lambda: spark.read.schema(files.RAW).parquet(f"{tmp_path}/out/trades_raw")
     total = bound.trades().count()
     assert read().count() == total
-    jobs.pipeline(spark, landing, *args, max_files=1)
+    jobs.chain(spark, landing, *args, max_files=1)
     assert read().count() == total
     metrics = spark.read.schema(tables.METRICS).parquet(f"{tmp_path}/out/trades_analytics")
     assert metrics.agg(F.sum("trade_count")).first()[0] == total
     # New files only, in a new batch.
     tables.write_ndjson(bound.trades().limit(10), landing)
-    jobs.pipeline(spark, landing, *args)
+    jobs.chain(spark, landing, *args)
     assert read().count() == total + 10
     metrics = spark.read.schema(tables.METRICS).parquet(f"{tmp_path}/out/trades_analytics")
     assert metrics.agg(F.sum("trade_count")).first()[0] == total + 10

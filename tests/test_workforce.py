@@ -184,9 +184,9 @@ def test_plan_ends_at_the_target(bound):
     assert plan.filter("hires_this_month < 1 OR hires_this_month > 2").count() == 0
     summed = plan.groupBy("org_id", "total_hires").agg(F.sum("hires_this_month").alias("s"))
     assert summed.filter("s <> total_hires").count() == 0
-    docs = planning.plan_documents(plan)
-    assert docs.count() == hires.filter("hires > 0").count()
-    assert docs.filter("size(monthly_plan) <> months_to_complete OR monthly_plan[0].month <> 1").count() == 0
+    docs = planning.plan_documents(hires, capacity=2, salary=10)
+    flat = docs.select("org_id", "target_tier", "months_to_complete", "total_hires", "annual_cost", F.inline("monthly_plan"))
+    assert sorted(rows(flat, *plan.columns)) == sorted(rows(plan))
 
 
 def test_what_if_edges(make):
