@@ -82,6 +82,11 @@ def message_stream(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.text(path).withColumnRenamed("value", "message")
 
 
+def catalog_stream(spark: SparkSession, table: str) -> DataFrame:
+    """A catalog table as a stream."""
+    return spark.readStream.table(table)
+
+
 def table_stream(spark: SparkSession, path: str, schema: Schema = RAW, max_files: int | None = None) -> DataFrame:
     """A table folder as a stream; several streams may read one table."""
     reader = spark.readStream.schema(schema)

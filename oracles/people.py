@@ -101,7 +101,7 @@ FROM (
   FROM (
     SELECT org_id, name, scenario, nationals AS current_nationals, non_nationals AS current_others,
       total AS current_total, rate_pct AS current_rate_pct, tier AS current_tier, new_nationals, new_others,
-      new_nationals + new_others AS new_total,
+      CAST(new_nationals + new_others AS BIGINT) AS new_total,
       coalesce({pct('new_nationals', 'new_nationals + new_others', 2)}, 0) AS new_rate_pct,
       coalesce(new_nationals * 100.0 / nullif(new_nationals + new_others, 0), 0) AS new_rate_raw,
       CASE WHEN coalesce(new_nationals * 100.0 / nullif(new_nationals + new_others, 0), 0) >= platinum_pct THEN 'Platinum'
@@ -112,7 +112,8 @@ FROM (
         ELSE 'Red' END AS projected_tier
     FROM (
       SELECT o.*, s.scenario, r.platinum_pct, r.high_green_pct, r.mid_green_pct, r.low_green_pct,
-        greatest(0, o.nationals + nh - nd) AS new_nationals, greatest(0, o.non_nationals + oh - od) AS new_others
+        CAST(greatest(0, o.nationals + nh - nd) AS BIGINT) AS new_nationals,
+        CAST(greatest(0, o.non_nationals + oh - od) AS BIGINT) AS new_others
       FROM orgc o CROSS JOIN scenario s LEFT JOIN rules r ON r.sector = o.sector AND r.size = o.size))) w"""
 _WHAT_IF = f"SELECT * EXCLUDE (rank_old, rank_new) FROM ({_WHAT_IF})"
 

@@ -11,7 +11,8 @@ FROM (SELECT unnest(generate_series(0, 19)) AS bin) b
 CROSS JOIN (SELECT min(rate * 100) AS lo, max(rate * 100) AS hi, avg(rate * 100) AS mean FROM org) s
 LEFT JOIN (
   SELECT CAST(least(floor((rate * 100 - lo) * 20 / (hi - lo)), 19) AS BIGINT) AS bin, count(*) AS n
-  FROM org, (SELECT min(rate * 100) AS lo, max(rate * 100) AS hi FROM org) GROUP BY 1) c ON c.bin = b.bin"""
+  FROM org, (SELECT min(rate * 100) AS lo, max(rate * 100) AS hi FROM org) WHERE rate IS NOT NULL
+  GROUP BY 1) c ON c.bin = b.bin"""
 
 _SIZES = ", ".join(count_if(f"size = '{s}'") + f' AS "{s}"' for s in ("Micro", "Small", "Medium", "Large"))
 

@@ -106,6 +106,15 @@ def test_late_trade_is_not_added_to_a_closed_window(spark, tmp_path):
     assert rows(run(), "trade_count") == [(1,), (1,)]
 
 
+def test_catalog_table_feeds_two_streams(spark, bound, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS feed")
+    tables.write_table(bound.trades(), "feed.trades")
+    for i in range(2):
+        out, ckpt = str(tmp_path / f"m{i}"), str(tmp_path / f"c{i}")
+        jobs.stream_metrics(files.catalog_stream(spark, "feed.trades"), out, ckpt, name=None).awaitTermination()
+        assert spark.read.parquet(out).agg(F.sum("trade_count")).first()[0] == bound.trades().count()
+
+
 def test_names_stop_and_counter(spark, landing, tmp_path):
     counter = jobs.ProgressCounter()
     spark.streams.addListener(counter)
