@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .numeric import ratio
+
 
 def bucketize(col: Column, edges: Sequence[float], labels: Sequence[str], rest: str, null_label: str | None = None) -> Column:
     """Label of the first edge above ``col``; ``rest`` beyond the last edge and, unless told otherwise, for null."""
@@ -95,7 +97,8 @@ def as_date(day: dt.date | Column) -> Column:
 
 
 def tenure_years(days: Column) -> Column:
-    return F.round(days / F.lit(365.25), 1)
+    """Days as years of 365.25 days, to one decimal; whole-number arithmetic costs a fraction of ``round``."""
+    return ratio(days * 100, F.lit(36525), 1)
 
 
 def days_between(end: Column, start: Column) -> Column:

@@ -16,35 +16,40 @@ def value_counts(df: DataFrame, column: str, share_places: int = 1) -> DataFrame
     The total is a scalar subquery, so a column of very many values is not gathered for it.
     """
     known = df.filter(F.col(column).isNotNull())
-    total = known.agg(F.count(F.lit(1))).scalar()
     counts = known.groupBy(column).agg(F.count(F.lit(1)).alias("count"))
-    return counts.withColumn("share_pct", N.pct(F.col("count"), total, share_places)).orderBy(F.desc("count"), column)
+    return (
+        counts.withColumn("total", known.agg(F.count(F.lit(1))).scalar())
+        .select(column, "count", N.pct(F.col("count"), F.col("total"), share_places).alias("share_pct"))
+        .orderBy(F.desc("count"), column)
+    )
 
 
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     """Rows per equal-width bin between lowest and highest value, empty bins included, with the overall mean.
 
-    The highest value belongs to the last bin. Bounds and mean are scalar
-    subqueries, which Spark merges into one pass.
+    The highest value belongs to the last bin. Lowest, highest and mean come from one
+    scalar subquery, which runs once.
     """
     values = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    low = values.agg(F.min("v")).scalar()
-    high = values.agg(F.max("v")).scalar()
-    mean = values.agg(N.average(F.col("v"), 10)).scalar()
+    facts = values.agg(
+        F.struct(F.min("v").alias("low"), F.max("v").alias("high"), N.average(F.col("v"), 10).alias("mean"))
+    ).scalar()
+    low, high = F.col("facts.low"), F.col("facts.high")
     place = F.floor(F.try_divide((F.col("v") - low) * bins, high - low))
     counted = (
-        values.select(F.least(F.coalesce(place, F.lit(0)), F.lit(bins - 1)).cast("bigint").alias("bin"))
+        values.withColumn("facts", facts)
+        .select(F.least(F.coalesce(place, F.lit(0)), F.lit(bins - 1)).cast("bigint").alias("bin"))
         .groupBy("bin")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     width = (high - low) / F.lit(float(bins))
     every = df.sparkSession.range(bins).withColumnRenamed("id", "bin")
-    return every.join(counted, "bin", "left").select(
+    return every.join(counted, "bin", "left").withColumn("facts", facts).select(
         "bin",
         N.rounded(low + F.col("bin") * width, 4).alias("bin_start"),
         N.rounded(low + (F.col("bin") + 1) * width, 4).alias("bin_end"),
         F.coalesce(F.col("n"), F.lit(0)).alias("count"),
-        N.rounded(mean, 4).alias("mean"),
+        N.rounded(F.col("facts.mean"), 4).alias("mean"),
     )
 
 
