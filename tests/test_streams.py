@@ -115,6 +115,18 @@ def test_catalog_table_feeds_two_streams(spark, bound, tmp_path):
         assert spark.read.parquet(out).agg(F.sum("trade_count")).first()[0] == bound.trades().count()
 
 
+def test_live_chain_catches_up(spark, bound, landing, tmp_path):
+    queries = jobs.chain(spark, landing, str(tmp_path / "o"), str(tmp_path / "c"), jobs.every("1 second"))
+    try:
+        assert set(jobs.active_names(spark)) == {"trades_raw", "trades_analytics", "price_alerts"}
+        for query in queries.values():
+            query.processAllAvailable()
+        metrics = spark.read.schema(tables.METRICS).parquet(f"{tmp_path}/o/trades_analytics")
+        assert metrics.agg(F.sum("trade_count")).first()[0] == bound.trades().count()
+    finally:
+        assert len(jobs.stop_all(spark)) == 3
+
+
 def test_names_stop_and_counter(spark, landing, tmp_path):
     counter = jobs.ProgressCounter()
     spark.streams.addListener(counter)
