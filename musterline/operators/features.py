@@ -10,50 +10,32 @@ from pyspark.sql import functions as F
 
 from ..functions import numeric as N
 from ..policy import Policy
+from .silver import distinct_counts
 
 
 def people_features(people: DataFrame, policy: Policy = Policy()) -> DataFrame:
-    """Pay, mix and diversity of people per organisation.
-
-    A first aggregation per organisation, department, title and nationality brings
-    the rows down; the three distinct counts, for which Spark copies its input,
-    then run on that instead of on all people.
-    """
-    salary = F.col("salary").cast("decimal(19,0)")
-    sums = {
-        "employee_count": F.count("person_id"),
-        "rows": F.count(F.lit(1)),
-        "paid": F.count("salary"),
-        "nationals": N.count_where(F.col("nationality") == policy.national),
-        "female": N.count_where(F.col("gender") == "Female"),
-        "permanent": N.count_where(F.col("contract_type") == "Permanent"),
-        "remote_known": F.count("is_remote"),
-        "remote": N.count_where(F.col("is_remote")),
-    }
-    powers = {"pay": F.sum(salary), "pay2": F.sum((salary * salary).cast("decimal(38,0)"))}
-    cells = (
-        people.filter(F.col("org_id").isNotNull())
-        .groupBy("org_id", "department", "job_title", "nationality")
-        .agg(
-            *[measure.alias(name) for name, measure in {**sums, **powers}.items()],
-            F.min("salary").alias("min_salary"),
-            F.max("salary").alias("max_salary"),
-        )
-    )
-    per_org = cells.groupBy("org_id").agg(
-        *[F.sum(name).alias(name) for name in sums],
-        *[F.sum(name).cast("decimal(38,0)").alias(name) for name in powers],
-        F.min("min_salary").alias("min_salary"),
-        F.max("max_salary").alias("max_salary"),
-        F.count_distinct("department").alias("department_diversity"),
-        F.count_distinct("job_title").alias("job_title_diversity"),
-        F.count_distinct("nationality").alias("nationality_diversity"),
+    """Pay, mix and diversity of people per organisation."""
+    known = people.filter(F.col("org_id").isNotNull())
+    salary = F.col("salary").cast("bigint")
+    per_org = known.groupBy("org_id").agg(
+        F.count("person_id").alias("employee_count"),
+        F.count(F.lit(1)).alias("rows"),
+        F.count("salary").alias("paid"),
+        F.sum(salary).alias("pay"),
+        F.sum((salary * salary).cast("decimal(20,0)")).alias("pay2"),
+        F.min("salary").alias("min_salary"),
+        F.max("salary").alias("max_salary"),
+        N.count_where(F.col("nationality") == policy.national).alias("national_people"),
+        N.count_where(F.col("gender") == "Female").alias("female"),
+        N.count_where(F.col("contract_type") == "Permanent").alias("permanent"),
+        F.count("is_remote").alias("remote_known"),
+        N.count_where(F.col("is_remote")).alias("remote"),
     )
 
     def share(part: str, of: str):
         return F.try_divide(F.col(part).cast("double"), F.col(of).cast("double"))
 
-    return per_org.select(
+    features = per_org.select(
         "org_id",
         "employee_count",
         share("pay", "paid").alias("avg_salary"),
@@ -61,14 +43,17 @@ def people_features(people: DataFrame, policy: Policy = Policy()) -> DataFrame:
         "min_salary",
         "max_salary",
         (F.col("max_salary") - F.col("min_salary")).alias("salary_range"),
-        F.col("nationals").alias("national_people"),
+        "national_people",
         share("female", "rows").alias("female_ratio"),
         share("permanent", "rows").alias("permanent_ratio"),
         share("remote", "remote_known").alias("remote_ratio"),
-        "department_diversity",
-        "job_title_diversity",
-        "nationality_diversity",
     )
+    diversity = {
+        "department_diversity": "department",
+        "job_title_diversity": "job_title",
+        "nationality_diversity": "nationality",
+    }
+    return features.join(distinct_counts(known, "org_id", diversity), "org_id")
 
 
 def alert_features(alerts: DataFrame) -> DataFrame:

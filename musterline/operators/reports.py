@@ -60,11 +60,11 @@ def crosstab(df: DataFrame, rows: str, columns: str, values: Sequence[str]) -> D
 
 def describe_by(df: DataFrame, key: str, value: str, places: int = 0) -> DataFrame:
     """Mean, sample standard deviation, lowest and highest value per group of rows."""
-    v = F.col(value).cast("decimal(19,0)")
+    v = F.col(value).cast("bigint")
     sums = df.filter(F.col(key).isNotNull()).groupBy(key).agg(
         F.count(value).alias("n"),
         F.sum(v).alias("s"),
-        F.sum((v * v).cast("decimal(38,0)")).alias("s2"),
+        F.sum((v * v).cast("decimal(20,0)")).alias("s2"),
         F.min(value).alias("min"),
         F.max(value).alias("max"),
     )
@@ -84,11 +84,11 @@ def _described(sums: DataFrame, key: str, places: int) -> DataFrame:
 def salary_by_sector(people: DataFrame, orgs: DataFrame, places: int = 0) -> DataFrame:
     """Salary statistics per sector. People are summed per organisation first, so the
     join carries one row per organisation instead of one per person."""
-    v = F.col("salary").cast("decimal(19,0)")
+    v = F.col("salary").cast("bigint")
     per_org = people.groupBy("org_id").agg(
         F.count("salary").alias("n"),
         F.sum(v).alias("s"),
-        F.sum((v * v).cast("decimal(38,0)")).alias("s2"),
+        F.sum((v * v).cast("decimal(20,0)")).alias("s2"),
         F.min("salary").alias("min"),
         F.max("salary").alias("max"),
     )
@@ -98,7 +98,7 @@ def salary_by_sector(people: DataFrame, orgs: DataFrame, places: int = 0) -> Dat
         .groupBy("sector")
         .agg(
             F.sum("n").alias("n"),
-            F.sum("s").cast("decimal(38,0)").alias("s"),
+            F.sum("s").alias("s"),
             F.sum("s2").cast("decimal(38,0)").alias("s2"),
             F.min("min").alias("min"),
             F.max("max").alias("max"),

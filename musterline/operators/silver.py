@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -113,53 +114,40 @@ def org_people_summary(orgs: DataFrame, people: DataFrame, now=None) -> DataFram
     """Every cleaned organisation with headcounts, pay, tenure and expiring contracts of its people.
 
     People are reduced to one row per organisation before the join, so an
-    organisation with very many people costs the join no more than any other. They
-    are first summed per department and title, because the two distinct counts make
-    Spark copy their input: it then copies those sums, not the people.
+    organisation with very many people costs the join no more than any other.
     """
     national, salary, tenure = F.col("is_national"), F.col("salary"), F.col("tenure_years")
-    pay = {"all": salary, "national": F.when(national, salary), "other": F.when(~national, salary)}
     expiring = lambda status: N.count_where(national & (F.col("contract_status") == status))
-    counts = {
-        "people": F.count(F.lit(1)),
-        "national_people": N.count_where(national),
-        "other_people": N.count_where(~national),
-        "national_expiring_30d": expiring("Expiring Soon"),
-        "national_expiring_90d": expiring("Expiring in 90 Days"),
-    }
-    sums = {
-        **{f"{who}_pay": F.sum(value) for who, value in pay.items()},
-        **{f"{who}_paid": F.count(value) for who, value in pay.items()},
-        "tenure": F.sum(N.fixed(tenure, 1)),
-        "tenured": F.count(tenure),
-    }
-    cells = people.groupBy("org_id", "department", "job_title").agg(
-        *[measure.alias(name) for name, measure in {**counts, **sums}.items()]
+    measures = people.groupBy("org_id").agg(
+        F.count(F.lit(1)).alias("people"),
+        N.count_where(national).alias("national_people"),
+        N.count_where(~national).alias("other_people"),
+        N.mean(salary, 0).alias("avg_salary"),
+        N.mean(F.when(national, salary), 0).alias("avg_national_salary"),
+        N.mean(F.when(~national, salary), 0).alias("avg_other_salary"),
+        N.mean(tenure, 1, stored=1).alias("avg_tenure_years"),
+        expiring("Expiring Soon").alias("national_expiring_30d"),
+        expiring("Expiring in 90 Days").alias("national_expiring_90d"),
     )
-    measures = (
-        cells.groupBy("org_id")
-        .agg(
-            *[F.sum(name).alias(name) for name in (*counts, *sums)],
-            F.count_distinct("department").alias("departments"),
-            F.count_distinct("job_title").alias("job_titles"),
-        )
-        .select(
-            "org_id",
-            *counts,
-            N.ratio(F.col("all_pay"), F.col("all_paid"), 0).alias("avg_salary"),
-            N.ratio(F.col("national_pay"), F.col("national_paid"), 0).alias("avg_national_salary"),
-            N.ratio(F.col("other_pay"), F.col("other_paid"), 0).alias("avg_other_salary"),
-            N.ratio(F.col("tenure"), F.col("tenured") * 10, 1).alias("avg_tenure_years"),
-            "departments",
-            "job_titles",
-        )
+    variety = distinct_counts(people, "org_id", {"departments": "department", "job_titles": "job_title"})
+    out = (
+        orgs.select("org_id", "name", "sector", "size", "region", "tier", "compliance_status", "rate_pct")
+        .join(measures, "org_id", "left")
+        .join(variety, "org_id", "left")
     )
-    out = orgs.select(
-        "org_id", "name", "sector", "size", "region", "tier", "compliance_status", "rate_pct"
-    ).join(measures, "org_id", "left")
     return C.stamp(out, "processed_at", now)
 
 
+def distinct_counts(df: DataFrame, key: str, columns: Mapping[str, str]) -> DataFrame:
+    """Distinct values per key of several columns, by the name of the result.
+
+    For several distinct counts Spark copies its input once per column, with all
+    that other aggregates need. Kept apart from those, the copies hold a key and a
+    value only, and the results meet again on the key without another shuffle.
+    """
+    return df.groupBy(key).agg(*[F.count_distinct(column).alias(name) for name, column in columns.items()])
+
+
 def org_gap(orgs: DataFrame, rules: DataFrame, policy: Policy = Policy(), now=None) -> DataFrame:
     """Distance of every organisation to each graded tier, and hires to reach the next one.
 

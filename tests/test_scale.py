@@ -59,8 +59,9 @@ def test_people_meet_organisations_only_after_aggregation(skewed):
         gold.risk_counts_from_people(people),
     ):
         plan = static_plan(df)
-        # Nothing but a partial aggregation feeds the shuffle of people.
+        # Nothing but partial aggregations feeds the shuffles of people.
         assert "partial_count" in plan and "SortAggregate" not in plan
+        assert "SortMergeJoin" not in plan or plan.index("SortMergeJoin") < plan.index("partial_count")
 
 
 def test_hot_key_gives_the_same_result_however_it_is_split(spark, skewed, conf):
