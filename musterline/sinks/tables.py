@@ -135,6 +135,19 @@ def append_batch(df: DataFrame, batch_id: int, path: str) -> None:
     )
 
 
+def append_batch_table(df: DataFrame, batch_id: int, table: str) -> None:
+    """Same for a catalog table partitioned by ``batch_id``; columns go by name, those left out are null.
+
+    The partition is named in the statement, so no other one is touched.
+    """
+    spark = df.sparkSession
+    declared = [f for f in spark.table(table).schema.fields if f.name != "batch_id"]
+    columns = [F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in declared]
+    view = f"_batch_of_{table.replace('.', '_')}"
+    df.select(*columns).createOrReplaceTempView(view)
+    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (batch_id = {int(batch_id)}) SELECT * FROM {view}")
+
+
 def create_view(spark: SparkSession, name: str, sql: str) -> None:
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS {sql}")
 

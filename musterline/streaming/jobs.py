@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..operators.trades import trade_alerts, trade_metrics, with_times
 from ..policy import TradePolicy
-from ..sinks.tables import append_batch
+from ..sinks.tables import append_batch, append_batch_table
 from ..sources.files import table_stream, trade_stream
 
 Trigger = Mapping[str, object]
@@ -37,15 +37,19 @@ def write_files(stream: DataFrame, path: str, checkpoint: str, trigger: Trigger
 def write_batches(
     stream: DataFrame,
     build: Callable[[DataFrame], DataFrame],
-    path: str,
+    target: str,
     checkpoint: str,
     trigger: Trigger = once(),
     name: str | None = None,
 ) -> StreamingQuery:
-    """Apply ``build`` to every micro-batch and write the result as that batch's partition."""
+    """Apply ``build`` to every micro-batch and write the result as that batch's partition.
+
+    The target is a folder or, without a slash in it, a catalog table.
+    """
+    write = append_batch if "/" in target else append_batch_table
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        append_batch(build(batch), batch_id, path)
+        write(build(batch), batch_id, target)
 
     return _start(stream.writeStream.foreachBatch(handle), checkpoint, trigger, name)
 

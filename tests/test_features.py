@@ -88,6 +88,8 @@ def test_boosted_models(bound, table):
     scored = models.risk_probabilities(fitted, table)
     assert scored.count() == table.count()
     assert scored.filter("risk_probability < 0 or risk_probability > 1").count() == 0
+    by_sector = reports.mean_by(scored, "sector", "risk_probability")
+    assert by_sector.count() == 5 and by_sector.filter("mean < 0 or mean > 1").count() == 0
     assert models.classification_report(fitted, "at_risk").first()["accuracy"] > 0.8
     salary = models.regression_report(models.fit_salary_model(bound.people(), bound.orgs(), trees=2, depth=3), "salary").first()
     assert salary["rows"] > 0 and salary["r2"] < 1

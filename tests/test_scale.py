@@ -92,13 +92,12 @@ def test_one_scan_per_table_for_row_rules(spark, tmp_path, bound):
 def test_no_cross_join_in_any_batch_query(spark, bound):
     from musterline.workload import BATCH
 
-    tiny_sides = {"histogram"}
     for name, build in BATCH.items():
         if name.startswith(("stream_", "csv_", "ndjson_")):
             continue
         plan = static_plan(build(bound))
         assert "CartesianProduct" not in plan, name
-        assert "BroadcastNestedLoopJoin" not in plan or name in tiny_sides, name
+        assert "BroadcastNestedLoopJoin" not in plan, name
 
 
 def test_split_ranks_slices_not_labels(bound):

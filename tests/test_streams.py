@@ -115,6 +115,27 @@ def test_catalog_table_feeds_two_streams(spark, bound, tmp_path):
         assert spark.read.parquet(out).agg(F.sum("trade_count")).first()[0] == bound.trades().count()
 
 
+def test_batches_go_to_declared_tables_too(spark, bound, landing, tmp_path):
+    tables.create_stream_tables(spark, "streams_test", replace=True)
+    stream = lambda: files.trade_stream(spark, landing, max_files=1)
+    ckpt = lambda n: str(tmp_path / n)
+    jobs.ingest_batches(stream(), "streams_test.trades_raw", ckpt("r"), name=None).awaitTermination()
+    jobs.stream_metrics(stream(), "streams_test.trades_analytics", ckpt("m"), name=None).awaitTermination()
+    jobs.stream_alerts(stream(), "streams_test.price_alerts", ckpt("a"), name=None).awaitTermination()
+    total = bound.trades().count()
+    metrics = spark.table("streams_test.trades_analytics")
+    assert spark.table("streams_test.trades_raw").count() == total
+    assert metrics.agg(F.sum("trade_count")).first()[0] == total
+    assert metrics.select("batch_id").distinct().count() > 1
+    assert spark.table("streams_test.price_alerts").count() > 0
+    before = sorted(rows(metrics), key=str)
+    again = spark.createDataFrame(
+        metrics.filter("batch_id = 1").drop("batch_id").collect(), metrics.drop("batch_id").schema
+    )
+    tables.append_batch_table(again, 1, "streams_test.trades_analytics")
+    assert sorted(rows(spark.table("streams_test.trades_analytics")), key=str) == before
+
+
 def test_live_chain_catches_up(spark, bound, landing, tmp_path):
     queries = jobs.chain(spark, landing, str(tmp_path / "o"), str(tmp_path / "c"), jobs.every("1 second"))
     try:
