@@ -1 +1,5 @@
-"""DataFrame-in, DataFrame-out operators; none of them runs a job or reads a clock."""
+"""DataFrame-in, DataFrame-out operators without a clock.
+
+They only build plans. Exceptions that run jobs: ``lookups.people_of``, which counts
+its matches, ``features.encode`` and everything in ``models``, which fit.
+"""

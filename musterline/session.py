@@ -49,3 +49,14 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, label: str) -> str:
     """A new, unused folder under the shared one."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, *folders: str) -> None:
+    """Remove intermediate folders that ``scratch`` handed out, wherever they are stored."""
+    base = shared_dir(spark).rstrip("/") + "/"
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in folders:
+        if not folder.startswith(base):
+            raise ValueError(f"not below the shared folder: {folder}")
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)

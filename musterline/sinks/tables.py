@@ -107,9 +107,7 @@ def with_provenance(df: DataFrame) -> DataFrame:
 
 def write_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
     """Replace a table, its schema included. The frame must not read the table it replaces."""
-    df.write.mode("overwrite").option("overwriteSchema", "true").format("parquet").saveAsTable(
-        name, partitionBy=list(partition_by) or None
-    )
+    df.write.mode("overwrite").format("parquet").saveAsTable(name, partitionBy=list(partition_by) or None)
 
 
 def append_rows(df: DataFrame, name: str) -> None:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .operators import features, gold, lookups, market, models, planning, quality, reports, silver, trades
 from .plans import sql_functions
 from .plans.bindings import AS_OF, POLICY, Bindings
-from .session import scratch
+from .session import discard, scratch
 from .sinks import tables
 from .sources import files, wire
 from .streaming import jobs
@@ -52,6 +52,21 @@ def _hires(b: Bindings, target: str | None = None) -> DataFrame:
     return planning.hires_to_target(_org(b), b.rules(), target, POLICY)
 
 
+def _plan_documents(b: Bindings) -> DataFrame:
+    """Nested plans, shown by their size and last month."""
+    last = F.element_at("monthly_plan", -1)
+    return planning.plan_documents(_hires(b, POLICY.default_target)).select(
+        "org_id",
+        "target_tier",
+        "total_hires",
+        "annual_cost",
+        F.size("monthly_plan").cast("bigint").alias("months"),
+        last["hires_this_month"].alias("last_hires"),
+        last["projected_rate_pct"].alias("final_rate_pct"),
+        last["cumulative_payroll"].alias("final_payroll"),
+    )
+
+
 def _dq_results(b: Bindings) -> DataFrame:
     tables = {quality.ORGS: b.reported_orgs(), quality.PEOPLE: b.people()}
     return quality.validate(tables, quality.catalogue(AS_OF, POLICY))
@@ -121,6 +136,7 @@ def _stream_raw(b: Bindings) -> DataFrame:
     landing, base = _landing(b, b.trades(), "raw")
     stream = files.trade_stream(b.spark, landing)
     jobs.ingest_trades(stream, f"{base}/trades_raw", f"{base}/ckpt", name=None).awaitTermination()
+    discard(b.spark, landing)
     raw = b.spark.read.schema(files.RAW).parquet(f"{base}/trades_raw")
     return _ntz(raw.select(*LANDED_COLUMNS, "trade_timestamp"), "trade_timestamp")
 
@@ -129,6 +145,7 @@ def _chained_table(name: str, schema: str, *drop: str) -> Callable[[Bindings], D
     def run(b: Bindings) -> DataFrame:
         landing, base = _landing(b, b.trades(), name)
         jobs.chain(b.spark, landing, f"{base}/out", f"{base}/ckpt")
+        discard(b.spark, landing, f"{base}/out/trades_raw")
         return b.spark.read.schema(schema).parquet(f"{base}/out/{name}").drop(*drop)
 
     return run
@@ -138,6 +155,7 @@ def _stream_windowed(b: Bindings) -> DataFrame:
     landing, base = _landing(b, b.trades(), "windowed")
     result = jobs.windowed_metrics(files.trade_stream(b.spark, landing), "1 hour", "10 minutes")
     jobs.write_files(result, f"{base}/windows", f"{base}/ckpt").awaitTermination()
+    discard(b.spark, landing)
     return _ntz(b.spark.read.schema(result.schema).parquet(f"{base}/windows"), "window_start", "window_end")
 
 
@@ -147,6 +165,7 @@ def _stream_dedup(b: Bindings) -> DataFrame:
     landing, base = _landing(b, b.trades().unionByName(copies).unionByName(copies), "dedup")
     result = jobs.dedup_trades(files.trade_stream(b.spark, landing), watermark="1 day", spread=8)
     jobs.write_files(result, f"{base}/unique", f"{base}/ckpt").awaitTermination()
+    discard(b.spark, landing)
     return b.spark.read.schema(result.schema).parquet(f"{base}/unique").select(*LANDED_COLUMNS)
 
 
@@ -155,6 +174,7 @@ def _stream_normalise(b: Bindings) -> DataFrame:
     b.wire_messages().write.text(f"{base}/messages")
     result = wire.normalise_trades(files.message_stream(b.spark, f"{base}/messages"))
     jobs.write_files(result, f"{base}/trades", f"{base}/ckpt").awaitTermination()
+    discard(b.spark, f"{base}/messages")
     return b.spark.read.schema(result.schema).parquet(f"{base}/trades")
 
 
@@ -171,6 +191,7 @@ def _csv_roundtrip(b: Bindings) -> DataFrame:
     orgs.write.option("header", True).csv(f"{base}/csv")
     for _ in range(2):
         loaded = files.load_csv(b.spark, f"{base}/csv", orgs.schema, f"{base}/table", f"{base}/ledger")
+    discard(b.spark, f"{base}/csv")
     return loaded.drop("_ingestion_timestamp", "_source_file")
 
 
@@ -217,6 +238,7 @@ BATCH: dict[str, Callable[[Bindings], DataFrame]] = {
     "department_share": lambda b: gold.department_share(_person(b), _org(b)),
     "hires_to_target": _hires,
     "hiring_plan": lambda b: planning.hiring_plan(_hires(b, POLICY.default_target)),
+    "hiring_plan_documents": _plan_documents,
     "what_if": lambda b: planning.what_if(_org(b), b.rules(), SCENARIOS, POLICY),
     "top_hires": lambda b: planning.top_hires(_hires(b, POLICY.default_target)),
     "hires_by_tier": lambda b: planning.hires_by_tier(_hires(b, POLICY.default_target)),

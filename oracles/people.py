@@ -123,6 +123,11 @@ WHERE target_tier = 'Mid_Green' AND hires > 0 ORDER BY hires DESC, org_id LIMIT
 _BY_TIER = f"""SELECT current_tier, count(*) AS orgs, {big('sum(hires)')} AS hires FROM plan
 WHERE target_tier = 'Mid_Green' AND hires > 0 GROUP BY current_tier"""
 
+_DOCUMENTS = f"""SELECT org_id, target_tier, {big('hires')} AS total_hires, {big('hires * 8000 * 12')} AS annual_cost,
+  {big('(hires + 2) // 3')} AS months, {big('hires - 3 * ((hires + 2) // 3 - 1)')} AS last_hires,
+  {pct('nationals + hires', 'total + hires', 2)} AS final_rate_pct, {big('hires * 8000')} AS final_payroll
+FROM plan WHERE target_tier = 'Mid_Green' AND hires > 0"""
+
 SQL = {
     "org_clean": query(_ORG_CLEAN, "orgc"),
     "person_clean": query(_PERSON_CLEAN, "personc"),
@@ -138,6 +143,7 @@ SQL = {
     "department_share": query(_DEPT, "orgc", "personc"),
     "hires_to_target": query(_HIRES, "orgc", extra=HIRES),
     "hiring_plan": query(_HIRING_PLAN, "orgc", extra=HIRES),
+    "hiring_plan_documents": query(_DOCUMENTS, "orgc", extra=HIRES),
     "what_if": query(_WHAT_IF, "orgc", extra=SCENARIOS),
     "top_hires": query(_TOP, "orgc", extra=HIRES),
     "hires_by_tier": query(_BY_TIER, "orgc", extra=HIRES),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from musterline.operators import gold, quality, silver
 from musterline.plans import layers
 from musterline.plans.bindings import AS_OF, POLICY
-from musterline.session import scratch, shared_dir
+from musterline.session import discard, scratch, shared_dir
 from musterline.sinks import tables
 from musterline.sources import files
 
@@ -66,6 +66,16 @@ def test_shared_folder_comes_from_the_session(spark):
     assert scratch(spark, "x") != scratch(spark, "x")
 
 
+def test_only_shared_folders_are_discarded(spark, tmp_path):
+    mine = scratch(spark, "gone")
+    spark.range(3).write.parquet(mine)
+    discard(spark, mine, mine)
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(mine)
+    with pytest.raises(ValueError):
+        discard(spark, str(tmp_path))
+
+
 @pytest.fixture(scope="module")
 def built(spark, bound):
     tables.ensure_db(spark, "b_raw")
