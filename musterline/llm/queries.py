@@ -8,13 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing
+from . import bpe, ctph, packing, simhash
 from .common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, distance=4)
+
+
+def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctph.compare_with_edits(table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack_documents(table(spark, sf_dir, "documents"), BYTE_BPE, length=1024, separator=0)
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -32,7 +40,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op9_packing, op10_bpe)
+    found = (op1_simhash, op5_fingerprint, op9_packing, op10_bpe)
     return {f.__name__: f for f in found}
 
 
