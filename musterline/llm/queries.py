@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, ctph, packing, simhash
+from . import bpe, ctph, gbt, packing, simhash, textcnn
 from .common import table
+from .labelled import held_out
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -23,6 +24,30 @@ def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctph.compare_with_edits(table(spark, sf_dir, "documents"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    forest = gbt.fit(docs, table(spark, sf_dir, "labels").where(~held_out()), label="quality")
+    return gbt.score(docs.select("doc_id", "text"), forest).select(
+        "doc_id",
+        held_out().alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
+    )
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    net = textcnn.fit(docs, table(spark, sf_dir, "labels").where(~held_out()), label="toxic")
+    scored = textcnn.flagged(textcnn.score(docs.select("doc_id", "text", "lang"), net), net)
+    return scored.select(
+        "doc_id",
+        held_out().alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+        F.col("flagged").alias("flagged_by_language"),
+    )
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack_documents(table(spark, sf_dir, "documents"), BYTE_BPE, length=1024, separator=0)
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -40,7 +65,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_simhash, op5_fingerprint, op9_packing, op10_bpe)
+    found = (op1_simhash, op5_fingerprint, op6_quality, op8_toxicity, op9_packing, op10_bpe)
     return {f.__name__: f for f in found}
 
 
