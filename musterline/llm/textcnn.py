@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import small_batches, strings
-from .labelled import SAMPLE, sample_of
+from .labelled import sample_of
 
 BUCKETS = 1 << 16
 WIDTHS = (1, 2, 3)
@@ -90,9 +90,9 @@ class Net:
 
 
 def train(
-    codes: list[np.ndarray], y: np.ndarray, dims: int = 8, filters: int = 8, epochs: int = 6, rate: float = 0.05, seed: int = 7
+    codes: list[np.ndarray], y: np.ndarray, dims: int = 8, filters: int = 8, epochs: int | None = None, rate: float = 0.05, seed: int = 7
 ) -> Net:
-    """Stochastic training of all parts by Adagrad, one text after the other.
+    """Stochastic training of all parts by Adagrad, one text after the other; few texts are passed over more often.
 
     The first dimension of an embedding starts as how much more often its words occur in texts of label 1 than of 0.
     """
@@ -122,7 +122,7 @@ def train(
         total[at] += grad**2
         value[at] -= rate * grad / np.sqrt(total[at])
 
-    for _ in range(epochs):
+    for _ in range(epochs or min(12, max(3, 24_000 // max(1, len(codes))))):
         for i in rng.permutation(len(codes)):
             best, where = net.pooled(codes[i])
             active = (where >= 0) & (best + net.bias > 0)
@@ -180,7 +180,7 @@ def calibrate(net: Net, margins: np.ndarray, y: np.ndarray, langs: list[str | No
             net.thresholds[lang] = lowest(pick)
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE, target: float = 0.8) -> Net:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = 8000, target: float = 0.8) -> Net:
     """A net fitted on at most ``sample`` labelled documents, a fifth of which only calibrate it.
 
     Texts are hashed word by word on the executors; the driver gets one number per word of the sample.
