@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, ctph, gbt, packing, simhash, textcnn
+from . import bpe, chat, ctph, gbt, packing, pii, simhash, textcnn
 from .common import table
 from .labelled import held_out
 
@@ -68,6 +68,21 @@ FROM shown GROUP BY conv_id
 """
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.fit(docs)).drop("text")
+    base = found.withColumn("base", F.filter("spans", lambda s: s.base))
+    counts = [
+        F.size(F.filter("base", pii.is_kind(i))).cast("long").alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)
+    ]
+    return base.select(
+        "doc_id",
+        *counts,
+        F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"),
+        pii.written(F.col("spans")).alias("spans"),
+    )
+
+
 def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctph.compare_with_edits(table(spark, sf_dir, "documents"))
 
@@ -113,7 +128,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_simhash, op2_chat, op5_fingerprint, op6_quality, op8_toxicity, op9_packing, op10_bpe)
+    found = (op1_simhash, op2_chat, op4_pii, op5_fingerprint, op6_quality, op8_toxicity, op9_packing, op10_bpe)
     return {f.__name__: f for f in found}
 
 
