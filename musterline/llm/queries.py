@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, ctph, gbt, packing, pii, simhash, textcnn
+from . import bpe, chat, ctph, gbt, imi, packing, pii, simhash, textcnn
 from .common import table
 from .labelled import held_out
 
@@ -98,6 +98,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imi.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     net = textcnn.fit(docs, table(spark, sf_dir, "labels").where(~held_out()), label="toxic")
@@ -128,7 +132,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_simhash, op2_chat, op4_pii, op5_fingerprint, op6_quality, op8_toxicity, op9_packing, op10_bpe)
+    found = (op1_simhash, op2_chat, op4_pii, op5_fingerprint, op6_quality, op7_embeddings, op8_toxicity, op9_packing, op10_bpe)
     return {f.__name__: f for f in found}
 
 
