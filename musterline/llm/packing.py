@@ -7,20 +7,22 @@ shuffled. Windows still open at the end of a task are emptied into each other by
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from functools import lru_cache
 from struct import pack
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from tokenizers import Tokenizer
 
+from .bpe import byte_characters
 from .common import small_batches, strings
 
-#: Chunks kept per worker before the cache starts anew.
-CACHE = 400_000
+#: Words of byte-level BPE, as the tokenizers library cuts them; a fixed value.
+WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Partially filled windows a task keeps open; beyond it the emptier half is poured into the fuller one.
 OPEN = 4096
 #: Pieces handed to Spark at a time.
@@ -38,41 +40,29 @@ Piece = tuple[int | None, int, bytes, int]  # doc_id, start, little-endian ids,
 
 
 class ByteTokens:
-    """Ids of whole texts, chunk by chunk: a blank between two other characters always begins a new word."""
+    """Ids of whole texts by a byte-level BPE file, through an encoder built from its merges."""
 
     def __init__(self, path: str):
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.cache: dict[str, bytes | None] = {}
-
-    def learn(self, chunks: list[str]) -> None:
-        plain = [c for c in chunks if not c[1:2].isspace() and len(c) > 1]
-        # White space after a blank belongs to a run that other chunks share: such texts are encoded whole.
-        self.cache.update(dict.fromkeys(set(chunks).difference(plain)))
-        for chunk, code in zip(plain, self.tokenizer.encode_batch_fast(plain, add_special_tokens=False), strict=True):
-            self.cache[chunk] = np.array(code.ids, dtype="<u4").tobytes()
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        byte_of = {c: b for b, c in enumerate(byte_characters())}
+        vocab: dict[str, int] = spec["model"]["vocab"]
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
+        merged = [vocab[a + b] for a, b in pairs]
+        if merged != sorted(merged):
+            raise ValueError(f"ids of {path} do not follow the order of its merges")
+        special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.encoder = tiktoken.Encoding(
+            "byte_bpe",
+            pat_str=WORDS,
+            mergeable_ranks={bytes(map(byte_of.__getitem__, t)): i for t, i in vocab.items() if t not in special},
+            special_tokens=special,
+        )
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        split = [t.split(" ") for t in texts]
-        for chunks in split:
-            chunks[1:] = [" " + c for c in chunks[1:]]
-        if len(self.cache) > CACHE:
-            self.cache.clear()
-        missing: set[str] = set()
-        for chunks in split:
-            missing.update(chunks[1:])
-        self.learn(list(missing.difference(self.cache)))
-        get = self.cache.__getitem__
-        for text, chunks in zip(texts, split, strict=True):
-            rest = list(map(get, chunks[1:]))
-            if None in rest or not chunks[0] or chunks[0][-1].isspace():
-                yield self.whole(text)
-            else:
-                yield self.whole(chunks[0]) + b"".join(rest)
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        """Little-endian 32-bit ids of each text; special tokens in it are recognised."""
+        for text in texts:
+            yield self.encoder.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False).tobytes()
 
 
 @lru_cache(maxsize=2)
