@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, ctph, gbt, imi, packing, pii, simhash, textcnn
+from . import bpe, chat, ctph, gbt, imi, packing, pii, repeats, simhash, textcnn
 from .common import table
 from .labelled import held_out
 
@@ -68,6 +68,13 @@ FROM shown GROUP BY conv_id
 """
 
 
+def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = repeats.with_cut(table(spark, sf_dir, "documents").select("doc_id", "text"), "cut", width=200)
+    return done.select(
+        "doc_id", "cut.n_bytes", "cut.n_removed", "cut.n_spans", F.sha2("cut.kept", 256).alias("kept_sha256")
+    )
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = pii.find(docs, pii.fit(docs)).drop("text")
@@ -132,7 +139,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_simhash, op2_chat, op4_pii, op5_fingerprint, op6_quality, op7_embeddings, op8_toxicity, op9_packing, op10_bpe)
+    found = (op1_simhash, op2_chat, op3_suffix_array, op4_pii, op5_fingerprint, op6_quality, op7_embeddings, op8_toxicity, op9_packing, op10_bpe)
     return {f.__name__: f for f in found}
 
 
