@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from musterline.llm import gbt, packing, pii, repeats, simhash
-from musterline.llm.common import stored, table
+from musterline.llm.common import forget, stored, table
 from musterline.llm.labelled import held_out
 
 
@@ -64,5 +64,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole table of documents."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        done = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        forget(docs)
+        docs = done
     return STAGES[-1][1](spark, docs, sf_dir)
