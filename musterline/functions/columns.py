@@ -57,6 +57,15 @@ def require_keys(df: DataFrame, *keys: str) -> DataFrame:
     return where_all(df, [F.col(k).isNotNull() for k in keys])
 
 
+def unaligned(df: DataFrame) -> DataFrame:
+    """``df`` dealt out evenly, by no key. The small side of a join on a hot key goes through this.
+
+    If that side came partitioned by the key, only the other side would be shuffled for the join, and the adaptive skew join
+    splits a key only where both sides are.
+    """
+    return df.hint("rebalance")
+
+
 def trimmed(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.trim(F.col(c)) for c in columns})
 
@@ -112,13 +121,13 @@ def since(df: DataFrame, column: str, minutes: int, now: dt.datetime | Column) -
 
 
 def event_key(time: Column, tie: Column) -> Column:
-    """One decimal that orders events by a whole-number time, then by id.
+    """One decimal that orders events by a whole-number time, then by id; an event without id comes first of its time.
 
     A single fixed-width key keeps ``min_by`` / ``max_by`` in a hash aggregation;
     a struct key would make Spark sort every partition first.
     """
     spread = F.lit("20000000000000000000").cast("decimal(20,0)")
-    return time.cast("decimal(18,0)") * spread + tie.cast("bigint")
+    return time.cast("decimal(18,0)") * spread + F.coalesce(tie.cast("bigint"), F.lit(-1).cast("bigint"))
 
 
 def opening(value: Column, key: Column) -> Column:

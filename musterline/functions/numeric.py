@@ -41,10 +41,9 @@ def fixed(value: Column, places: int) -> Column:
     return F.floor(value * F.lit(float(10**places)) + F.lit(0.5))
 
 
-def mean(value: Column, places: int, stored: int = 0) -> Column:
+def mean(value: Column, places: int, stored: int = 4) -> Column:
     """Average of a column that holds at most ``stored`` decimals, rounded to ``places``."""
-    units = fixed(value, stored) if stored else value.cast("bigint")
-    return ratio(F.sum(units), F.count(value) * F.lit(10**stored), places)
+    return ratio(F.sum(fixed(value, stored)), F.count(value) * F.lit(10**stored), places)
 
 
 def rounded(value: Column, places: int) -> Column:
@@ -53,17 +52,19 @@ def rounded(value: Column, places: int) -> Column:
 
 
 def total(value: Column, places: int) -> Column:
-    """Sum of a double column to ``places`` decimals, the same in whatever order rows arrive.
+    """Sum of a double column, for values of up to ``places`` decimals the same in whatever order rows arrive.
 
-    Values are summed as whole units of the last decimal. Turning a double into a
-    whole number is far cheaper than into a decimal, which is left to the values
-    too large for it.
+    Values are summed as whole units of the last decimal; what a value has beyond them is summed apart, unless it
+    is only the noise of its binary form. A NaN, an infinity or a value too large for units gives the plain sum.
     """
-    units = F.when(
-        F.abs(value) < F.lit(9e18 / 10**places), F.floor(value * F.lit(float(10**places)) + F.lit(0.5)).cast("decimal(28,0)")
-    ).otherwise((value.cast(f"decimal(38,{places})") * F.lit(10**places)).cast("decimal(28,0)"))
+    scale = F.lit(float(10**places))
+    fits = F.coalesce(F.abs(value) < F.lit(9e18 / 10**places), F.lit(True)) & ~F.isnan(value)
+    units = F.when(fits, F.floor(value * scale + F.lit(0.5)))
+    rest = value - units / scale
+    beyond = F.when(fits & (F.abs(rest) > F.abs(value) * F.lit(2.0**-48)), rest)
     unit = F.lit(f"{10**-places:.{places}f}").cast(f"decimal({places + 1},{places})")
-    return (F.sum(units).cast("decimal(28,0)") * unit).cast("double")
+    exact = (F.sum(units.cast("decimal(28,0)")).cast("decimal(28,0)") * unit).cast("double")
+    return F.when(F.count_if(~fits) > 0, F.sum(value)).otherwise(exact + F.coalesce(F.sum(beyond), F.lit(0.0)))
 
 
 def average(value: Column, places: int) -> Column:
@@ -76,31 +77,27 @@ def weighted_avg(value: Column, weight: Column, places: int) -> Column:
     return F.try_divide(total(value * weight, places), total(weight, places))
 
 
-def std_from_sums(n: Column, s: Column, s2: Column) -> Column:
-    """Sample standard deviation from count, sum and sum of squares."""
-    n = n.cast("double")
-    spread = s2.cast("double") - s.cast("double") * s.cast("double") / F.nullif(n, F.lit(0.0))
-    spread = F.greatest(spread, F.lit(0.0))
-    return F.when(n > 1, F.sqrt(F.try_divide(spread, n - 1)))
+def squares(value: Column, stored: int) -> tuple[Column, Column]:
+    """Sum and sum of squares of a column as whole units of ``10**-stored``."""
+    unit = fixed(value, stored)
+    return F.sum(unit.cast("decimal(20,0)")).cast("decimal(38,0)"), F.sum((unit.cast("decimal(19,0)") * unit.cast("decimal(19,0)"))).cast("decimal(38,0)")
 
 
-def count_where(condition: Column) -> Column:
-    """Rows where ``condition`` holds; null counts as not holding, empty input gives 0."""
-    return F.count_if(condition)
-
-
-def sum_where(value: Column, condition: Column) -> Column:
-    return F.sum(F.when(condition, value).otherwise(F.lit(0)))
+def std_from_sums(n: Column, s: Column, s2: Column, stored: int) -> Column:
+    """Sample standard deviation from count, sum and sum of squares of whole units.
 
-
-def avg_where(value: Column, condition: Column) -> Column:
-    """Average over the rows where ``condition`` holds; the others are ignored."""
-    return F.avg(F.when(condition, value))
+    ``n * s2 - s * s`` is formed in whole numbers, so that values far from zero keep their spread; where it has
+    more than 38 digits, doubles take over.
+    """
+    whole = F.try_subtract(F.try_multiply(n.cast("decimal(20,0)"), s2), F.try_multiply(s, s)).cast("double")
+    n, s, s2 = n.cast("double"), s.cast("double"), s2.cast("double")
+    spread = F.greatest(F.coalesce(whole, n * s2 - s * s), F.lit(0.0))
+    return F.when(n > 1, F.sqrt(F.try_divide(spread, n * (n - 1))) / F.lit(float(10**stored)))
 
 
-def ratio_eq(value: Column, wanted: str, places: int = 4) -> Column:
-    """Share of rows equal to ``wanted``; null is not equal."""
-    return ratio(F.count_if(value == F.lit(wanted)), F.count(F.lit(1)), places)
+def count_where(condition: Column) -> Column:
+    """Rows where ``condition`` holds; null counts as not holding, empty input gives 0."""
+    return F.count_if(condition)
 
 
 def safe_div(n: Column, d: Column, eps: float = 0.0) -> Column:

@@ -1,5 +1,4 @@
 """DataFrame-in, DataFrame-out operators without a clock.
 
-They only build plans. Exceptions that run jobs: ``lookups.people_of``, which counts
-its matches, ``features.encode`` and everything in ``models``, which fit.
+They only build plans. Exceptions that run jobs: ``features.encode`` and everything in ``models``, which fit.
 """

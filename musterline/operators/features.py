@@ -13,16 +13,20 @@ from ..policy import Policy
 from .silver import distinct_counts
 
 
+#: Decimals of a salary that count.
+CENTS = 2
+
+
 def people_features(people: DataFrame, policy: Policy = Policy()) -> DataFrame:
     """Pay, mix and diversity of people per organisation."""
     known = people.filter(F.col("org_id").isNotNull())
-    salary = F.col("salary").cast("bigint")
+    pay, pay2 = N.squares(F.col("salary"), CENTS)
     per_org = known.groupBy("org_id").agg(
         F.count("person_id").alias("employee_count"),
         F.count(F.lit(1)).alias("rows"),
         F.count("salary").alias("paid"),
-        F.sum(salary).alias("pay"),
-        F.sum((salary * salary).cast("decimal(20,0)")).alias("pay2"),
+        pay.alias("pay"),
+        pay2.alias("pay2"),
         F.min("salary").alias("min_salary"),
         F.max("salary").alias("max_salary"),
         N.count_where(F.col("nationality") == policy.national).alias("national_people"),
@@ -38,8 +42,8 @@ def people_features(people: DataFrame, policy: Policy = Policy()) -> DataFrame:
     features = per_org.select(
         "org_id",
         "employee_count",
-        share("pay", "paid").alias("avg_salary"),
-        N.std_from_sums(F.col("paid"), F.col("pay"), F.col("pay2")).alias("salary_std"),
+        F.try_divide(F.col("pay").cast("double") / F.lit(float(10**CENTS)), F.col("paid").cast("double")).alias("avg_salary"),
+        N.std_from_sums(F.col("paid"), F.col("pay"), F.col("pay2"), CENTS).alias("salary_std"),
         "min_salary",
         "max_salary",
         (F.col("max_salary") - F.col("min_salary")).alias("salary_range"),
@@ -79,15 +83,27 @@ def org_features(orgs: DataFrame, people: DataFrame, alerts: DataFrame, policy:
     return out.withColumn("at_risk", risky.cast("int"))
 
 
-def encode(df: DataFrame, columns: Sequence[str], suffix: str = "_encoded") -> DataFrame:
-    """Add a numeric code per category, in alphabetical order from 0; null gets a code of its own."""
-    indexer = StringIndexer(
+def indexer(columns: Sequence[str], suffix: str = "_encoded") -> StringIndexer:
+    """Codes per category, in alphabetical order from 0; null and values not seen get a code of their own.
+
+    For columns with few values: their list is gathered when it is fitted.
+    """
+    return StringIndexer(
         inputCols=list(columns),
         outputCols=[f"{c}{suffix}" for c in columns],
         stringOrderType="alphabetAsc",
         handleInvalid="keep",
     )
-    return indexer.fit(df).transform(df)
+
+
+def encode(df: DataFrame, columns: Sequence[str], suffix: str = "_encoded") -> DataFrame:
+    """Add the codes that these rows give; to code other rows alike, keep the fitted ``indexer``."""
+    return indexer(columns, suffix).fit(df).transform(df)
+
+
+def hash_codes(df: DataFrame, columns: Sequence[str], suffix: str = "_encoded", codes: int = 1024) -> DataFrame:
+    """Add a code per value from a hash: nothing to fit and the same for any table; null is code 0."""
+    return df.withColumns({f"{c}{suffix}": F.when(F.col(c).isNull(), 0).otherwise(F.pmod(F.xxhash64(c), F.lit(codes - 1)) + 1) for c in columns})
 
 
 def _draw(key: str, seed: int):

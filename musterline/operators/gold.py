@@ -238,7 +238,7 @@ def department_share(people: DataFrame, orgs: DataFrame) -> DataFrame:
     partial = people.groupBy("org_id", "department").agg(
         F.count(F.lit(1)).alias("people"),
         N.count_where(F.col("is_national")).alias("national_people"),
-        F.sum("salary").alias("salary_sum"),
+        F.sum(N.fixed(F.col("salary"), 2)).alias("salary_sum"),
         F.count("salary").alias("salary_n"),
         F.sum(N.fixed(F.col("tenure_years"), 1)).alias("tenure_sum"),
         F.count("tenure_years").alias("tenure_n"),
@@ -258,6 +258,6 @@ def department_share(people: DataFrame, orgs: DataFrame) -> DataFrame:
         "people",
         "national_people",
         N.pct(F.col("national_people"), F.col("people"), 1).alias("department_rate_pct"),
-        N.ratio(F.col("salary_sum"), F.col("salary_n"), 0).alias("avg_salary"),
+        N.ratio(F.col("salary_sum"), F.col("salary_n") * 100, 0).alias("avg_salary"),
         N.ratio(F.col("tenure_sum"), F.col("tenure_n") * 10, 1).alias("avg_tenure_years"),
     )

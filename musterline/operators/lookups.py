@@ -24,21 +24,13 @@ def find_org(orgs: DataFrame, name: str) -> DataFrame:
     return first_match(orgs, C.name_like(F.col("name"), name), "name", "org_id")
 
 
-# Up to this many matching organisations are looked up by id, which the file scan can use.
-MOST_IDS = 1000
+def people_of(people: DataFrame, orgs: DataFrame, name: str) -> DataFrame:
+    """People of all organisations whose name contains ``name``, once each.
 
-
-def people_of(people: DataFrame, orgs: DataFrame, name: str, most: int = MOST_IDS) -> DataFrame:
-    """People of all organisations whose name contains ``name``.
-
-    A small job first sees how many match. A few become a filter on the people scan,
-    so a lookup does not shuffle every person; more, or repeated ids, are joined.
+    One join for any number of matches: the planner broadcasts few ids and splits a heavy one when there are many.
     """
-    matching = orgs.filter(C.name_like(F.col("name"), name)).select("org_id")
-    ids = [r["org_id"] for r in matching.limit(most + 1).collect()]
-    if len(ids) <= most and len(set(ids)) == len(ids):
-        return people.filter(F.col("org_id").isin(ids))
-    return people.join(matching, "org_id")
+    matching = orgs.filter(C.name_like(F.col("name"), name)).select("org_id").distinct()
+    return people.join(C.unaligned(matching), "org_id", "left_semi")
 
 
 def _status_columns(policy: Policy) -> list:

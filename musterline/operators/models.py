@@ -34,9 +34,9 @@ RISK_FEATURES = (
     "total", "nationals", "non_nationals", "rate", "sector_encoded", "size_encoded", "avg_salary", "salary_std",
     "female_ratio", "permanent_ratio", "department_diversity", "total_alerts",
 )
-SALARY_CATEGORIES = (
-    "nationality", "job_title", "department", "sector", "size", "region", "contract_type", "gender",
-)
+SALARY_CATEGORIES = ("sector", "size", "region", "contract_type", "gender")
+# Open lists, which may have very many values: coded by a hash, so no list of them is gathered anywhere.
+SALARY_OPEN = ("nationality", "job_title", "department")
 SEGMENT_FEATURES = (
     "total", "rate", "avg_salary", "female_ratio", "permanent_ratio", "department_diversity", "total_alerts",
 )
@@ -45,11 +45,19 @@ ENCODED = ("sector", "size", "region")
 
 @dataclass(frozen=True)
 class Fitted:
-    """A fitted pipeline, its predictions on the test rows and the names of its features."""
+    """A fitted pipeline, its predictions on the test rows and the names of its features.
+
+    The codes of categories are part of the pipeline, so a row's score does not depend on what else is scored.
+    """
 
     model: PipelineModel
     tested: DataFrame
     features: tuple[str, ...]
+    given: tuple[str, ...]
+
+    def score(self, table: DataFrame) -> DataFrame:
+        """Predictions for any table with the columns the model was fitted on."""
+        return self.model.transform(_filled(table, self.given))
 
     def importances(self) -> DataFrame:
         """Features by importance, highest first."""
@@ -64,24 +72,31 @@ def _filled(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns})
 
 
-def _fit(marked: DataFrame, features: Sequence[str], stages: Sequence) -> Fitted:
-    """Fit on the rows not marked as test; iterative trainers checkpoint to the shared folder."""
+def _fit(
+    marked: DataFrame, features: Sequence[str], stages: Sequence, codes: Sequence[str] = (), suffix: str = "_encoded"
+) -> Fitted:
+    """Fit on the rows not marked as test; iterative trainers checkpoint to the shared folder.
+
+    ``codes`` are categories whose codes are learnt as the first stage; a value not seen then has a code of its own.
+    """
     context = marked.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(marked.sparkSession))
-    kept = _filled(marked, features).persist(StorageLevel.MEMORY_AND_DISK)
+    made = [f"{c}{suffix}" for c in codes]
+    given = tuple(f for f in features if f not in made)
+    first = [FE.indexer(codes, suffix)] if codes else []
+    kept = _filled(marked, given).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-        model = Pipeline(stages=[assembler, *stages]).fit(kept.filter(~F.col("is_test")))
+        model = Pipeline(stages=[*first, assembler, *stages]).fit(kept.filter(~F.col("is_test")))
     finally:
         kept.unpersist()
-    tested = model.transform(_filled(marked.filter("is_test"), features))
-    return Fitted(model, tested, tuple(features))
+    tested = model.transform(_filled(marked.filter("is_test"), given))
+    return Fitted(model, tested, tuple(features), given)
 
 
 def fit_tier_model(table: DataFrame, trees: int = 100, depth: int = 10, seed: int = 42) -> Fitted:
     """Random forest for the tier, balanced by class weights, on a stratified split."""
-    table = FE.encode(table, ENCODED)
     # A classifier has few classes; their weights become a CASE instead of a join on a hot key.
     weights = {r["tier"]: r["balanced_weight"] for r in FE.class_weights(table, "tier").collect()}
     marked = FE.stratified_split(table, "org_id", "tier", seed=seed).withColumn(
@@ -90,31 +105,30 @@ def fit_tier_model(table: DataFrame, trees: int = 100, depth: int = 10, seed: in
     labels = StringIndexer(inputCol="tier", outputCol="label", stringOrderType="alphabetAsc").fit(marked)
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, weightCol="weight", labelCol="label")
     names = IndexToString(inputCol="prediction", outputCol="predicted_tier", labels=labels.labels)
-    return _fit(marked, TIER_FEATURES, [labels, forest, names])
+    return _fit(marked, TIER_FEATURES, [labels, forest, names], ENCODED)
 
 
 def fit_rate_model(table: DataFrame, trees: int = 100, depth: int = 5, step: float = 0.1, seed: int = 42) -> Fitted:
     """Boosted trees for the rate."""
-    marked = FE.split(FE.encode(table, ENCODED).filter(F.col("rate").isNotNull()), "org_id", seed=seed)
+    marked = FE.split(table.filter(F.col("rate").isNotNull()), "org_id", seed=seed)
     boosted = GBTRegressor(labelCol="rate", maxIter=trees, maxDepth=depth, stepSize=step, seed=seed)
-    return _fit(marked, RATE_FEATURES, [boosted])
+    return _fit(marked, RATE_FEATURES, [boosted], ENCODED)
 
 
 def fit_risk_model(table: DataFrame, trees: int = 100, depth: int = 5, step: float = 0.1, seed: int = 42) -> Fitted:
     """Boosted trees for the risk label; the risky class weighs as much as the rest together."""
-    marked = FE.split(FE.encode(table, ENCODED), "org_id", seed=seed)
+    marked = FE.split(table, "org_id", seed=seed)
     weights = {r["at_risk"]: r["rest_ratio"] for r in FE.class_weights(marked.filter(~F.col("is_test")), "at_risk").collect()}
     weighted = marked.withColumn("weight", F.when(F.col("at_risk") == 1, float(weights.get(1, 1.0))).otherwise(1.0))
     boosted = GBTClassifier(
         labelCol="at_risk", weightCol="weight", maxIter=trees, maxDepth=depth, stepSize=step, seed=seed
     )
-    return _fit(weighted, RISK_FEATURES, [boosted])
+    return _fit(weighted, RISK_FEATURES, [boosted], ENCODED[:2])
 
 
 def risk_probabilities(fitted: Fitted, table: DataFrame) -> DataFrame:
     """Probability of risk for every organisation."""
-    scored = fitted.model.transform(_filled(FE.encode(table, ENCODED), fitted.features))
-    return scored.select("org_id", "sector", vector_to_array("probability")[1].alias("risk_probability"))
+    return fitted.score(table).select("org_id", "sector", vector_to_array("probability")[1].alias("risk_probability"))
 
 
 def fit_salary_model(
@@ -122,10 +136,11 @@ def fit_salary_model(
 ) -> Fitted:
     """Boosted trees for the salary of a person from job, person and organisation."""
     org = orgs.select("org_id", "sector", "size", "region")
-    joined = people.filter(F.col("salary").isNotNull()).join(org, "org_id")
-    marked = FE.split(FE.encode(joined, SALARY_CATEGORIES, "_enc"), "person_id", seed=seed)
+    joined = people.filter(F.col("salary").isNotNull()).join(C.unaligned(org), "org_id")
+    marked = FE.split(FE.hash_codes(joined, SALARY_OPEN, "_enc"), "person_id", seed=seed)
     boosted = GBTRegressor(labelCol="salary", maxIter=trees, maxDepth=depth, stepSize=step, seed=seed)
-    return _fit(marked, [*(f"{c}_enc" for c in SALARY_CATEGORIES), "is_remote"], [boosted])
+    names = [f"{c}_enc" for c in (*SALARY_OPEN, *SALARY_CATEGORIES)]
+    return _fit(marked, [*names, "is_remote"], [boosted], SALARY_CATEGORIES, "_enc")
 
 
 def regression_report(fitted: Fitted, label: str) -> DataFrame:

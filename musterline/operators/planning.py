@@ -27,11 +27,12 @@ def target_threshold(target: Column | str, policy: Policy = Policy()) -> Column:
 
 
 def with_hires(df: DataFrame, target_pct: str = "target_pct") -> DataFrame:
-    """Add hires to reach ``target_pct`` and the rate after hiring; 0 once there or without a rule."""
+    """Add hires to reach ``target_pct`` and the rate after hiring; 0 once there or without a rule.
+
+    The head counts decide, not the rounded rate: 6,999 of 25,000 are not yet 28 %.
+    """
     total, part, now = F.col("total"), F.col("nationals"), F.col("rate_pct")
-    needed = F.when(now >= F.col(target_pct), 0).otherwise(
-        F.greatest(F.lit(0), N.hires_needed(total, part, F.col(target_pct)))
-    )
+    needed = F.greatest(F.lit(0).cast("bigint"), N.hires_needed(total, part, F.col(target_pct)))
     out = df.withColumn("hires", F.when(F.col(target_pct).isNull(), 0).otherwise(needed).cast("bigint"))
     after = N.pct(part + F.col("hires"), total + F.col("hires"), 2)
     return out.withColumn("projected_rate_pct", F.when(F.col("hires") == 0, now).otherwise(after))
@@ -207,6 +208,9 @@ def simulate(df: DataFrame, policy: Policy) -> DataFrame:
     ).withColumn("projected_tier", projected_tier(F.col("raw_rate"), policy))
     old_rank, new_rank = (C.map_values(F.col(c), order, 0) for c in ("tier", "projected_tier"))
     now = F.col("rate_pct")
+    # Both rates as products of head counts, so that no change is no change.
+    after = F.col("new_nationals") * F.greatest(F.col("total"), F.lit(1))
+    before = F.col("nationals") * F.greatest(F.col("new_total"), F.lit(1))
     return rated.withColumns(
         {
             "current_nationals": F.col("nationals"),
@@ -215,7 +219,7 @@ def simulate(df: DataFrame, policy: Policy) -> DataFrame:
             "current_rate_pct": now,
             "current_tier": F.col("tier"),
             "tier_impact": _impact(new_rank, old_rank, "UPGRADE", "DOWNGRADE"),
-            "rate_impact": _impact(F.col("raw_rate"), now, "IMPROVEMENT", "DECLINE"),
+            "rate_impact": _impact(after, before, "IMPROVEMENT", "DECLINE"),
             "pct_change": F.round(F.col("new_rate_pct") - now, 2),
         }
     )

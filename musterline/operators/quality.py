@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
-from dataclasses import astuple, dataclass
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,15 +14,115 @@ from ..functions import columns as C
 from ..functions import numeric as N
 from ..policy import Policy, QualityPolicy
 
-ORGS, PEOPLE = "bronze.organisations", "bronze.people"
+#: Short names of the checked tables; callers say which stored table each stands for.
+ORGS, PEOPLE = "organisations", "people"
 
 
 def sql_list(values: Sequence[str]) -> str:
     return "(" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + ")"
 
 
-def sql_date(day: dt.date) -> str:
-    return f"DATE'{day.isoformat()}'"
+def sql_value(value) -> str:
+    return f"DATE'{value.isoformat()}'" if isinstance(value, dt.date) else str(value)
+
+
+# --- what valid values are ------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Valid:
+    """What is known of a column's valid values; every part that is given becomes a check of its own.
+
+    Nulls are judged by ``required`` alone. ``key`` and ``known_in`` concern the whole table: no value twice, and every row's
+    value, null included, among the other table's.
+    """
+
+    column: str
+    required: bool = False
+    among: Sequence[str] | None = None
+    least: object = None
+    most: object = None
+    agrees: str | None = None
+    key: bool = False
+    known_in: str | None = None
+    weight: str = "medium"
+
+    def checks(self, table: str) -> list[Check]:
+        col = self.column
+        limits = [f"{col} {op} {sql_value(v)}" for op, v in ((">=", self.least), ("<=", self.most)) if v is not None]
+        parts = [
+            ("present", self.required, f"{col} IS NOT NULL"),
+            ("listed", self.among is not None, f"{col} IN {sql_list(self.among or ())}"),
+            ("within", bool(limits), " AND ".join(limits)),
+            ("agrees", self.agrees is not None, self.agrees or ""),
+            ("single", self.key, f"{col} IS UNIQUE"),
+            ("known", self.known_in is not None, f"{col} IN TABLE {self.known_in}"),
+        ]
+        return [Check(table, col, part, text, self.weight, self.known_in) for part, given, text in parts if given]
+
+
+#: Kind of every part and how a catalogue describes it.
+PARTS = {
+    "present": ("completeness", "no value is missing"),
+    "listed": ("validity", "values come from the list"),
+    "within": ("validity", "values lie within the bounds"),
+    "agrees": ("consistency", "the value follows from the other columns"),
+    "single": ("uniqueness", "no value occurs twice"),
+    "known": ("consistency", "the value exists in the other table"),
+}
+
+
+@dataclass(frozen=True)
+class Check:
+    """One generated check; its id is table, column and part."""
+
+    table: str
+    column: str
+    part: str
+    condition: str
+    weight: str
+    known_in: str | None = None
+    is_active: bool = True
+
+    @property
+    def id(self) -> str:
+        return f"{self.table}.{self.column}.{self.part}"
+
+    @property
+    def by_row(self) -> bool:
+        return self.part not in ("single", "known")
+
+
+def declaration(
+    as_of: dt.date, policy: Policy = Policy(), bounds: QualityPolicy = QualityPolicy()
+) -> dict[str, tuple[Valid, ...]]:
+    """Valid values of both raw tables."""
+    near = f"abs(rate - try_divide(nationals, total)) <= {bounds.rate_tolerance}"
+    return {
+        PEOPLE: (
+            Valid("contract_type", among=policy.contract_types),
+            Valid("gender", among=policy.genders),
+            Valid("hire_date", most=as_of, weight="high"),
+            Valid("nationality", required=True, weight="critical"),
+            Valid("org_id", known_in=ORGS, weight="critical"),
+            Valid("person_id", required=True, key=True, weight="critical"),
+            Valid("salary", least=bounds.salary_min, most=bounds.salary_max),
+        ),
+        ORGS: (
+            Valid("name", required=True, weight="high"),
+            Valid("nationals", least=0),
+            Valid("org_id", required=True, key=True, weight="critical"),
+            Valid("rate", least=0, most=1, agrees=near, weight="high"),
+            Valid("sector", among=policy.sectors, weight="high"),
+            Valid("size", among=policy.sizes),
+            Valid("tier", among=policy.tiers, weight="critical"),
+            Valid("total", least=1, agrees="total = nationals + non_nationals", weight="critical"),
+        ),
+    }
+
+
+def checks(declared: Mapping[str, Sequence[Valid]]) -> list[Check]:
+    return [c for table, columns in declared.items() for valid in columns for c in valid.checks(table)]
 
 
 # --- expectations ---------------------------------------------------------------------------
@@ -49,48 +149,24 @@ def add_expectation(rules: Sequence[Expectation], rule: Expectation) -> tuple[Ex
     return tuple(rules) if any(r.name == rule.name for r in rules) else (*rules, rule)
 
 
-def org_expectations(policy: Policy = Policy()) -> tuple[Expectation, ...]:
-    return (
-        Expectation("org_id_not_null", "org_id IS NOT NULL"),
-        Expectation("org_name_not_null", "name IS NOT NULL"),
-        Expectation("org_valid_sector", f"sector IN {sql_list(policy.sectors)}"),
-        Expectation("org_valid_size", f"size IN {sql_list(policy.sizes)}"),
-        Expectation("org_valid_tier", f"tier IN {sql_list(policy.tiers)}"),
-        Expectation("org_total_positive", "total > 0"),
-        Expectation("org_nationals_not_negative", "nationals >= 0"),
-        Expectation("org_sum_matches", "total = nationals + non_nationals"),
-        Expectation("org_rate_valid", "rate >= 0 AND rate <= 1"),
-    )
-
-
-def people_expectations(
-    as_of: dt.date, policy: Policy = Policy(), bounds: QualityPolicy = QualityPolicy()
-) -> tuple[Expectation, ...]:
-    return (
-        Expectation("person_id_not_null", "person_id IS NOT NULL"),
-        Expectation("person_org_id_not_null", "org_id IS NOT NULL"),
-        Expectation("person_nationality_not_null", "nationality IS NOT NULL"),
-        Expectation("person_salary_positive", "salary > 0"),
-        Expectation("person_salary_reasonable", f"salary >= {bounds.salary_min} AND salary <= {bounds.salary_max}"),
-        Expectation("person_hire_date_not_future", f"hire_date <= {sql_date(as_of)}"),
-        Expectation("person_contract_type_valid", f"contract_type IN {sql_list(policy.contract_types)}"),
-        Expectation("person_gender_valid", f"gender IN {sql_list(policy.genders)}"),
-    )
+def expectations(rules: Sequence[Check], table: str) -> tuple[Expectation, ...]:
+    """The row checks of a table as expectations."""
+    return tuple(Expectation(c.id, c.condition) for c in rules if c.table == table and c.by_row)
 
 
 def violations(df: DataFrame, rules: Sequence[Expectation]) -> DataFrame:
     """Violations per rule from one pass over the rows."""
     counts = df.agg(
-        F.count(F.lit(1)).alias("total"), *[N.count_where(~r.met()).alias(r.name) for r in rules]
+        F.count(F.lit(1)).alias("total"), *[N.count_where(~r.met()).alias(f"v{i}") for i, r in enumerate(rules)]
     )
     rows = [
         F.struct(
             F.lit(r.name).alias("expectation"),
             F.lit(r.policy).alias("policy"),
             F.col("total").alias("rows_checked"),
-            F.col(r.name).alias("violations"),
+            F.col(f"v{i}").alias("violations"),
         )
-        for r in rules
+        for i, r in enumerate(rules)
     ]
     return counts.select(F.inline(F.array(*rows)))
 
@@ -103,75 +179,33 @@ def check(df: DataFrame, rules: Sequence[Expectation]) -> tuple[DataFrame, DataF
 # --- rule catalogue -------------------------------------------------------------------------
 
 
-@dataclass(frozen=True)
-class Rule:
-    """One catalogued rule; ``check`` says how it is evaluated: per row, as a key or as a reference."""
-
-    rule_id: str
-    rule_name: str
-    rule_description: str
-    target_table: str
-    target_column: str
-    rule_type: str
-    rule_expression: str
-    severity: str
-    is_active: bool = True
-    check: str = "row"
-
-
-def catalogue(
-    as_of: dt.date, policy: Policy = Policy(), bounds: QualityPolicy = QualityPolicy()
-) -> tuple[Rule, ...]:
-    """The rules in force; a row expression states what a valid row meets, null meaning unknown, not invalid."""
-    rate = f"abs(rate - try_divide(nationals, total)) <= {bounds.rate_tolerance}"
-    salary = f"salary BETWEEN {bounds.salary_min} AND {bounds.salary_max}"
-    return (
-        Rule("DQ001", "Organisation ID Required", "Every organisation must have an ID", ORGS, "org_id",
-             "completeness", "org_id IS NOT NULL", "critical"),
-        Rule("DQ002", "Person ID Required", "Every person must have an ID", PEOPLE, "person_id",
-             "completeness", "person_id IS NOT NULL", "critical"),
-        Rule("DQ003", "Organisation Name Required", "Every organisation must have a name", ORGS, "name",
-             "completeness", "name IS NOT NULL", "high"),
-        Rule("DQ004", "Nationality Required", "Every person must have a nationality", PEOPLE, "nationality",
-             "completeness", "nationality IS NOT NULL", "critical"),
-        Rule("DQ005", "Valid Sector", "Sector must be on the approved list", ORGS, "sector",
-             "validity", f"sector IN {sql_list(policy.sectors)}", "high"),
-        Rule("DQ006", "Valid Tier", "Tier must be a known classification", ORGS, "tier",
-             "validity", f"tier IN {sql_list(policy.tiers)}", "critical"),
-        Rule("DQ007", "Valid Salary Range", "Salary must be within reasonable bounds", PEOPLE, "salary",
-             "validity", salary, "medium"),
-        Rule("DQ008", "Hire Date Not Future", "Hire date must not lie in the future", PEOPLE, "hire_date",
-             "validity", f"hire_date <= {sql_date(as_of)}", "high"),
-        Rule("DQ009", "Headcount Matches", "Total must equal nationals plus others", ORGS, "total",
-             "consistency", "total = nationals + non_nationals", "critical"),
-        Rule("DQ010", "Rate Consistent", "Rate must match the calculated value", ORGS, "rate",
-             "consistency", rate, "high"),
-        Rule("DQ012", "Person References Organisation", "Every person must belong to a known organisation", PEOPLE,
-             "org_id", "consistency", f"org_id EXISTS IN {ORGS}", "critical", check=f"reference:{ORGS}"),
-        Rule("DQ013", "Organisation ID Unique", "No duplicate organisation IDs", ORGS, "org_id",
-             "uniqueness", "COUNT(DISTINCT org_id) = COUNT(*)", "critical", check="unique"),
-        Rule("DQ014", "Person ID Unique", "No duplicate person IDs", PEOPLE, "person_id",
-             "uniqueness", "COUNT(DISTINCT person_id) = COUNT(*)", "critical", check="unique"),
-    )
-
-
-def rules_catalog(spark: SparkSession, rules: Sequence[Rule], now: dt.datetime | None = None) -> DataFrame:
-    """The catalogue as a table."""
+def rules_catalog(
+    spark: SparkSession, rules: Sequence[Check], now: dt.datetime | None = None, names: Mapping[str, str] | None = None
+) -> DataFrame:
+    """The checks as a table; ``names`` are the stored tables they concern."""
+    rows = [
+        (c.id, f"{c.column}: {PARTS[c.part][1]}", c.condition, _named(names, c.table), c.column, PARTS[c.part][0], c.weight, c.is_active)
+        for c in rules
+    ]
     schema = (
-        "rule_id string, rule_name string, rule_description string, target_table string, target_column string, "
-        "rule_type string, rule_expression string, severity string, is_active boolean"
+        "rule_id string, rule_name string, rule_expression string, target_table string, target_column string, "
+        "rule_type string, severity string, is_active boolean"
     )
-    df = spark.createDataFrame([astuple(r)[:9] for r in rules], schema)
+    df = spark.createDataFrame(rows, schema)
     return C.stamp(C.stamp(df, "created_date", now), "last_updated", now)
 
 
-def _result(rule: Rule, total: Column, failed: Column) -> Column:
+def _named(names: Mapping[str, str] | None, table: str) -> str:
+    return (names or {}).get(table, table)
+
+
+def _result(rule: Check, total: Column, failed: Column) -> Column:
     return F.struct(
-        F.lit(rule.rule_id).alias("rule_id"),
-        F.lit(rule.rule_name).alias("rule_name"),
-        F.lit(rule.target_table).alias("table_name"),
-        F.lit(rule.target_column).alias("column_name"),
-        F.lit(rule.rule_type).alias("check_type"),
+        F.lit(rule.id).alias("rule_id"),
+        F.lit(f"{rule.column}: {PARTS[rule.part][1]}").alias("rule_name"),
+        F.lit(rule.table).alias("table_name"),
+        F.lit(rule.column).alias("column_name"),
+        F.lit(PARTS[rule.part][0]).alias("check_type"),
         total.alias("total_records"),
         failed.alias("failed_records"),
     )
@@ -179,27 +213,27 @@ def _result(rule: Rule, total: Column, failed: Column) -> Column:
 
 def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Rows of ``child`` whose key is not in ``parent``; a null key counts as not found."""
-    return child.join(parent.select(key), key, "left_anti")
+    return child.join(C.unaligned(parent.select(key)), key, "left_anti")
 
 
-def _row_results(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+def _row_results(df: DataFrame, rules: Sequence[Check]) -> DataFrame:
     counts = df.agg(
         F.count(F.lit(1)).alias("total"),
-        *[N.count_where(~F.expr(r.rule_expression)).alias(r.rule_id) for r in rules],
+        *[N.count_where(~F.expr(r.condition)).alias(f"c{i}") for i, r in enumerate(rules)],
     )
-    return counts.select(F.inline(F.array(*[_result(r, F.col("total"), F.col(r.rule_id)) for r in rules])))
+    return counts.select(F.inline(F.array(*[_result(r, F.col("total"), F.col(f"c{i}")) for i, r in enumerate(rules)])))
 
 
-def _unique_result(df: DataFrame, rule: Rule) -> DataFrame:
+def _unique_result(df: DataFrame, rule: Check) -> DataFrame:
     """Own pass over the key column alone, so only keys are shuffled, not the other counts with them."""
-    counts = df.agg(F.count(F.lit(1)).alias("total"), F.count_distinct(rule.target_column).alias("distinct_ids"))
+    counts = df.agg(F.count(F.lit(1)).alias("total"), F.count_distinct(rule.column).alias("distinct_ids"))
     row = _result(rule, F.col("total"), F.col("total") - F.col("distinct_ids"))
     return counts.select(F.inline(F.array(row)))
 
 
-def _reference_result(child: DataFrame, parent: DataFrame, rule: Rule) -> DataFrame:
+def _reference_result(child: DataFrame, parent: DataFrame, rule: Check) -> DataFrame:
     """Keys are counted before the join, so a key with very many rows joins as one row."""
-    key = rule.target_column
+    key = rule.column
     counted = child.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
     known = parent.select(F.col(key).alias("known_key")).distinct()
     counts = counted.join(known, counted[key] == known["known_key"], "left").agg(
@@ -209,23 +243,31 @@ def _reference_result(child: DataFrame, parent: DataFrame, rule: Rule) -> DataFr
     return counts.select(F.inline(F.array(_result(rule, F.col("total"), F.col("missing")))))
 
 
-def validate(tables: Mapping[str, DataFrame], rules: Sequence[Rule], now=None) -> DataFrame:
-    """Result row of every active rule: one pass per table for row rules, one per key or reference rule."""
+def _shown(names: Mapping[str, str] | None) -> Column:
+    table = F.col("table_name")
+    return C.map_values(table, names or {}, table).alias("table_name")
+
+
+def validate(
+    tables: Mapping[str, DataFrame], rules: Sequence[Check], now=None, names: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Result row of every active check: at most three reads of a table, for its row, key and reference checks.
+
+    ``tables`` go by their short names; ``names`` are the stored names shown in the result.
+    """
     active = [r for r in rules if r.is_active]
     parts = []
     for name, df in tables.items():
-        mine = [r for r in active if r.target_table == name]
-        if row_rules := [r for r in mine if r.check == "row"]:
+        mine = [r for r in active if r.table == name]
+        if row_rules := [r for r in mine if r.by_row]:
             parts.append(_row_results(df, row_rules))
-        parts += [_unique_result(df, r) for r in mine if r.check == "unique"]
-        for r in mine:
-            if r.check.startswith("reference:"):
-                parts.append(_reference_result(df, tables[r.check.removeprefix("reference:")], r))
+        parts += [_unique_result(df, r) for r in mine if r.part == "single"]
+        parts += [_reference_result(df, tables[r.known_in], r) for r in mine if r.part == "known"]
     total, failed = F.col("total_records"), F.col("failed_records")
     out = reduce(DataFrame.unionByName, parts).select(
         "rule_id",
         "rule_name",
-        "table_name",
+        _shown(names),
         "column_name",
         "check_type",
         "total_records",
@@ -277,6 +319,11 @@ def _anomaly(when: Column, kind: str, record: str, table: str, column: str, valu
     )
 
 
+# Kinds, texts and severities of anomalies must equal the published ones.
+SALARY_KIND, RATE_KIND, SIZE_KIND = "salary_anomaly", "calculation_mismatch", "employee_count_outlier"
+RATE_TEXT = "Stored rate does not match calculated value"
+
+
 def salary_anomaly(bounds: QualityPolicy = QualityPolicy()) -> Column:
     """Salary outside the usual range; severe outside the wider one."""
     pay = F.col("salary")
@@ -289,7 +336,7 @@ def salary_anomaly(bounds: QualityPolicy = QualityPolicy()) -> Column:
     )
     severity = F.when((pay < bounds.severe_salary[0]) | (pay > bounds.severe_salary[1]), "High").otherwise("Medium")
     odd = (pay < low) | (pay > high)
-    return _anomaly(odd, "salary_anomaly", "person_id", PEOPLE, "salary", pay.cast("string"), text, severity)
+    return _anomaly(odd, SALARY_KIND, "person_id", PEOPLE, "salary", pay.cast("string"), text, severity)
 
 
 def rate_anomaly(bounds: QualityPolicy = QualityPolicy()) -> Column:
@@ -298,9 +345,9 @@ def rate_anomaly(bounds: QualityPolicy = QualityPolicy()) -> Column:
     value = F.concat(
         F.col("rate").cast("string"), F.lit(" vs calculated: "), F.round(actual, 4).cast("string")
     )
-    text = F.lit("Stored rate does not match calculated value")
+    text = F.lit(RATE_TEXT)
     off = F.abs(F.col("rate") - actual) > bounds.rate_tolerance
-    return _anomaly(off, "calculation_mismatch", "org_id", ORGS, "rate", value, text, "High")
+    return _anomaly(off, RATE_KIND, "org_id", ORGS, "rate", value, text, "High")
 
 
 def size_anomaly(bounds: QualityPolicy = QualityPolicy()) -> Column:
@@ -316,7 +363,7 @@ def size_anomaly(bounds: QualityPolicy = QualityPolicy()) -> Column:
         F.col("size"),
     )
     odd = reduce(lambda a, b: a | b, cases)
-    return _anomaly(odd, "employee_count_outlier", "org_id", ORGS, "total", total.cast("string"), text, "Low")
+    return _anomaly(odd, SIZE_KIND, "org_id", ORGS, "total", total.cast("string"), text, "Low")
 
 
 def detect(df: DataFrame, *detectors: Column) -> DataFrame:
@@ -324,9 +371,12 @@ def detect(df: DataFrame, *detectors: Column) -> DataFrame:
     return df.select(F.inline(F.filter(F.array(*detectors), lambda a: a.isNotNull())))
 
 
-def anomalies(orgs: DataFrame, people: DataFrame, bounds: QualityPolicy = QualityPolicy(), now=None) -> DataFrame:
+def anomalies(
+    orgs: DataFrame, people: DataFrame, bounds: QualityPolicy = QualityPolicy(), now=None, names: Mapping[str, str] | None = None
+) -> DataFrame:
     """Anomaly log over both tables."""
     out = detect(people, salary_anomaly(bounds)).unionByName(detect(orgs, rate_anomaly(bounds), size_anomaly(bounds)))
+    out = out.withColumn("table_name", _shown(names))
     return C.stamp(out, "detected_at", now)
 
 
@@ -342,8 +392,10 @@ def _metric(name: str, value: Column, unit: str, status: Column | str) -> Column
     )
 
 
-def dashboard(dq_summary: DataFrame, anomaly_log: DataFrame, bounds: QualityPolicy = QualityPolicy()) -> DataFrame:
-    """Four headline metrics with grades; the summary is aggregated once for three of them."""
+def dashboard(
+    dq_summary: DataFrame, anomaly_log: DataFrame, bounds: QualityPolicy = QualityPolicy(), as_of=None
+) -> DataFrame:
+    """Four headline metrics with grades and, if given, the time they hold for; the summary is aggregated once for three."""
     score = F.col("weighted_dq_score")
     totals = dq_summary.agg(
         N.mean(score, 1, stored=2).alias("score"),
@@ -377,7 +429,7 @@ def dashboard(dq_summary: DataFrame, anomaly_log: DataFrame, bounds: QualityPoli
             )
         )
     )
-    return head.unionByName(found)
+    return C.stamp(head.unionByName(found), "as_of", as_of)
 
 
 def by_check_type(results: DataFrame) -> DataFrame:
@@ -395,9 +447,10 @@ def by_check_type(results: DataFrame) -> DataFrame:
 
 
 def failed_rules(results: DataFrame) -> DataFrame:
-    """Rules with failures, most failures first."""
+    """Rules with failures and, where it was recorded, the time of the check; most failures first."""
+    time = [c for c in ("check_timestamp",) if c in results.columns]
     return (
         results.filter(F.col("status") == "FAILED")
-        .select("rule_id", "rule_name", "table_name", "column_name", "check_type", "failed_records", "pass_rate")
+        .select("rule_id", "rule_name", "table_name", "column_name", "check_type", "failed_records", "pass_rate", *time)
         .orderBy(F.desc("failed_records"), "rule_id")
     )

@@ -53,44 +53,41 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     )
 
 
-def crosstab(df: DataFrame, rows: str, columns: str, values: Sequence[str]) -> DataFrame:
-    """Rows counted per pair of categories, one column per value, missing pairs as 0."""
-    return df.groupBy(rows).pivot(columns, list(values)).agg(F.count(F.lit(1))).na.fill(0)
+def crosstab(df: DataFrame, rows: str, columns: str, values: Sequence[str], rest: str = "other") -> DataFrame:
+    """Rows counted per pair of categories, one column per value, missing pairs as 0.
+
+    Values that are not listed, null included, are counted in the column ``rest``.
+    """
+    kind = F.when(F.col(columns).isin(list(values)), F.col(columns)).otherwise(F.lit(rest))
+    counted = df.select(rows, kind.alias(columns))
+    return counted.groupBy(rows).pivot(columns, [*values, rest]).agg(F.count(F.lit(1))).na.fill(0, [*values, rest])
 
 
 def describe_by(df: DataFrame, key: str, value: str, places: int = 0) -> DataFrame:
     """Mean, sample standard deviation, lowest and highest value per group of rows."""
-    v = F.col(value).cast("bigint")
-    sums = df.filter(F.col(key).isNotNull()).groupBy(key).agg(
-        F.count(value).alias("n"),
-        F.sum(v).alias("s"),
-        F.sum((v * v).cast("decimal(20,0)")).alias("s2"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
+    v = F.col(value).cast("double")
+    return (
+        df.filter(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(
+            N.rounded(N.average(v, 6), places).alias("mean"),
+            N.rounded(F.stddev_samp(v), places).alias("std"),
+            F.min(value).alias("min"),
+            F.max(value).alias("max"),
+        )
     )
-    return _described(sums, key, places)
 
 
-def _described(sums: DataFrame, key: str, places: int) -> DataFrame:
-    return sums.select(
-        key,
-        N.ratio(F.col("s"), F.col("n"), places).alias("mean"),
-        N.rounded(N.std_from_sums(F.col("n"), F.col("s"), F.col("s2")), places).alias("std"),
-        "min",
-        "max",
-    )
+#: Decimals of a salary that count.
+CENTS = 2
 
 
 def salary_by_sector(people: DataFrame, orgs: DataFrame, places: int = 0) -> DataFrame:
     """Salary statistics per sector. People are summed per organisation first, so the
     join carries one row per organisation instead of one per person."""
-    v = F.col("salary").cast("bigint")
+    s, s2 = N.squares(F.col("salary"), CENTS)
     per_org = people.groupBy("org_id").agg(
-        F.count("salary").alias("n"),
-        F.sum(v).alias("s"),
-        F.sum((v * v).cast("decimal(20,0)")).alias("s2"),
-        F.min("salary").alias("min"),
-        F.max("salary").alias("max"),
+        F.count("salary").alias("n"), s.alias("s"), s2.alias("s2"), F.min("salary").alias("min"), F.max("salary").alias("max")
     )
     sums = (
         per_org.join(orgs.select("org_id", "sector"), "org_id")
@@ -98,13 +95,20 @@ def salary_by_sector(people: DataFrame, orgs: DataFrame, places: int = 0) -> Dat
         .groupBy("sector")
         .agg(
             F.sum("n").alias("n"),
-            F.sum("s").alias("s"),
+            F.sum("s").cast("decimal(38,0)").alias("s"),
             F.sum("s2").cast("decimal(38,0)").alias("s2"),
             F.min("min").alias("min"),
             F.max("max").alias("max"),
         )
     )
-    return _described(sums, "sector", places)
+    mean = F.col("s").cast("double") / F.col("n") / F.lit(float(10**CENTS))
+    return sums.select(
+        "sector",
+        N.rounded(F.when(F.col("n") > 0, mean), places).alias("mean"),
+        N.rounded(N.std_from_sums(F.col("n"), F.col("s"), F.col("s2"), CENTS), places).alias("std"),
+        "min",
+        "max",
+    )
 
 
 def mean_by(df: DataFrame, key: str, value: str, times: int = 1, places: int = 2) -> DataFrame:

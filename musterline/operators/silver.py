@@ -175,7 +175,7 @@ def org_gap(orgs: DataFrame, rules: DataFrame, policy: Policy = Policy(), now=No
         "compliance_status",
         *thresholds,
         *[
-            F.round(F.col(policy.threshold(t)) - F.col("rate_pct"), 2).alias(f"gap_to_{t.lower()}")
+            N.rounded(F.col(policy.threshold(t)) - F.col("rate_pct"), 2).alias(f"gap_to_{t.lower()}")
             for t in policy.graded
         ],
         hires.otherwise(_hires(policy, policy.graded[-1])).alias("hires_for_next_tier"),
@@ -204,7 +204,7 @@ def attrition_risk(people: DataFrame, orgs: DataFrame, policy: Policy = Policy()
         "org_id", F.col("name").alias("org_name"), "sector", "tier", "rate_pct", "nationals", "total"
     )
     without = N.pct(F.col("nationals") - 1, F.col("total"), 2)
-    out = people.join(org, "org_id", "inner").select(
+    out = people.join(C.unaligned(org), "org_id", "inner").select(
         "person_id",
         "org_id",
         "org_name",

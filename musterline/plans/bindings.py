@@ -51,7 +51,7 @@ class Bindings:
         rows = []
         for s, sector in enumerate(SEGMENTS):
             for z, size in enumerate(POLICY.sizes):
-                bounds = ", ".join(f"{base + 2 * z + s}D" for base in (48, 38, 28, 18))
+                bounds = ", ".join(f"{base + 2 * z + s + z / 8}D" for base in (48, 38, 28, 18))
                 rows.append(f"('R{s}{z}', '{sector}', '{size}', {bounds}, DATE'1992-01-01', DATE'1992-01-01')")
         columns = ", ".join(["rule_id", "sector", "size", *map(POLICY.threshold, POLICY.graded)])
         return self.spark.sql(
@@ -132,15 +132,38 @@ class Bindings:
         )
 
     def reported_orgs(self) -> DataFrame:
-        """Organisations as reported, with flaws for the quality checks to find.
-
-        Every 50th reports a rate 5 points off and every 75th one person too many.
-        """
-        off = F.col("org_id") % 50 == 0
+        """Organisations as reported: some rows break each of the quality checks."""
+        key = F.col("org_id")
+        every = lambda n: key % n == 0
         return self.orgs().withColumns(
             {
-                "rate": F.when(off, (F.floor(F.col("rate") * 100) + 5) / 100.0).otherwise(F.col("rate")),
-                "non_nationals": F.col("non_nationals") + F.when(F.col("org_id") % 75 == 0, 1).otherwise(0),
+                "org_id": F.when(every(67), None).when(every(61), key - 1).otherwise(key),
+                "name": F.when(~every(97), F.col("name")),
+                "sector": F.when(every(89), "MINING").otherwise(F.col("sector")),
+                "size": F.when(every(83), "Huge").otherwise(F.col("size")),
+                "tier": F.when(every(79), "Blue").otherwise(F.col("tier")),
+                "total": F.when(every(71), 0).otherwise(F.col("total")),
+                "nationals": F.when(every(73), -1).otherwise(F.col("nationals")),
+                "rate": F.when(every(59), 1.5)
+                .when(every(50), (F.floor(F.col("rate") * 100) + 5) / 100.0)
+                .otherwise(F.col("rate")),
+                "non_nationals": F.col("non_nationals") + F.when(every(75), 1).otherwise(0),
+            }
+        )
+
+    def reported_people(self) -> DataFrame:
+        """People as reported: missing and repeated ids, unknown organisations, values off the lists."""
+        key = F.col("person_id")
+        every = lambda n: key % n == 0
+        return self.people().withColumns(
+            {
+                "person_id": F.when(every(101), None).when(every(103), 1).otherwise(key),
+                "nationality": F.when(~every(107), F.col("nationality")),
+                "org_id": F.when(every(109), F.col("org_id") + 1_000_000_000)
+                .when(every(113), None)
+                .otherwise(F.col("org_id")),
+                "contract_type": F.when(every(127), "Casual").otherwise(F.col("contract_type")),
+                "gender": F.when(every(131), "?").otherwise(F.col("gender")),
             }
         )
 
@@ -154,7 +177,7 @@ class Bindings:
             F.col("o_custkey").alias("org_id"),
             F.when(F.col("o_orderstatus") == "F", "N").otherwise(F.col("o_orderstatus")).alias("nationality"),
             F.col("o_orderpriority").alias("job_title"),
-            F.col("o_orderpriority").alias("department"),
+            F.concat(F.lit("Dept "), (key % 7).cast("string")).alias("department"),
             F.floor("o_totalprice").cast("int").alias("salary"),
             F.when(end.isNull(), "Permanent").otherwise("Fixed-term").alias("contract_type"),
             hired.alias("hire_date"),

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import gold, quality, silver
 from ..policy import Policy, QualityPolicy
@@ -34,6 +34,12 @@ QUALITY = ("rules_catalog", "validation_results", "summary_metrics", "anomalies"
 QUALITY_VIEWS = ("dashboard", "by_check_type", "failed_rules")
 
 
+def show(spark: SparkSession, name: str, df: DataFrame, order: str) -> None:
+    """Store a report and put a sorted view in front of it; what it says is defined once, by the operator."""
+    write_table(df, f"{name}_stored")
+    create_view(spark, name, f"SELECT * FROM {name}_stored ORDER BY {order}")
+
+
 def build_silver(spark: SparkSession, as_of: dt.date, policy: Policy = Policy(), now=None, at: Layers = Layers()) -> None:
     ensure_db(spark, at.silver)
     raw = lambda name: spark.table(f"{at.bronze}.{name}")
@@ -57,31 +63,9 @@ def build_gold(spark: SparkSession, as_of: dt.date, policy: Policy = Policy(), n
     counts = gold.risk_counts(base("attrition_risk"))
     put(gold.risk_score(base("org_gap"), counts, raw("alerts"), policy, now), "risk_score")
     put(gold.exec_dashboard(spark.table(f"{at.gold}.risk_score"), as_of, policy, now), "exec_dashboard")
-    create_view(
-        spark,
-        f"{at.gold}.at_risk_orgs",
-        f"""SELECT org_id, name, sector, region, tier, rate_pct, risk_score, risk_category, hires_for_next_tier,
-          critical_people, active_alerts
-        FROM {at.gold}.risk_score WHERE risk_category IN ('Critical', 'High') ORDER BY risk_score DESC, org_id""",
-    )
-    # People are summed per organisation and department before they meet the organisations.
-    create_view(
-        spark,
-        f"{at.gold}.department_share",
-        f"""SELECT o.org_id, o.name AS org_name, o.sector, d.department, sum(d.people) AS people,
-          sum(d.national_people) AS national_people,
-          round(sum(d.national_people) * 100.0 / sum(d.people), 1) AS department_rate_pct,
-          round(sum(d.pay) / sum(d.paid), 0) AS avg_salary,
-          round(sum(d.tenure) / sum(d.tenured), 1) AS avg_tenure_years
-        FROM (
-          SELECT org_id, department, count(*) AS people, count_if(is_national) AS national_people,
-            sum(CAST(salary AS DECIMAL(18, 0))) AS pay, count(salary) AS paid,
-            sum(CAST(tenure_years AS DECIMAL(9, 1))) AS tenure, count(tenure_years) AS tenured
-          FROM {at.silver}.people GROUP BY org_id, department) d
-        JOIN {at.silver}.organisations o ON o.org_id = d.org_id
-        GROUP BY o.org_id, o.name, o.sector, d.department
-        ORDER BY org_name, department_rate_pct""",
-    )
+    people, orgs = base("people"), base("organisations")
+    show(spark, f"{at.gold}.at_risk_orgs", gold.at_risk(spark.table(f"{at.gold}.risk_score")), "risk_score DESC, org_id")
+    show(spark, f"{at.gold}.department_share", gold.department_share(people, orgs), "org_name, department_rate_pct, department")
 
 
 def build_quality(
@@ -93,42 +77,20 @@ def build_quality(
     at: Layers = Layers(),
 ) -> None:
     ensure_db(spark, at.quality)
-    rules = quality.catalogue(as_of, policy, bounds)
+    rules = quality.checks(quality.declaration(as_of, policy, bounds))
     orgs, people = spark.table(f"{at.bronze}.organisations"), spark.table(f"{at.bronze}.people")
+    names = {quality.ORGS: f"{at.bronze}.organisations", quality.PEOPLE: f"{at.bronze}.people"}
     done = lambda name: spark.table(f"{at.quality}.{name}")
     put = lambda df, name: write_table(df, f"{at.quality}.{name}")
-    put(quality.rules_catalog(spark, rules, now), "rules_catalog")
-    put(quality.validate({quality.ORGS: orgs, quality.PEOPLE: people}, rules, now), "validation_results")
+    put(quality.rules_catalog(spark, rules, now, names), "rules_catalog")
+    put(quality.validate({quality.ORGS: orgs, quality.PEOPLE: people}, rules, now, names), "validation_results")
     put(quality.summary(done("validation_results"), now), "summary_metrics")
-    put(quality.anomalies(orgs, people, bounds, now), "anomalies")
-    results = f"{at.quality}.validation_results"
-    grades = " ".join(f"WHEN avg(weighted_dq_score) >= {b} THEN '{g}'" for b, g in bounds.grades)
-    create_view(
-        spark,
-        f"{at.quality}.dashboard",
-        f"""SELECT 'Overall Data Quality Score' AS metric_name, round(avg(weighted_dq_score), 1) AS metric_value,
-          '%' AS metric_unit, CASE {grades} ELSE '{bounds.lowest_grade}' END AS status
-        FROM {at.quality}.summary_metrics
-        UNION ALL SELECT 'Total Records Validated', sum(total_records_checked), 'records', 'Info'
-        FROM {at.quality}.summary_metrics
-        UNION ALL SELECT 'Failed Records', sum(total_records_failed), 'records',
-          CASE WHEN sum(total_records_failed) = 0 THEN 'Good' ELSE 'Action Needed' END FROM {at.quality}.summary_metrics
-        UNION ALL SELECT 'Anomalies Detected', count(*), 'issues',
-          CASE WHEN count(*) = 0 THEN 'Good' ELSE 'Review Needed' END FROM {at.quality}.anomalies""",
-    )
-    create_view(
-        spark,
-        f"{at.quality}.by_check_type",
-        f"""SELECT check_type, count(*) AS rules_count, count_if(status = 'PASSED') AS passed,
-          count_if(status = 'FAILED') AS failed, round(avg(pass_rate), 1) AS avg_pass_rate
-        FROM {results} GROUP BY check_type ORDER BY avg_pass_rate, check_type""",
-    )
-    create_view(
-        spark,
-        f"{at.quality}.failed_rules",
-        f"""SELECT rule_id, rule_name, table_name, column_name, check_type, failed_records, pass_rate
-        FROM {results} WHERE status = 'FAILED' ORDER BY failed_records DESC, rule_id""",
-    )
+    put(quality.anomalies(orgs, people, bounds, now, names), "anomalies")
+    results = done("validation_results")
+    graded = quality.dashboard(done("summary_metrics"), done("anomalies"), bounds, as_of=now)
+    show(spark, f"{at.quality}.dashboard", graded, "metric_name")
+    show(spark, f"{at.quality}.by_check_type", quality.by_check_type(results), "avg_pass_rate, check_type")
+    show(spark, f"{at.quality}.failed_rules", quality.failed_rules(results), "failed_records DESC, rule_id")
 
 
 def build_all(spark: SparkSession, as_of: dt.date, policy: Policy = Policy(), now=None, at: Layers = Layers()) -> list[str]:

@@ -11,7 +11,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.quality import sql_date, sql_list
+from ..operators.quality import sql_list, sql_value
 from ..policy import Policy
 
 _STATUS = "CASE WHEN tier IN {good} THEN 'Compliant' WHEN tier IN {middle} THEN 'At Risk' ELSE 'Non-Compliant' END"
@@ -22,19 +22,42 @@ _FOLD = "lower(replace({0}, '_', ' '))"
 # Smallest whole x with (nationals + x) / (total + x) >= target, in whole numbers.
 _SHORT = "(CAST(target_pct * 10000 + 0.5 AS BIGINT) * total - 1000000L * nationals)"
 _LEFT = "nullif(1000000L - CAST(target_pct * 10000 + 0.5 AS BIGINT), 0L)"
-_HIRES = f"""CASE WHEN rate_pct >= target_pct OR {_SHORT} <= 0 THEN 0L
+_HIRES = f"""CASE WHEN {_SHORT} <= 0 THEN 0L
         ELSE ({_SHORT} + {_LEFT} - 1) DIV {_LEFT} END"""
 _PCT = "round(CAST({0} AS DECIMAL(20, 0)) * 100 / nullif({1}, 0), 2)"
 
 
-def definitions(names: Mapping[str, str], as_of: dt.date, policy: Policy) -> dict[str, str]:
+#: Columns whose type differs from table to table, and the type of each where nothing is known of the tables.
+_VARYING = {
+    ("orgs", "org_id"): "bigint",
+    ("people", "person_id"): "bigint",
+    ("people", "salary"): "int",
+    ("alerts", "created"): "timestamp_ntz",
+}
+
+
+def column_types(spark: SparkSession, names: Mapping[str, str]) -> dict[tuple[str, str], str]:
+    """Types of the varying columns in the named tables."""
+    found = {}
+    for (table, column), usual in _VARYING.items():
+        kinds = {f.name: f.dataType.simpleString() for f in spark.table(names[table]).schema.fields}
+        found[table, column] = kinds.get(column, usual)
+    return found
+
+
+def definitions(
+    names: Mapping[str, str], as_of: dt.date, policy: Policy, types: Mapping[tuple[str, str], str] | None = None
+) -> dict[str, str]:
     """Signature and body per function; ``names`` maps orgs, people, rules and alerts to tables or views."""
+    types = {**_VARYING, **(types or {})}
+    org_id, person_id, salary, created = (types[k] for k in _VARYING)
     orgs, people, rules, alerts = (names[k] for k in ("orgs", "people", "rules", "alerts"))
     status = _STATUS.format(good=sql_list(policy.good_tiers), middle=sql_list(policy.middle_tiers))
-    today = sql_date(as_of)
+    today = sql_value(as_of)
     bounds = ", ".join(map(policy.threshold, policy.graded))
     nat = sql_list([policy.national])
     found = f"SELECT * FROM {orgs} WHERE {_MATCH.format('name', 'p_name')} ORDER BY name, org_id LIMIT 1"
+    matching = f"SELECT DISTINCT org_id FROM {orgs} WHERE {_MATCH.format('name', 'p_name')}"
     ranking = " ".join(f"WHEN '{s}' THEN {i}" for i, s in enumerate(policy.alert_ranking, 1))
     per_tier = ", ".join(f"count_if(tier = '{t}') AS {t.lower()}_orgs" for t in policy.tiers)
     targets = " ".join(
@@ -42,7 +65,7 @@ def definitions(names: Mapping[str, str], as_of: dt.date, policy: Policy) -> dic
     )
     projected = " ".join(f"WHEN raw >= {policy.threshold(t)} THEN '{t}'" for t in policy.graded)
     return {
-        "org_status": f"""(p_name STRING) RETURNS TABLE (org_id BIGINT, name STRING, sector STRING, size STRING,
+        "org_status": f"""(p_name STRING) RETURNS TABLE (org_id {org_id}, name STRING, sector STRING, size STRING,
             region STRING, total INT, nationals INT, non_nationals INT, rate_pct DOUBLE, tier STRING,
             compliance_status STRING)
           RETURN SELECT org_id, name, sector, size, region, total, nationals, non_nationals, {_RATE}, tier, {status}
@@ -58,16 +81,16 @@ def definitions(names: Mapping[str, str], as_of: dt.date, policy: Policy) -> dic
             count_if(tier = '{policy.graded[0]}'), count_if(contains(tier, '{policy.family}')),
             count_if(tier = '{policy.floor_tier}'), count_if(tier = '{policy.bottom_tier}')
           FROM {orgs} WHERE {_MATCH.format('sector', 'p_sector')} GROUP BY sector""",
-        "expiring_nationals": f"""(p_name STRING, p_days INT) RETURNS TABLE (person_id BIGINT, job_title STRING,
-            department STRING, salary INT, contract_end DATE, days_left BIGINT)
+        "expiring_nationals": f"""(p_name STRING, p_days INT) RETURNS TABLE (person_id {person_id}, job_title STRING,
+            department STRING, salary {salary}, contract_end DATE, days_left BIGINT)
           RETURN SELECT p.person_id, p.job_title, p.department, p.salary, p.contract_end,
             CAST(datediff(p.contract_end, {today}) AS BIGINT)
-          FROM {people} p JOIN {orgs} o ON p.org_id = o.org_id
-          WHERE {_MATCH.format('o.name', 'p_name')} AND p.nationality IN {nat}
+          FROM {people} p JOIN ({matching}) o ON p.org_id = o.org_id
+          WHERE p.nationality IN {nat}
             AND p.contract_end BETWEEN {today} AND date_add({today}, p_days)
           ORDER BY p.contract_end, p.person_id""",
         "org_alerts": f"""(p_name STRING) RETURNS TABLE (org_name STRING, alert_type STRING, severity STRING,
-            message STRING, recommended_action STRING, created TIMESTAMP_NTZ)
+            message STRING, recommended_action STRING, created {created})
           RETURN SELECT org_name, alert_type, severity, message, recommended_action, created FROM {alerts}
           WHERE {_MATCH.format('org_name', 'p_name')}
           ORDER BY CASE severity {ranking} ELSE {len(policy.alert_ranking) + 1} END, created DESC, alert_id""",
@@ -113,15 +136,15 @@ def definitions(names: Mapping[str, str], as_of: dt.date, policy: Policy) -> dic
           SELECT name, nationals, non_nationals, total, rate_pct, tier, new_nationals, new_others, new_total,
             coalesce(CAST({_PCT.format('new_nationals', 'new_total')} AS DOUBLE), 0D),
             CASE {projected} WHEN raw >= {policy.floor_pct} THEN '{policy.floor_tier}' ELSE '{policy.bottom_tier}' END,
-            CASE WHEN raw > rate_pct THEN 'IMPROVEMENT' WHEN raw < rate_pct THEN 'DECLINE' ELSE 'NO_CHANGE' END
+            CASE sign(new_nationals * greatest(total, 1L) - nationals * greatest(new_total, 1L))
+              WHEN 1 THEN 'IMPROVEMENT' WHEN -1 THEN 'DECLINE' ELSE 'NO_CHANGE' END
           FROM rated""",
-        "org_people": f"""(p_name STRING) RETURNS TABLE (person_id BIGINT, nationality STRING, is_national STRING,
-            job_title STRING, department STRING, salary INT, contract_type STRING, hire_date DATE, contract_end DATE,
+        "org_people": f"""(p_name STRING) RETURNS TABLE (person_id {person_id}, nationality STRING, is_national STRING,
+            job_title STRING, department STRING, salary {salary}, contract_type STRING, hire_date DATE, contract_end DATE,
             gender STRING)
           RETURN SELECT p.person_id, p.nationality, CASE WHEN p.nationality IN {nat} THEN 'Yes' ELSE 'No' END,
             p.job_title, p.department, p.salary, p.contract_type, p.hire_date, p.contract_end, p.gender
-          FROM {people} p JOIN {orgs} o ON p.org_id = o.org_id
-          WHERE {_MATCH.format('o.name', 'p_name')}
+          FROM {people} p JOIN ({matching}) o ON p.org_id = o.org_id
           ORDER BY p.nationality DESC, p.department, p.job_title, p.person_id""",
         "list_orgs": f"""() RETURNS TABLE (name STRING, sector STRING, region STRING, size STRING, total INT,
             nationals INT, rate_pct DOUBLE, tier STRING, compliance_status STRING)
@@ -140,7 +163,7 @@ def register(
     kind = "FUNCTION" if db else "TEMPORARY FUNCTION"
     prefix = f"{db}." if db else ""
     created = []
-    for name, rest in definitions(names, as_of, policy).items():
+    for name, rest in definitions(names, as_of, policy, column_types(spark, names)).items():
         spark.sql(f"CREATE OR REPLACE {kind} {prefix}{name}{rest}")
         created.append(f"{prefix}{name}")
     return created

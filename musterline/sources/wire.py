@@ -55,7 +55,7 @@ def normalise_trades(
 ) -> DataFrame:
     """Trades with named, typed columns and their value.
 
-    Other events are left out, as is text that is not JSON or has no readable price and quantity.
+    Other events are left out, as is text that is not JSON or has no readable price and quantity; ``rejected`` lists those.
     """
     numbers = {name: F.col(name).try_cast("double") for name in NUMBERS_AS_TEXT}
     out = (
@@ -70,6 +70,20 @@ def normalise_trades(
     return out.withColumn("producer_id", F.lit(producer)) if producer is not None else out
 
 
+def rejected(messages: DataFrame, column: str = "message") -> DataFrame:
+    """Messages that ``normalise_trades`` leaves out although they are trades or cannot be read, with the reason."""
+    event = parse_event(F.col(column))
+    number = lambda key: event[key].try_cast("double")
+    reason = (
+        F.when(event.isNull(), "not JSON")
+        .when(event["e"] != TRADE, None)
+        .when(event["e"].isNull(), "no event type")
+        .when(number(WIRE_FIELDS["price"][0]).isNull(), "unreadable price")
+        .when(number(WIRE_FIELDS["quantity"][0]).isNull(), "unreadable quantity")
+    )
+    return messages.withColumn("reason", reason).filter(F.col("reason").isNotNull())
+
+
 def malformed(messages: DataFrame, column: str = "message") -> DataFrame:
     """Messages that are not a JSON object."""
     return messages.filter(parse_event(F.col(column)).isNull())

@@ -67,24 +67,40 @@ def _plan_documents(b: Bindings) -> DataFrame:
     )
 
 
+NOW = dt.datetime(2000, 1, 1)
+
+
+def _checks() -> list[quality.Check]:
+    return quality.checks(quality.declaration(AS_OF, POLICY))
+
+
 def _dq_results(b: Bindings) -> DataFrame:
-    tables = {quality.ORGS: b.reported_orgs(), quality.PEOPLE: b.people()}
-    return quality.validate(tables, quality.catalogue(AS_OF, POLICY))
+    tables = {quality.ORGS: b.reported_orgs(), quality.PEOPLE: b.reported_people()}
+    return quality.validate(tables, _checks(), NOW)
 
 
 def _dq_anomalies(b: Bindings) -> DataFrame:
     return quality.anomalies(b.reported_orgs(), b.people())
 
 
+def _dq_summary(b: Bindings) -> DataFrame:
+    return quality.summary(_dq_results(b))
+
+
+def _dq_dashboard(b: Bindings) -> DataFrame:
+    return _ntz(quality.dashboard(_dq_summary(b), _dq_anomalies(b), as_of=NOW), "as_of")
+
+
 def _dq_warn(b: Bindings) -> DataFrame:
-    orgs = quality.violations(b.reported_orgs(), quality.org_expectations(POLICY))
-    return orgs.unionByName(quality.violations(b.people(), quality.people_expectations(AS_OF, POLICY)))
+    orgs = quality.violations(b.reported_orgs(), quality.expectations(_checks(), quality.ORGS))
+    return orgs.unionByName(quality.violations(b.reported_people(), quality.expectations(_checks(), quality.PEOPLE)))
 
 
 def _dq_drop(b: Bindings) -> DataFrame:
-    wanted = ("person_salary_reasonable", "person_hire_date_not_future")
     rules = [
-        replace(r, policy="drop") for r in quality.people_expectations(AS_OF, POLICY) if r.name in wanted
+        replace(r, policy="drop")
+        for r in quality.expectations(_checks(), quality.PEOPLE)
+        if r.name.endswith((".salary.within", ".hire_date.within"))
     ]
     return quality.check(b.people(), rules)[0]
 
@@ -242,16 +258,15 @@ BATCH: dict[str, Callable[[Bindings], DataFrame]] = {
     "what_if": lambda b: planning.what_if(_org(b), b.rules(), SCENARIOS, POLICY),
     "top_hires": lambda b: planning.top_hires(_hires(b, POLICY.default_target)),
     "hires_by_tier": lambda b: planning.hires_by_tier(_hires(b, POLICY.default_target)),
-    "dq_validation": _dq_results,
-    "dq_summary": lambda b: quality.summary(_dq_results(b)),
+    "dq_validation": lambda b: _ntz(_dq_results(b), "check_timestamp"),
+    "dq_summary": _dq_summary,
     "dq_anomalies": _dq_anomalies,
-    "dq_dashboard": lambda b: quality.dashboard(quality.summary(_dq_results(b)), _dq_anomalies(b)),
+    "dq_dashboard": _dq_dashboard,
     "dq_by_type": lambda b: quality.by_check_type(_dq_results(b)),
-    "dq_failed_rules": lambda b: quality.failed_rules(_dq_results(b)),
+    "dq_failed_rules": lambda b: _ntz(quality.failed_rules(_dq_results(b)), "check_timestamp"),
     "dq_expect_warn": _dq_warn,
     "dq_expect_drop": _dq_drop,
-    # Against the larger organisations only, so that there are orphans to find.
-    "dq_orphans": lambda b: quality.orphans(b.people(), b.orgs().filter("total > 10"), "org_id"),
+    "dq_orphans": lambda b: quality.orphans(b.reported_people(), b.orgs(), "org_id"),
     "tvf_org_status": _call("SELECT * FROM org_status('CUSTOMER#00000001')"),
     "tvf_orgs_in_tier": _call("SELECT * FROM orgs_in_tier('high green')"),
     "tvf_sector_summary": _call("SELECT * FROM sector_summary('U')"),

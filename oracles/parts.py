@@ -8,7 +8,7 @@ _SECTORS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 _SIZES = ["Micro", "Small", "Medium", "Large"]
 
 _RULES = "rules(sector, size, platinum_pct, high_green_pct, mid_green_pct, low_green_pct) AS (VALUES " + ", ".join(
-    f"('{sector}', '{size}', " + ", ".join(f"CAST({base + 2 * z + s} AS DOUBLE)" for base in (48, 38, 28, 18)) + ")"
+    f"('{sector}', '{size}', " + ", ".join(f"CAST({base + 2 * z + s + z / 8} AS DOUBLE)" for base in (48, 38, 28, 18)) + ")"
     for s, sector in enumerate(_SECTORS)
     for z, size in enumerate(_SIZES)
 ) + ")"
@@ -49,7 +49,7 @@ _ORGC = """orgc AS (
 _PERSON = """person AS (
   SELECT o_orderkey AS person_id, o_custkey AS org_id,
     CASE WHEN o_orderstatus = 'F' THEN 'N' ELSE o_orderstatus END AS nationality,
-    o_orderpriority AS job_title, o_orderpriority AS department, CAST(floor(o_totalprice) AS INT) AS salary,
+    o_orderpriority AS job_title, 'Dept ' || (o_orderkey % 7) AS department, CAST(floor(o_totalprice) AS INT) AS salary,
     CASE WHEN o_orderkey % 5 = 0 THEN 'Permanent' ELSE 'Fixed-term' END AS contract_type,
     CAST(o_orderdate AS DATE) AS hire_date,
     CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_orderdate AS DATE) + 1095 END AS contract_end,
@@ -113,9 +113,10 @@ def count_if(p: str) -> str:
 
 
 def hires(n: str, s: str, t: str) -> str:
-    """ceil((t*n - 100*s) / (100 - t)) for a whole-number threshold t in percent."""
-    short = f"(CAST({t} AS BIGINT) * {n} - 100 * {s})"
-    left = f"(100 - CAST({t} AS BIGINT))"
+    """ceil((t*n - 100*s) / (100 - t)) for a threshold t in percent of at most three decimals."""
+    t = f"CAST(round({t} * 1000) AS BIGINT)"
+    short = f"({t} * {n} - 100000 * {s})"
+    left = f"(100000 - {t})"
     return f"CAST(CASE WHEN {short} > 0 THEN ({short} + {left} - 1) // {left} ELSE {short} // {left} END AS BIGINT)"
 
 

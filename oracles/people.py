@@ -62,7 +62,7 @@ FROM personc p JOIN orgc o ON o.org_id = p.org_id GROUP BY o.org_id, o.name, o.s
 HIRES = f"""plan AS (
   SELECT o.org_id, o.name, o.sector, o.tier AS current_tier, o.rate_pct AS current_rate_pct, o.nationals, o.total,
     t.target_tier, t.target_pct,
-    CASE WHEN t.target_pct IS NULL OR o.rate_pct >= t.target_pct THEN 0
+    CASE WHEN t.target_pct IS NULL THEN 0
       ELSE greatest(0, {hires('o.total', 'o.nationals', 't.target_pct')}) END AS hires
   FROM orgc o LEFT JOIN (
     SELECT sector, size, unnest(['Platinum', 'High_Green', 'Mid_Green', 'Low_Green']) AS target_tier,
@@ -93,8 +93,8 @@ SCENARIOS = """scenario(scenario, nh, nd, oh, od) AS (VALUES
 
 _WHAT_IF = f"""SELECT w.* EXCLUDE (new_rate_raw), {rnd('new_rate_pct - current_rate_pct', 2)} AS pct_change,
   CASE WHEN rank_new < rank_old THEN 'UPGRADE' WHEN rank_new > rank_old THEN 'DOWNGRADE' ELSE 'NO_CHANGE' END AS tier_impact,
-  CASE WHEN new_rate_raw > current_rate_pct THEN 'IMPROVEMENT' WHEN new_rate_raw < current_rate_pct THEN 'DECLINE'
-    ELSE 'NO_CHANGE' END AS rate_impact
+  CASE sign(new_nationals * greatest(current_total, 1) - current_nationals * greatest(new_total, 1))
+    WHEN 1 THEN 'IMPROVEMENT' WHEN -1 THEN 'DECLINE' ELSE 'NO_CHANGE' END AS rate_impact
 FROM (
   SELECT *, list_position(['Platinum', 'High_Green', 'Mid_Green', 'Low_Green', 'Yellow', 'Red'], current_tier) AS rank_old,
     list_position(['Platinum', 'High_Green', 'Mid_Green', 'Low_Green', 'Yellow', 'Red'], projected_tier) AS rank_new

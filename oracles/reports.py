@@ -15,19 +15,20 @@ LEFT JOIN (
   GROUP BY 1) c ON c.bin = b.bin"""
 
 _SIZES = ", ".join(count_if(f"size = '{s}'") + f' AS "{s}"' for s in ("Micro", "Small", "Medium", "Large"))
+_SIZES += ", " + count_if("size IS NULL OR size NOT IN ('Micro', 'Small', 'Medium', 'Large')") + " AS other"
 
 _FEATURES = """SELECT o.*, p.* EXCLUDE (org_id), coalesce(a.total_alerts, 0) AS total_alerts,
   coalesce(a.high_alerts, 0) AS high_alerts,
   CAST(coalesce(a.high_alerts, 0) > 0 OR tier IN ('Yellow', 'Red') AS INT) AS at_risk
 FROM org o LEFT JOIN (
   SELECT org_id, n AS employee_count, s / n AS avg_salary,
-    CASE WHEN n > 1 THEN sqrt(greatest(s2 - s * s / n, 0.0) / (n - 1)) END AS salary_std, min_salary, max_salary,
+    CASE WHEN n > 1 THEN sqrt(CAST(n * s2 - hs * hs AS DOUBLE) / (CAST(n AS DOUBLE) * (n - 1))) / 100 END AS salary_std, min_salary, max_salary,
     max_salary - min_salary AS salary_range, national_people, CAST(female AS DOUBLE) / n AS female_ratio,
     CAST(permanent AS DOUBLE) / n AS permanent_ratio, CAST(remote AS DOUBLE) / n AS remote_ratio,
     department_diversity, job_title_diversity, nationality_diversity
   FROM (
     SELECT org_id, count(*) AS n, CAST(sum(salary) AS DOUBLE) AS s,
-      CAST(sum(CAST(salary AS HUGEINT) * salary) AS DOUBLE) AS s2, min(salary) AS min_salary, max(salary) AS max_salary,
+      CAST(sum(salary) AS HUGEINT) * 100 AS hs, sum(CAST(salary AS HUGEINT) * salary) * 10000 AS s2, min(salary) AS min_salary, max(salary) AS max_salary,
       count(CASE WHEN nationality = 'N' THEN 1 END) AS national_people,
       count(CASE WHEN gender = 'Female' THEN 1 END) AS female,
       count(CASE WHEN contract_type = 'Permanent' THEN 1 END) AS permanent,

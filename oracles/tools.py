@@ -19,7 +19,7 @@ _SIM = f"""SELECT name, nationals AS current_nationals, non_nationals AS current
   CASE WHEN nn * 100.0 / (nn + no) >= platinum_pct THEN 'Platinum' WHEN nn * 100.0 / (nn + no) >= high_green_pct THEN 'High_Green'
     WHEN nn * 100.0 / (nn + no) >= mid_green_pct THEN 'Mid_Green' WHEN nn * 100.0 / (nn + no) >= low_green_pct THEN 'Low_Green'
     WHEN nn * 100.0 / (nn + no) >= 6 THEN 'Yellow' ELSE 'Red' END AS projected_tier,
-  CASE WHEN nn * 100.0 / (nn + no) > rate_pct THEN 'IMPROVEMENT' WHEN nn * 100.0 / (nn + no) < rate_pct THEN 'DECLINE'
+  CASE WHEN nn * total > nationals * (nn + no) THEN 'IMPROVEMENT' WHEN nn * total < nationals * (nn + no) THEN 'DECLINE'
     ELSE 'NO_CHANGE' END AS rate_impact
 FROM (SELECT o.*, r.* EXCLUDE (sector, size), greatest(0, nationals + 5 - 0) AS nn, greatest(0, non_nationals + 0 - 3) AS no
       FROM one o JOIN rules r ON r.sector = o.sector AND r.size = o.size)"""
@@ -29,8 +29,7 @@ _HIRES = f"""SELECT name, current_tier, current_rate_pct, current_nationals, cur
     ELSE {pct('current_nationals + hires', 'current_total + hires', 2)} END AS projected_rate_pct
 FROM (SELECT o.name, o.tier AS current_tier, o.rate_pct AS current_rate_pct, o.nationals AS current_nationals,
         o.total AS current_total, 'High Green' AS target_tier, r.high_green_pct AS target_pct,
-        CASE WHEN o.rate_pct >= r.high_green_pct THEN 0
-          ELSE greatest(0, {hires('o.total', 'o.nationals', 'r.high_green_pct')}) END AS hires
+        greatest(0, {hires('o.total', 'o.nationals', 'r.high_green_pct')}) AS hires
       FROM one o JOIN rules r ON r.sector = o.sector AND r.size = o.size)"""
 
 _ASKED = """asked(position, asked) AS (VALUES (1, '#000000007'), (2, '#00000001'), (3, '#000000042'), (4, 'nobody')),

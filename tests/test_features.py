@@ -66,7 +66,7 @@ def test_histogram_edges(spark):
 def test_counts_leave_out_nulls_and_crosstab_fills_zero(spark):
     df = spark.createDataFrame([("a", "x"), ("a", "x"), ("b", "y"), (None, "y")], "k string, v string")
     assert rows(reports.value_counts(df, "k")) == [("a", 2, 66.7), ("b", 1, 33.3)]
-    assert ("b", 0, 1) in rows(reports.crosstab(df, "k", "v", ["x", "y"]))
+    assert ("b", 0, 1, 0) in rows(reports.crosstab(df, "k", "v", ["x", "y"]))
     assert reports.mean_by(spark.createDataFrame([("a", 1.0), ("b", 0.5)], "k string, v double"), "k", "v").first()["k"] == "b"
 
 
@@ -108,3 +108,29 @@ def test_segments(table):
     assert points.filter("pc1 is null or pc2 is null").count() == 0
     spread = points.agg(F.var_samp("pc1"), F.var_samp("pc2")).first()
     assert spread[0] >= spread[1] > 0
+
+
+def test_crosstab_counts_unlisted_values_apart(spark):
+    from musterline.operators import reports
+
+    df = spark.createDataFrame([("s", "a"), ("s", "Giant"), ("s", None), ("t", "a")], "sector string, size string")
+    got = {r["sector"]: r.asDict() for r in reports.crosstab(df, "sector", "size", ("a", "b")).collect()}
+    assert got == {"s": {"sector": "s", "a": 1, "b": 0, "other": 2}, "t": {"sector": "t", "a": 1, "b": 0, "other": 0}}
+
+
+def test_statistics_of_fractions(spark):
+    from musterline.operators import reports
+
+    df = spark.createDataFrame([("k", 0.2), ("k", 0.9), ("b", 4e9), ("b", 4e9 + 1)], "k string, v double")
+    got = {r["k"]: (r["mean"], r["std"]) for r in reports.describe_by(df, "k", "v", 4).collect()}
+    assert got == {"k": (0.55, 0.495), "b": (4000000000.5, 0.7071)}
+
+
+def test_codes_do_not_depend_on_what_is_scored(spark, bound):
+    from musterline.operators import features, models
+
+    table = features.org_features(bound.orgs(), bound.people(), bound.alerts())
+    fitted = models.fit_risk_model(table, trees=3, depth=3)
+    whole = {r["org_id"]: r["risk_probability"] for r in models.risk_probabilities(fitted, table).collect()}
+    alone = models.risk_probabilities(fitted, table.filter("sector = 'MACHINERY'")).collect()
+    assert alone and all(whole[r["org_id"]] == r["risk_probability"] for r in alone)

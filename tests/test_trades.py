@@ -109,3 +109,17 @@ def test_normalise(spark):
     assert (first["event_time"], first["trade_time"], first["trade_value"]) == (2, 1, 3.0)
     assert (first["ingestion_time"], first["producer_id"]) == (1704067200000, "p1")
     assert rows(wire.malformed(messages)) == [("{not json",)]
+
+
+def test_rejected_messages_are_listed(spark):
+    from musterline.sources import wire
+
+    sent = [
+        '{"e":"trade","p":"1.5","q":"2"}', '{"e":"trade","p":"x","q":"2"}', '{"data":{"e":"trade","p":"1","q":null}}',
+        '{"e":"aggTrade","p":"x"}', "not json", '{"p":"1","q":"1"}',
+    ]
+    got = spark.createDataFrame([(m,) for m in sent], "message string")
+    assert sorted(r["reason"] for r in wire.rejected(got).collect()) == [
+        "no event type", "not JSON", "unreadable price", "unreadable quantity",
+    ]
+    assert wire.normalise_trades(got).count() == 1

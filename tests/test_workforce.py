@@ -208,3 +208,19 @@ def test_top_hires_breaks_ties_by_id(make):
     df = make([(i, "x" * 30, "Red", 5) for i in range(20)], "org_id int, name string, current_tier string, hires bigint")
     got = rows(planning.top_hires(df, 3))
     assert [r[0] for r in got] == [0, 1, 2] and len(got[0][1]) == 20
+
+
+def test_no_change_is_reported_as_none(spark, bound):
+    from musterline.operators import planning, silver
+    from musterline.plans.bindings import AS_OF, POLICY
+
+    orgs = silver.org_clean(bound.orgs(), AS_OF, POLICY)
+    idle = planning.what_if(orgs, bound.rules(), [{"scenario": "idle"}], POLICY)
+    assert {r[0] for r in rows(idle, "rate_impact")} == {"NO_CHANGE"}
+
+
+def test_head_counts_decide_on_hires(spark):
+    from musterline.operators import planning
+
+    df = spark.createDataFrame([(25_000, 6_999, 28.0, 28.0)], "total int, nationals int, rate_pct double, target_pct double")
+    assert rows(planning.with_hires(df), "hires") == [(2,)]
