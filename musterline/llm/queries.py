@@ -109,6 +109,24 @@ def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imi.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.98)
 
 
+OP7_SQL = """
+WITH RECURSIVE sound AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98
+), reach(a, b) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+)
+SELECT e.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e
+LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) n ON n.a = e.vec_id
+JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = e.vec_id
+"""
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     net = textcnn.fit(docs, table(spark, sf_dir, "labels").where(~held_out()), label="toxic")
@@ -144,4 +162,4 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def all_sql() -> dict[str, str]:
-    return {"op2_chat": OP2_SQL}
+    return {"op2_chat": OP2_SQL, "op7_embeddings": OP7_SQL}

@@ -337,9 +337,11 @@ def with_cut(docs: DataFrame, into: str, width: int = 200) -> DataFrame:
     found = spans(docs, width)
     th, nb = fresh(docs, "text_hash"), fresh(docs, "text_bytes")
     keyed = docs.withColumns({th: F.xxhash64("text"), nb: F.octet_length("text")})
-    met = keyed.join(found, (keyed[th] == found.th) & (keyed[nb] == found.nb), "left")
+    at, size, some = (fresh(docs, n) for n in ("found_hash", "found_bytes", "found_spans"))
+    found = found.toDF(at, size, some)
+    met = keyed.join(found, (keyed[th] == found[at]) & (keyed[nb] == found[size]), "left")
     own = [F.col(f"`{c}`") for c in docs.columns]
-    value: Column = _cut(width)(keyed["text"], found["spans"])
+    value: Column = _cut(width)(F.col("text"), F.col(some))
     return met.select(*own, value.alias(into))
 
 
