@@ -111,9 +111,10 @@ def _draw(key: str, seed: int):
 
 
 def split(df: DataFrame, key: str, fraction: float = 0.2, seed: int = 42) -> DataFrame:
-    """Mark about ``fraction`` of the rows as test rows, by a hash of their key: no shuffle, always the same rows."""
-    test = F.pmod(_draw(key, seed), F.lit(10_000)) < round(fraction * 10_000)
-    return df.withColumn("is_test", test)
+    """Mark about ``fraction`` of the rows as test rows, by the MD5 of their key: no shuffle, always the same rows, in any engine."""
+    digest = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))).cast("binary"))
+    draw = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+    return df.withColumn("is_test", draw % 10_000 < round(fraction * 10_000))
 
 
 def stratified_split(
@@ -122,10 +123,9 @@ def stratified_split(
     """Mark exactly ``round(fraction * n)`` rows of every label as test rows.
 
     Each label's rows are cut into hash slices. Counting the slices tells which lie
-    wholly on the test side; only the one slice where the quota ends has to be
-    ranked row by row. No task ever holds a whole label. Rows without a label are left out.
+    wholly on one side; only the one slice where the quota ends is ranked row by row,
+    in a pass of its own. No task ever holds a whole label. Rows without a label are left out.
     """
-    rank = F.row_number().over(Window.partitionBy(label, "_slice").orderBy(_draw(key, seed), key))
     sliced = df.filter(F.col(label).isNotNull()).withColumn("_slice", F.pmod(_draw(key, seed), F.lit(slices)))
     counts = sliced.groupBy(label, "_slice").agg(F.count(F.lit(1)).alias("_n"))
     whole = Window.partitionBy(label)
@@ -133,14 +133,14 @@ def stratified_split(
     edges = (
         counts.withColumn("_quota", F.round(F.sum("_n").over(whole) * fraction, 0).cast("bigint"))
         .withColumn("_upto", F.sum("_n").over(whole.orderBy("_slice")))
-        .select(label, "_slice", (F.col("_quota") - F.col("_upto") + F.col("_n")).alias("_left"))
-    )
-    ranked = sliced.withColumn("_rank", rank)
-    return (
-        ranked.join(edges, [label, "_slice"])
-        .withColumn("is_test", F.col("_rank") <= F.col("_left"))
-        .select(*df.columns, "is_test")
+        .select(label, "_slice", "_n", (F.col("_quota") - F.col("_upto") + F.col("_n")).alias("_left"))
     )
+    placed = sliced.join(edges, [label, "_slice"])
+    cut = (F.col("_left") > 0) & (F.col("_left") < F.col("_n"))
+    settled = placed.filter(~cut).withColumn("is_test", F.col("_left") > 0)
+    rank = F.row_number().over(Window.partitionBy(label, "_slice").orderBy(_draw(key, seed), key))
+    ranked = placed.filter(cut).withColumn("is_test", rank <= F.col("_left"))
+    return settled.unionByName(ranked).select(*df.columns, "is_test")
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA, IndexToString, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
@@ -245,6 +245,22 @@ def segment_profiles(rows: DataFrame) -> DataFrame:
     )
 
 
+def elbow_costs(spark: SparkSession, found: Segments) -> DataFrame:
+    """Cost per number of clusters."""
+    return spark.createDataFrame(sorted((k, float(v)) for k, v in found.elbow.items()), "k int, cost double")
+
+
+def cluster_table(rows: DataFrame, column: str) -> DataFrame:
+    """Organisations per cluster and value of a column."""
+    return rows.groupBy("cluster", column).agg(F.count(F.lit(1)).alias("orgs"))
+
+
+def risk_by_sector(probabilities: DataFrame) -> DataFrame:
+    """Mean probability of risk per sector, highest first."""
+    mean = F.round(F.avg("risk_probability"), 4).alias("mean_risk")
+    return probabilities.groupBy("sector").agg(mean, F.count(F.lit(1)).alias("orgs")).orderBy(F.desc("mean_risk"), "sector")
+
+
 def project2d(rows: DataFrame) -> DataFrame:
     """Two principal components of the standardised features."""
     model = PCA(k=2, inputCol="scaled", outputCol="components").fit(rows)

@@ -104,11 +104,20 @@ def _to_plan(hires: DataFrame, capacity: int) -> tuple[DataFrame, Column]:
     return planned, F.sequence(F.lit(1).cast("bigint"), F.col("months_to_complete"))
 
 
+#: Months written from one array.
+BLOCK = 1024
+
+
 def hiring_plan(hires: DataFrame, capacity: int = 3, salary: int = 8000) -> DataFrame:
     """Month-by-month plan of every organisation that has to hire."""
-    planned, months = _to_plan(hires, capacity)
+    planned, _ = _to_plan(hires, capacity)
     rows = _month(F.col("month"), capacity, salary)
-    return planned.withColumn("month", F.explode(months)).select(
+    # Months come in blocks, so that a long plan is never one array.
+    last = F.col("months_to_complete") - 1
+    blocks = planned.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(last / BLOCK))))
+    first = F.col("_block") * BLOCK
+    months = F.sequence(first + 1, F.least(first + BLOCK, F.col("months_to_complete")))
+    return blocks.withColumn("month", F.explode(months)).select(
         "org_id",
         "target_tier",
         "months_to_complete",

@@ -227,6 +227,18 @@ class Bindings:
             F.when(F.col("event_id") % 2 == 0, wrapped).otherwise(F.to_json(event)).alias("message")
         )
 
+    def faulty_messages(self) -> DataFrame:
+        """Exchange messages of which some are no JSON or hold a price or quantity that is no number."""
+        key = F.get_json_object(F.coalesce(F.get_json_object("message", "$.data"), F.col("message")), "$.t").cast("bigint")
+        price, quantity = r'"p":"[^"]*"', r'"q":"[^"]*"'
+        return self.wire_messages().select(
+            F.when(key % 23 == 0, F.concat(F.lit("garbage "), key.cast("string")))
+            .when(key % 17 == 0, F.regexp_replace("message", price, '"p":"n/a"'))
+            .when(key % 19 == 0, F.regexp_replace("message", quantity, '"q":null'))
+            .otherwise(F.col("message"))
+            .alias("message")
+        )
+
     def trades(self) -> DataFrame:
         """Trades as they land in files, one per event."""
         ms = F.unix_millis(F.col("ts").cast("timestamp"))

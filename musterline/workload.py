@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+import zlib
 from collections.abc import Callable
 from dataclasses import replace
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import features, gold, lookups, market, models, planning, quality, reports, silver, trades
-from .plans import sql_functions
+from .plans import layers, sql_functions
 from .plans.bindings import AS_OF, POLICY, Bindings
 from .session import discard, scratch
 from .sinks import tables
@@ -232,6 +233,114 @@ def _risk_model(b: Bindings) -> DataFrame:
     return models.risk_probabilities(models.fit_risk_model(table), table)
 
 
+def _trade_rejects(b: Bindings) -> DataFrame:
+    return wire.rejected(b.faulty_messages()).groupBy("reason").agg(F.count(F.lit(1)).alias("messages"))
+
+
+def _database(b: Bindings, label: str) -> str:
+    """Name of a database for one folder of test tables; it is filled anew whenever a query needs it."""
+    return f"{label}_{zlib.crc32(b.folder.encode()):08x}"
+
+
+def _raw_tables(b: Bindings, db: str) -> None:
+    """The declared raw tables, whose ids are text, filled from the bindings; the audit columns fill themselves."""
+    tables.ensure_db(b.spark, db)
+    for name, *_ in tables.RAW_TABLES:
+        b.spark.sql(f"DROP TABLE IF EXISTS {db}.{name}")
+    tables.create_raw_tables(b.spark, db)
+    rows = {
+        "organisations": b.orgs(), "people": b.people(), "tier_rules": b.rules(),
+        "sector_benchmarks": b.benchmarks(), "alerts": b.alerts(),
+    }
+    for name, frame in rows.items():
+        declared = {f.name: f.dataType for f in b.spark.table(f"{db}.{name}").schema.fields}
+        tables.append_rows(frame.select(*[F.col(c).cast(declared[c]).alias(c) for c in frame.columns]), f"{db}.{name}")
+
+
+def _tvf_on_raw_tables(b: Bindings) -> DataFrame:
+    """Table functions over declared tables with text ids."""
+    db = _database(b, "raw_tools")
+    _raw_tables(b, db)
+    names = {"orgs": "organisations", "people": "people", "rules": "tier_rules", "alerts": "alerts"}
+    sql_functions.register(b.spark, {k: f"{db}.{v}" for k, v in names.items()}, AS_OF, POLICY)
+    return b.spark.sql(
+        "SELECT 'org' AS kind, org_id AS id, name AS label FROM org_status('#00000001') UNION ALL "
+        "SELECT 'person', person_id, job_title FROM org_people('#000000010') UNION ALL "
+        "SELECT 'expiring', person_id, department FROM expiring_nationals('customer#', 60)"
+    )
+
+
+def _layers(b: Bindings) -> layers.Layers:
+    """All layers built from the declared raw tables."""
+    at = layers.Layers(*[_database(b, f"layers_{n}") for n in ("bronze", "silver", "gold", "quality")])
+    _raw_tables(b, at.bronze)
+    layers.build_all(b.spark, AS_OF, POLICY, NOW, at)
+    return at
+
+
+def _layer_at_risk(b: Bindings) -> DataFrame:
+    found = b.spark.table(f"{_layers(b).gold}.at_risk_orgs")
+    return found.withColumn("org_id", F.col("org_id").cast("bigint"))
+
+
+def _layer_departments(b: Bindings) -> DataFrame:
+    found = b.spark.table(f"{_layers(b).gold}.department_share")
+    return found.withColumn("org_id", F.col("org_id").cast("bigint"))
+
+
+def _layer_audit(b: Bindings) -> DataFrame:
+    """Rows of raw tables by the file their default names, and of stored ones by the time they were given."""
+    at = _layers(b)
+    raw = [
+        b.spark.table(f"{at.bronze}.{n}").groupBy(F.lit(n).alias("name"), F.col("_source_file").alias("mark"))
+        for n in ("organisations", "people", "alerts")
+    ]
+    kept = b.spark.table(f"{at.silver}.people").groupBy(
+        F.lit("silver people").alias("name"), F.date_format("processed_at", "yyyy-MM-dd").alias("mark")
+    )
+    return reduce(DataFrame.unionByName, [g.agg(F.count(F.lit(1)).alias("rows")) for g in [*raw, kept]])
+
+
+def _functions_listed(b: Bindings) -> DataFrame:
+    db = _database(b, "tools")
+    tables.ensure_db(b.spark, db)
+    raw = _database(b, "raw_tools")
+    _raw_tables(b, raw)
+    names = {"orgs": "organisations", "people": "people", "rules": "tier_rules", "alerts": "alerts"}
+    sql_functions.register(b.spark, {k: f"{raw}.{v}" for k, v in names.items()}, AS_OF, POLICY, db=db)
+    listed = sql_functions.list_functions(b.spark, db)
+    # The session's own functions are listed too, without a database.
+    stored = listed.filter(F.contains(listed[0], F.lit(f"{db}.")))
+    return stored.select(F.element_at(F.split(stored[0], r"\."), -1).alias("function"))
+
+
+def _ndjson_malformed(b: Bindings) -> DataFrame:
+    """Lines that do not parse are kept apart; every 40th is cut short."""
+    path = f"{scratch(b.spark, 'broken')}/lines"
+    line = F.to_json(F.struct(*[F.col(c) for c in LANDED_COLUMNS]))
+    cut = F.when(F.col("trade_id") % 40 == 0, F.substring(line, 1, 30)).otherwise(line)
+    b.trades().select(cut.alias("value")).write.text(path)
+    read = files.read_ndjson(b.spark, path, files.LANDED, corrupt_col="broken")
+    counts = F.count(F.lit(1)).alias("lines"), F.count("trade_id").alias("trades")
+    return read.groupBy(F.col("broken").isNotNull().alias("is_broken")).agg(*counts)
+
+
+def _segments(b: Bindings) -> models.Segments:
+    return models.segment(_stored(b, _features(b), "features"))
+
+
+def _tier_model(b: Bindings) -> models.Fitted:
+    return models.fit_tier_model(_stored(b, _features(b), "features"))
+
+
+def _tier_test_rows(b: Bindings) -> DataFrame:
+    """Test rows per actual tier, out of the confusion table."""
+    fitted = _tier_model(b)
+    names = fitted.tested.select("tier", F.col("label").cast("double").alias("actual")).distinct()
+    table = models.confusion(fitted).groupBy("actual").agg(F.sum("rows").alias("orgs"))
+    return table.join(names, "actual").select("tier", "orgs")
+
+
 def _stored(b: Bindings, frame: DataFrame, label: str) -> DataFrame:
     """The frame from a table in the shared folder, for jobs that read it many times."""
     path = scratch(b.spark, label)
@@ -321,6 +430,16 @@ BATCH: dict[str, Callable[[Bindings], DataFrame]] = {
     "org_features": _features,
     "encoded": _encoded,
     "class_weights": lambda b: features.class_weights(b.orgs(), "tier"),
+    "describe_fractional": lambda b: reports.describe_by(
+        b.orgs().select("sector", (F.col("rate") * 100).alias("rate")), "sector", "rate", 2
+    ).select("sector", "mean", "std"),
+    "trade_rejects": _trade_rejects,
+    "tvf_on_raw_tables": _tvf_on_raw_tables,
+    "layers_at_risk": _layer_at_risk,
+    "layers_departments": _layer_departments,
+    "layers_audit": _layer_audit,
+    "functions_listed": _functions_listed,
+    "ndjson_malformed": _ndjson_malformed,
     "hash_split": lambda b: features.split(b.orgs(), "org_id").groupBy("is_test").count(),
     "stratified_split": lambda b: features.stratified_split(b.orgs(), "org_id", "tier")
     .groupBy("tier", "is_test")
@@ -336,6 +455,13 @@ MODELS: dict[str, Callable[[Bindings], DataFrame]] = {
     "risk_model": _risk_model,
     "salary_model": lambda b: models.regression_report(models.fit_salary_model(b.people(), b.orgs()), "salary"),
     "segments": lambda b: models.segment_profiles(models.segment(_stored(b, _features(b), "features")).rows),
+    "tier_test_rows": _tier_test_rows,
+    "tier_confusion": lambda b: models.confusion(_tier_model(b)),
+    "tier_importances": lambda b: _tier_model(b).importances(),
+    "risk_by_sector": lambda b: models.risk_by_sector(_risk_model(b)),
+    "elbow": lambda b: models.elbow_costs(b.spark, _segments(b)),
+    "clusters_by_size": lambda b: models.cluster_table(_segments(b).rows, "size"),
+    "clusters_by_sector": lambda b: models.cluster_table(_segments(b).rows, "sector"),
     "pca_2d": lambda b: models.project2d(models.standardise(_features(b))).select("org_id", "pc1", "pc2"),
 }
 

@@ -139,6 +139,8 @@ SQL = {
     "kpi_region": query(_KPI_REGION, "summary"),
     "risk_score": query("SELECT * FROM risk", "risk"),
     "at_risk_orgs": query(_AT_RISK, "risk"),
+    "layers_at_risk": query(_AT_RISK, "risk"),
+    "layers_departments": query(_DEPT, "orgc", "personc"),
     "exec_dashboard": query(_EXEC, "risk"),
     "department_share": query(_DEPT, "orgc", "personc"),
     "hires_to_target": query(_HIRES, "orgc", extra=HIRES),

@@ -43,7 +43,31 @@ _ENCODED = ", ".join(
     f"CAST(dense_rank() OVER (ORDER BY {c}) - 1 AS DOUBLE) AS {c}_encoded" for c in ("sector", "size", "region", "tier")
 )
 
+_RAW = [("organisations", "org"), ("people", "person"), ("alerts", "alert")]
+_AUDIT = " UNION ALL ".join(f"SELECT '{n}' AS name, '{n}.csv' AS mark, count(*) AS rows FROM {t}" for n, t in _RAW)
+_AUDIT += " UNION ALL SELECT 'silver people', '2000-01-01', count(*) FROM personc"
+_FUNCTIONS = (
+    "org_status", "orgs_in_tier", "sector_summary", "expiring_nationals", "org_alerts", "overall_summary", "tier_thresholds",
+    "hires_needed", "simulate_change", "org_people", "list_orgs",
+)
+_DRAW = "CAST('0x' || substr(md5(org_id || ':42'), 1, 8) AS BIGINT) % 10000"
+
 SQL = {
+    "describe_fractional": query(
+        f"""SELECT sector, {rnd('avg(rate * 100)', 2)} AS mean, {rnd('stddev_samp(rate * 100)', 2)} AS std
+        FROM org GROUP BY sector""",
+        "org",
+    ),
+    "layers_audit": query(_AUDIT, "org", "personc", "alert"),
+    "functions_listed": "SELECT unnest([" + ", ".join(f"'{f}'" for f in _FUNCTIONS) + "]) AS function",
+    "ndjson_malformed": (
+        "SELECT event_id % 40 = 0 AS is_broken, count(*) AS lines, count(*) FILTER (WHERE event_id % 40 <> 0) AS trades "
+        "FROM events GROUP BY 1"
+    ),
+    "hash_split": query(f"SELECT {_DRAW} < 2000 AS is_test, count(*) AS count FROM org GROUP BY 1", "org"),
+    "tier_test_rows": query(
+        "SELECT tier, CAST(floor(count(*) * 0.2 + 0.5) AS BIGINT) AS orgs FROM org GROUP BY tier", "org"
+    ),
     "csv_roundtrip": query("SELECT * FROM org", "org"),
     "layer_counts": query(
         """SELECT 'layer_orgs' AS name, count(*) AS rows FROM org UNION ALL SELECT 'layer_people', count(*) FROM person

@@ -43,7 +43,15 @@ _PEOPLE = """SELECT p.person_id, p.nationality, CASE WHEN p.nationality = 'N' TH
   p.job_title, p.department, p.salary, p.contract_type, p.hire_date, p.contract_end, p.gender
 FROM person p JOIN orgc o ON o.org_id = p.org_id WHERE """
 
+_RAW = f"""SELECT 'org' AS kind, CAST(org_id AS VARCHAR) AS id, name AS label FROM one UNION ALL
+SELECT 'person', CAST(person_id AS VARCHAR), job_title FROM person
+WHERE org_id IN (SELECT org_id FROM org WHERE {_NAME.format('name', '#000000010')}) UNION ALL
+SELECT 'expiring', CAST(person_id AS VARCHAR), department FROM person
+WHERE org_id IN (SELECT org_id FROM org WHERE {_NAME.format('name', 'customer#')}) AND nationality = 'N'
+  AND contract_end BETWEEN {AS_OF} AND {AS_OF} + 60"""
+
 SQL = {
+    "tvf_on_raw_tables": query(_RAW, "orgc", "person", extra=_FIRST.format("#00000001")),
     "tvf_org_status": query(
         "SELECT org_id, name, sector, size, region, total, nationals, non_nationals, rate_pct, tier, compliance_status FROM one",
         "orgc", extra=_FIRST.format("CUSTOMER#00000001"),
