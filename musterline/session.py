@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import shutil
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import SparkSession
 
@@ -33,7 +35,7 @@ def build_session(name: str = "musterline", master: str | None = None, **conf) -
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named in ``spark.checkpoint.dir``.
 
-    Only a local session may go without; it gets a temporary folder of its own.
+    Only a local session may go without; it gets a folder of its own below the warehouse, which goes when Python ends.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -42,7 +44,8 @@ def shared_dir(spark: SparkSession) -> str:
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="musterline-")
+        _local_dirs[app] = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch-{app}"
+        atexit.register(shutil.rmtree, urlparse(_local_dirs[app]).path, ignore_errors=True)
     return _local_dirs[app]
 
 

@@ -84,6 +84,11 @@ WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR
 GROUP BY 1, 2, 3"""
 
 SQL = {
+    "stream_batches": query(
+        "SELECT symbol, count(*) AS trades, CAST(sum(trade_id) AS BIGINT) AS id_sum, true AS several_batches "
+        "FROM trade GROUP BY symbol",
+        "trade",
+    ),
     "trade_rejects": """SELECT CASE WHEN event_id % 23 = 0 THEN 'not JSON' WHEN event_id % 17 = 0 THEN 'unreadable price'
           ELSE 'unreadable quantity' END AS reason, count(*) AS messages
         FROM events WHERE event_id % 23 = 0 OR (event_id % 7 <> 0 AND (event_id % 17 = 0 OR event_id % 19 = 0)) GROUP BY 1""",
