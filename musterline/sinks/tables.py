@@ -71,9 +71,11 @@ STREAM_TABLES = (
 )
 
 
-def ensure_db(spark: SparkSession, *names: str) -> None:
+def ensure_db(spark: SparkSession, *names: str, location: str | None = None) -> None:
+    """Create databases that are missing; ``location`` is where a new one keeps its tables."""
+    place = f" LOCATION '{location}'" if location else ""
     for name in names:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{place}")
 
 
 def create_raw_tables(spark: SparkSession, db: str = "bronze") -> None:

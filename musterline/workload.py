@@ -253,13 +253,14 @@ def _trade_rejects(b: Bindings) -> DataFrame:
 
 
 def _database(b: Bindings, label: str) -> str:
-    """Name of a database for one folder of test tables; it is filled anew whenever a query needs it."""
-    return f"{label}_{zlib.crc32(b.folder.encode()):08x}"
+    """A database for one folder of test tables, in the shared folder; it is filled anew whenever a query needs it."""
+    name = f"{label}_{zlib.crc32(b.folder.encode()):08x}"
+    tables.ensure_db(b.spark, name, location=scratch(b.spark, name))
+    return name
 
 
 def _raw_tables(b: Bindings, db: str) -> None:
     """The declared raw tables, whose ids are text, filled from the bindings; the audit columns fill themselves."""
-    tables.ensure_db(b.spark, db)
     for name, *_ in tables.RAW_TABLES:
         b.spark.sql(f"DROP TABLE IF EXISTS {db}.{name}")
     tables.create_raw_tables(b.spark, db)
@@ -318,7 +319,6 @@ def _layer_audit(b: Bindings) -> DataFrame:
 
 def _functions_listed(b: Bindings) -> DataFrame:
     db = _database(b, "tools")
-    tables.ensure_db(b.spark, db)
     raw = _database(b, "raw_tools")
     _raw_tables(b, raw)
     names = {"orgs": "organisations", "people": "people", "rules": "tier_rules", "alerts": "alerts"}
