@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Regex, normalizers, pre_tokenizers
 
-from .common import small_batches
+from .common import portions, small_batches
 
 #: White space of the tokenizer files' patterns; \x1c-\x1f, which Python splits at, are not part of it.
 SPACES = "\t\n\x0b\x0c\r \x85\xa0  -     　"
@@ -162,6 +162,9 @@ class Bpe:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
+        return [code for run in portions(texts) for code in self.encode_run(run)]
+
+    def encode_run(self, texts: list[str]) -> list[bytes]:
         split = [_SPLIT.split(t) if _PYTHON_ONLY.search(t) else t.split() for t in texts]
         if len(self.cache) > CACHE:
             self.cache.clear()

@@ -52,6 +52,16 @@ def forget(*frames: DataFrame) -> None:
                 discard(df.sparkSession, folder)
 
 
+def bounded_sample(df: DataFrame, size: int, *key: str) -> DataFrame:
+    """At most ``size`` rows in order of a hash of ``key``: the same ones however the rows are dealt out.
+
+    A count settles what share of the hashes can matter, so that only about twice ``size`` rows are ordered.
+    """
+    draw = F.pmod(F.xxhash64(*key), F.lit(1 << 30))
+    share = min(1.0, 2 * size / max(1, df.count()))
+    return df.where(draw <= int(share * (1 << 30))).orderBy(draw, *key).limit(size)
+
+
 def components(edges: DataFrame, label: str = "links") -> DataFrame:
     """Connected components of undirected links (a, b) as rows (node, root); root is the smallest node reachable.
 
@@ -111,6 +121,20 @@ def components(edges: DataFrame, label: str = "links") -> DataFrame:
     return known.unionByName(ends)
 
 
+def portions(texts: list[str], most: int = 1 << 20) -> Iterator[list[str]]:
+    """``texts`` in order, in runs of about ``most`` characters, so that what is made of them stays small."""
+    run: list[str] = []
+    size = 0
+    for text in texts:
+        if run and size + len(text) > most:
+            yield run
+            run, size = [], 0
+        run.append(text)
+        size += len(text)
+    if run:
+        yield run
+
+
 def strings(column) -> Iterator[str]:
     """Texts of an Arrow column; null counts as empty."""
     for value in column.to_pylist():
