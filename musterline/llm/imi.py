@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, forget, small_batches, stored
+from .common import bounded_sample, components, forget, small_batches, stored
 
 #: Vectors the codebooks and the limit are fitted on at most.
 SAMPLE = 8_000
@@ -293,7 +293,7 @@ def near_duplicates(
     sound = rows.where(usable()).withColumn("uid", uid)
     distinct = sound.groupBy("uid", "label", "embedding").agg(F.count("*").alias("copies"), F.min("vec_id").alias("first"))
     distinct = stored(distinct, "imi")
-    some = [np.array(r.embedding, dtype=np.float64) for r in distinct.orderBy("uid").limit(sample).select("embedding").collect()]
+    some = [np.array(r.embedding, dtype=np.float64) for r in bounded_sample(distinct, sample, "uid").select("embedding").collect()]
     lengths = [len(v) for v in some]
     dims = max(set(lengths), key=lambda n: (lengths.count(n), n)) if lengths else 2
     x = np.array([v for v in some if len(v) == dims]).reshape(-1, dims)

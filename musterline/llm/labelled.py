@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import bounded_sample
+
 #: Labelled documents a classifier is fitted on at most; the sample is the same for the same labels.
 SAMPLE = 12_000
 
@@ -22,7 +24,7 @@ def sample_of(docs: DataFrame, labels: DataFrame, label: str, size: int = SAMPLE
     """
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
     known = known.groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
-    some = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(size)
+    some = bounded_sample(known, size, "doc_id")
     lang = F.col("lang") if "lang" in docs.columns else F.lit(None)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), lang.cast("string").alias("lang"))
     # The sample has at most ``size`` rows of two numbers, so it may be sent to every task.
