@@ -18,7 +18,7 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, fresh, stored
+from .common import bounded_sample, forget, fresh, stored
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -302,11 +302,12 @@ def fit(docs: DataFrame, sample: int = 20_000, documents: int = 5_000, precision
     The bounds concern only what the trees are grown from. Three quarters of the sample grow them, the rest calibrates.
     """
     some = docs.select("doc_id").where("doc_id is not null").distinct()
-    some = some.orderBy(F.xxhash64("doc_id"), "doc_id").limit(documents)
+    some = bounded_sample(some, documents, "doc_id")
     # At most ``documents`` ids, so they may be sent to every task.
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(some), "doc_id")
     found = with_candidates(with_base(texts, "base"), "base", "found")
-    rows = found.select("doc_id", F.explode("found").alias("c")).select("doc_id", "c.*")
+    # Outer: for a plain explode Spark adds the filter "has candidates", below the join, where it would search every text.
+    rows = found.select("doc_id", F.explode_outer("found").alias("c")).where("c is not null").select("doc_id", "c.*")
     rows = rows.withColumn("order", F.xxhash64("doc_id", "start", "kind")).orderBy("order", *FEATURES).limit(sample)
     kept = stored(rows, "pii")
     apart = F.pmod(F.col("order"), F.lit(4)) == 0
