@@ -145,7 +145,8 @@ def next_rows(docs: DataFrame, buckets: int) -> DataFrame:
     placed = rows.withColumn("dealt", dealt)
     spread = placed.select(F.explode(F.filter("dealt", lambda d: d.key >= 0)).alias("d"), "at", "doc_id", "text")
     spread = spread.select("d.key", "d.ahead", "at", "doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return spread.repartition(max(1, len(firsts)), "key").sortWithinPartitions("key", "ahead", "at", "text")
+    # One task per range; a hash of the range would put several into one task.
+    return spread.repartitionById(max(1, buckets), "key").sortWithinPartitions("key", "ahead", "at", "text")
 
 
 SCHEMA = (
