@@ -326,7 +326,8 @@ def _functions_listed(b: Bindings) -> DataFrame:
     listed = sql_functions.list_functions(b.spark, db)
     # The session's own functions are listed too, without a database.
     stored = listed.filter(F.contains(listed[0], F.lit(f"{db}.")))
-    return stored.select(F.element_at(F.split(stored[0], r"\."), -1).alias("function"))
+    orgs = b.spark.table(f"{raw}.organisations").agg(F.count(F.lit(1))).scalar()
+    return stored.select(F.element_at(F.split(stored[0], r"\."), -1).alias("function"), orgs.alias("orgs_behind"))
 
 
 def _ndjson_malformed(b: Bindings) -> DataFrame:

