@@ -26,7 +26,7 @@ GRAM = 16
 BLOCK, LONGEST = 1 << 21, 4096
 #: Distinct segments of a hash sorted together; more are cut into cells of pairs of slices.
 SLICE = 4096
-#: Bytes of segments sorted together, whole cells at a time.
+#: Bytes of segments sorted together, whole cells at a time and at most one cell of a hash.
 SORTED = 1 << 20
 _LAST = ~np.uint64(0)
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -229,7 +229,8 @@ def sorted_cells(width: int):
 
         for batch in batches:
             for mh, at, sh, count, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (mh, at) != cell and size > SORTED:
+                # Cells of one hash share segments, whose numbers must not be added up; cells of different hashes share none.
+                if cell and (mh, at) != cell and (size > SORTED or mh == cell[0]):
                     yield flush()
                     parts, weights, names, size = [], [], [], 0
                 if (mh, at) == cell and names and names[-1] == (mh, sh):

@@ -140,6 +140,26 @@ def test_repeats_of_awkward_rows(spark, tmp_path, monkeypatch):
     assert R.without_repeats(clash.limit(0)).count() == 0
 
 
+def test_cells_of_one_gram_are_sorted_apart(spark, tmp_path, monkeypatch):
+    """A frequent phrase in many contexts is cut into cells that follow each other in one task; what stands once stays."""
+    monkeypatch.setattr(R, "SLICE", 8)
+    rng = random.Random(6)
+    line = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    # A phrase of so small a hash that every window around it belongs to it.
+    many = np.frombuffer(line(200_000).encode(), np.uint8)
+    at = int(R.gram_hashes(many).argmin())
+    phrase = many[at : at + R.GRAM].tobytes().decode()
+    data = [(i, f"{line(150)}{phrase}{line(150)}") for i in range(40)]
+    data += [(100 + i, f"{i}{data[0][1][20:280]}{i}") for i in range(2)]
+    spark.createDataFrame(data, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        check_repeats(data, queries.op3_suffix_array(spark, str(tmp_path)))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def vectors(n, labels, seed=2):
     rng = np.random.default_rng(seed)
     base = rng.normal(size=(n // 4, 16))
