@@ -2,8 +2,8 @@
 
 Strict patterns with their checks give the base spans, which always stay. Loose generators propose many more, overlapping
 ones. Shallow boosted trees over format and context judge each candidate; they are grown from histograms that Spark sums over
-a bounded sample of candidates, with the checked spans as labels. A threshold for each kind, set so that enough of the
-sample above it is checked, selects what is redacted besides.
+a bounded sample of candidates of each kind, with the checked spans as labels. A threshold for each kind, set so that enough of
+the candidates of all documents above it are checked, selects what is redacted besides.
 
 Only DataFrame and SQL functions are used; what reaches the driver are histograms of bounded size.
 """
@@ -282,7 +282,10 @@ def grow(sample: DataFrame, rounds: int = 8, depth: int = 3, rate: float = 0.5,
 
 
 def calibrate(model: Trees, apart: DataFrame, precision: float, least: int = 20) -> None:
-    """Per kind the lowest score, in hundredths, above which ``precision`` of the held-out candidates are checked ones."""
+    """Per kind the lowest score, in hundredths, above which ``precision`` of the held-out candidates are checked ones.
+
+    Spark counts the candidates of each kind and score; fewer than ``least`` of a kind give it no threshold.
+    """
     step = F.floor(model.score(F.col) * 100).cast("int").alias("step")
     counted = apart.select("kind", "y", step).groupBy("kind", "step").agg(F.count("*").alias("n"), F.sum("y").alias("y"))
     by_kind: dict[int, list] = defaultdict(list)
@@ -296,24 +299,36 @@ def calibrate(model: Trees, apart: DataFrame, precision: float, least: int = 20)
                 model.thresholds[kind] = at / 100
 
 
+def candidates_of(docs: DataFrame, some: DataFrame) -> DataFrame:
+    """All candidates of ``docs``: their fields, ``order`` (a hash of document, place and kind) and ``known``, whether the
+    document is one of ``some``, a few ids that may be sent to every task."""
+    some = some.select("doc_id", F.lit(True).alias("known"))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(some), "doc_id", "left")
+    found = with_candidates(with_base(texts, "base"), "base", "found")
+    # Outer: for a plain explode Spark adds the filter "has candidates", below the join, where it would search every text.
+    rows = found.select("doc_id", "known", F.explode_outer("found").alias("c")).where("c is not null")
+    return rows.select("c.*", F.xxhash64("doc_id", "c.start", "c.kind").alias("order"), F.coalesce("known", F.lit(False)).alias("known"))
+
+
 def fit(docs: DataFrame, sample: int = 20_000, documents: int = 5_000, precision: float = 0.97) -> Trees:
-    """Trees and thresholds from at most ``sample`` candidates of at most ``documents`` documents, chosen by hashes.
+    """Trees from at most ``sample`` candidates of at most ``documents`` documents, as many of each kind, chosen by hashes;
+    thresholds from all other candidates of all documents.
 
-    The bounds concern only what the trees are grown from. Three quarters of the sample grow them, the rest calibrates.
+    The bounds concern only what the trees are grown from. A quarter of the candidates of these documents never grows them.
     """
     some = docs.select("doc_id").where("doc_id is not null").distinct()
-    some = bounded_sample(some, documents, "doc_id")
-    # At most ``documents`` ids, so they may be sent to every task.
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(some), "doc_id")
-    found = with_candidates(with_base(texts, "base"), "base", "found")
-    # Outer: for a plain explode Spark adds the filter "has candidates", below the join, where it would search every text.
-    rows = found.select("doc_id", F.explode_outer("found").alias("c")).where("c is not null").select("doc_id", "c.*")
-    rows = rows.withColumn("order", F.xxhash64("doc_id", "start", "kind")).orderBy("order", *FEATURES).limit(sample)
-    kept = stored(rows, "pii")
+    some = stored(bounded_sample(some, documents, "doc_id").select("doc_id"), "pii")
     apart = F.pmod(F.col("order"), F.lit(4)) == 0
-    model = grow(kept.where(~apart))
-    calibrate(model, kept.where(apart), precision)
-    forget(kept)
+    met = docs.join(F.broadcast(some), "doc_id", "left_semi")
+    usable = stored(candidates_of(met, some).where(~apart), "pii")
+    share = sample // len(KINDS)
+    kept = [usable.where(F.col("kind") == k).orderBy("order", *FEATURES).limit(share) for k in range(len(KINDS))]
+    grown = stored(reduce(DataFrame.unionByName, kept), "pii")
+    model = grow(grown)
+    last = {r.kind: r.last for r in grown.groupBy("kind").agg(F.max("order").alias("last")).collect()}
+    used = reduce(lambda a, b: a | b, [(F.col("kind") == k) & (F.col("order") <= at) for k, at in last.items()], F.lit(False))
+    calibrate(model, candidates_of(docs, some).where(~(F.col("known") & ~apart & used)), precision)
+    forget(some, usable, grown)
     return model
 
 

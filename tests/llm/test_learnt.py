@@ -148,6 +148,18 @@ def test_base_spans_stay_and_added_ones_do_not_touch_them(spark):
         assert not any(a["start"] < b["end"] and b["start"] < a["end"] for a in row["spans"] if not a["base"] for b in base)
 
 
+def test_thresholds_come_from_all_documents(spark):
+    """Neither a kind that is rare in the sample nor one beside very many numbers loses its learnt spans."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(1200):
+        numbers = ", ".join(str(rng.randint(10**9, 10**10 - 1)) for _ in range(10))
+        rows.append((i, f"list {numbers}; mail u{i}@b.co now" + (f", host 10.0.{i % 200}.7 up" if i % 20 == 0 else "")))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = pii.fit(docs, sample=400, documents=200)
+    assert model.trees and {pii.KINDS[k] for k in model.thresholds} == {"email", "ip"}
+
+
 def test_redaction_of_awkward_rows(spark):
     docs = spark.createDataFrame(AWKWARD, DOCS).withColumn("spans", F.lit("clash"))
     got = pii.redact(docs, pii.fit(docs))
