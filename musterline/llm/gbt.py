@@ -7,7 +7,7 @@ node, feature and bin. They are complete binary trees kept in flat arrays, which
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -81,6 +81,7 @@ class Forest:
     feature: np.ndarray
     threshold: np.ndarray
     value: np.ndarray
+    rows: int = 0  # documents it was fitted on
 
     def margin(self, x: np.ndarray) -> np.ndarray:
         at = np.zeros((len(x), len(self.feature)), dtype=np.int64)
@@ -151,7 +152,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
     measured = rows.mapInArrow(run, "doc_id long, y int, x array<double>")
     found = measured.groupBy("doc_id", "y").agg(F.min("x").alias("x")).orderBy("doc_id").toPandas()
     x = np.array(found["x"].tolist(), dtype=np.float64).reshape(len(found), len(NAMES))
-    return grow(x, found["y"].to_numpy(dtype=np.float64))
+    return replace(grow(x, found["y"].to_numpy(dtype=np.float64)), rows=len(found))
 
 
 def score(docs: DataFrame, forest: Forest, into: str = "score") -> DataFrame:
@@ -171,10 +172,10 @@ def score(docs: DataFrame, forest: Forest, into: str = "score") -> DataFrame:
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, sample: int = SAMPLE) -> DataFrame:
     """The rows of ``docs`` that score at least ``threshold``; columns as they were.
 
-    Without any label nothing is known against a document, and all stay.
+    Without any label nothing is known against a document, and all stay; labels of one class decide like any others.
     """
     forest = fit(docs, labels, sample=sample)
-    if len(forest.feature) == 1 and not np.isfinite(forest.threshold).any():
+    if not forest.rows:
         return docs
     name = fresh(docs, "score")
     return score(docs, forest, name).where(F.col(name) >= threshold).drop(name)

@@ -51,6 +51,13 @@ def test_scores_of_awkward_rows_and_no_labels(spark):
     assert gbt.score(docs.limit(0), gbt.fit(docs, labels)).count() == 0
 
 
+@pytest.mark.parametrize("y, kept", [(0, 0), (1, 4)])
+def test_labels_of_one_class_decide(spark, y, kept):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(4)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i in range(3)], "doc_id long, quality int")
+    assert gbt.accepted(docs, labels).count() == kept
+
+
 def test_score_depends_on_the_text_alone(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     labels = spark.read.parquet(f"{SMALL}/labels.parquet")
