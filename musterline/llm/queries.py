@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, ctph, gbt, imi, packing, pii, repeats, simhash, textcnn
+from . import bpe, chat, ctph, gbt, imi, ngrams, packing, pii, repeats, simhash, textcnn
 from .common import table
 from .labelled import held_out
 
@@ -156,8 +156,14 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aside = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
+    scored = ngrams.score(table(spark, sf_dir, "documents"), ~aside, order=3)
+    return scored.withColumn("held_out", ~F.col("learn")).drop("learn")
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_simhash, op2_chat, op3_suffix_array, op4_pii, op5_fingerprint, op6_quality, op7_embeddings, op8_toxicity, op9_packing, op10_bpe)
+    found = (op1_simhash, op2_chat, op3_suffix_array, op4_pii, op5_fingerprint, op6_quality, op7_embeddings, op8_toxicity, op9_packing, op10_bpe, op11_lm)
     return {f.__name__: f for f in found}
 
 
