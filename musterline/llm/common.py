@@ -52,6 +52,11 @@ def forget(*frames: DataFrame) -> None:
                 discard(df.sparkSession, folder)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark remove shuffle files of finished jobs now; it does so once the driver has collected their plans."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def bounded_sample(df: DataFrame, size: int, *key: str) -> DataFrame:
     """At most ``size`` rows in order of a hash of ``key``: the same ones however the rows are dealt out.
 

@@ -48,7 +48,10 @@ class EliasFano:
         bits = np.zeros((most >> width) + n + 2, dtype=np.uint8)
         bits[ones] = 1
         high = _words(bits)
-        low = _words(((values[:, None] >> np.arange(width)) & 1).ravel()) if width and n else np.zeros(2, np.uint64)
+        lows = np.empty((n, width), dtype=np.uint8)
+        for bit in range(width):
+            lows[:, bit] = (values >> bit) & 1
+        low = _words(lows.ravel()) if width and n else np.zeros(2, np.uint64)
         counts = np.bitwise_count(high).astype(np.int64)
         return cls(n, width, low, high, np.r_[0, np.cumsum(counts)][:-1].astype(np.uint32).astype(np.int64))
 

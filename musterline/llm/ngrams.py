@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -21,18 +22,16 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, small_batches, stored
+from .common import forget, release_shuffles, small_batches, stored
 from .eliasfano import Trie
 
 #: Weight of the shorter context by order.
 PRIOR = {2: 100.0, 3: 3.0, 4: 3.0, 5: 3.0}
 #: Steps of a quantised log10 probability.
 STEP = 1024
-#: Bytes of text in a batch, texts being whole; words asked of one part of a level.
-BATCH = 8 << 20
-PART = 2_000_000
-#: Sets the learnt counts of a context apart by word where they would fill more than this share of a part.
-SPLIT = PART // 4
+#: Bytes of text in a batch, texts being whole; questions to one part of a level.
+BATCH = 4 << 20
+PART = 1_000_000
 
 ASK = "array<struct<part: int, data: binary>>"
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -85,7 +84,7 @@ def chance_of(code: Array) -> Array:
 # --- Batches: words of texts, once per distinct word
 
 
-def _tokens(parts: int):
+def _tokens(parts: int, batch: int):
     """Batches of texts as local word numbers, and their words asked of the parts of the vocabulary."""
 
     def batch_row(number: int, ids: list, learn: list[bool], texts: list[bytes]) -> dict:
@@ -130,7 +129,7 @@ def _tokens(parts: int):
                  ("asks", pa.list_(pa.struct([("part", pa.int32()), ("data", pa.binary())])))]
             )
             for doc, flag, text in zip(*(frame.column(c).to_pylist() for c in ("id", "learn", "text")), strict=True):
-                if ids and size + len(text) > BATCH:
+                if ids and size + len(text) > batch:
                     yield pa.RecordBatch.from_pylist([batch_row(number, ids, learn, texts)], schema=schema)
                     ids, learn, texts, size, number = [], [], [], 0, number + 1
                 ids.append(doc)
@@ -146,8 +145,8 @@ def _tokens(parts: int):
 def _by_part(part: Array) -> Iterator[tuple[int, Array]]:
     """Each part with the places that go to it, in order."""
     order = np.argsort(part, kind="stable")
-    cuts = np.flatnonzero(np.diff(part[order], prepend=-1).astype(np.int64)) if len(part) else []
-    for a, b in zip(cuts, [*cuts[1:], len(order)], strict=True):
+    cuts = np.flatnonzero(np.diff(part[order].astype(np.int64), prepend=-1))
+    for a, b in pairwise([*cuts, len(order)]):
         yield int(part[order[a]]), order[a:b]
 
 
@@ -186,9 +185,9 @@ def _vocabulary(parts: int):
 class Grams:
     """The n-grams of a batch, order by order, with what is known of them."""
 
-    def __init__(self, state: list[bytes], total: int, words: int, parts: int):
+    def __init__(self, state: list[bytes], total: int, words: int, parts: int, split: int):
         token, lens, part, end = (whole(a) for a in unpacked(state[0]))
-        self.lens, self.parts = lens, parts
+        self.lens, self.parts, self.split = lens, parts, split
         self.first = np.r_[0, np.cumsum(lens)][:-1]
         number, count = np.zeros(len(part), dtype=np.int64), np.zeros(len(part), dtype=np.int64)
         got = [whole(a) for a in unpacked(state[1])]
@@ -217,7 +216,7 @@ class Grams:
         shorter = self.at[first]
         before = np.r_[self.count0, self.count][context]
         open_ = np.flatnonzero((before > 0) & (self.count[shorter] > 0))
-        split = mixed(self.number[word[open_]]) % (1 + before[open_] // SPLIT).astype(np.uint64)
+        split = mixed(self.number[word[open_]]) % (1 + before[open_] // self.split).astype(np.uint64)
         columns = [c[context[open_]] for c in self.columns]
         part = (mixed(*columns, split) % np.uint64(self.parts)).astype(np.int64)
         turn = np.argsort(part, kind="stable")
@@ -302,17 +301,19 @@ def _joined(answers: list[dict]) -> bytes:
     return packed(*[np.concatenate(c) for c in zip(*parts, strict=True)]) if parts else packed()
 
 
-def _next_round(total: int, words: int, parts: int, last: bool, id_type: pa.DataType):
+def _next_round(known: tuple[int, int, int, int], last: bool, id_type: pa.DataType):
     """Answers taken; the next order's questions, or in the end a row of scores per text."""
 
+    total, words = known[:2]
+
     def rounds(row: dict) -> dict:
         state = [*row["state"], _joined(row["answers"] or [])]
-        grams = Grams(state, total, words, parts)
+        grams = Grams(state, *known)
         asks = grams.questions(grams.ask(), np.array(row["learn"], dtype=bool))
         return {**row, "state": state, "asks": asks, "answers": None}
 
     def scores(row: dict) -> pa.RecordBatch:
-        grams = Grams([*row["state"], _joined(row["answers"] or [])], total, words, parts)
+        grams = Grams([*row["state"], _joined(row["answers"] or [])], *known)
         count = grams.single[grams.word]
         add = lambda v: np.add.reduceat(v, grams.first)
         base = add(np.log10((count + 1) / (total + words + 1)))
@@ -335,7 +336,15 @@ def _next_round(total: int, words: int, parts: int, last: bool, id_type: pa.Data
     return run
 
 
-def score(docs: DataFrame, learn: Column, order: int = 3, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def score(
+    docs: DataFrame,
+    learn: Column,
+    order: int = 3,
+    id_column: str = "doc_id",
+    text: str = "text",
+    batch: int = BATCH,
+    part: int = PART,
+) -> DataFrame:
     """Log10 probability of every whole text under the n-grams of the texts for which ``learn`` holds.
 
     One row per row of ``docs``, repeated ones included: (``id_column``, learn, n_tokens, n_known, train_tokens,
@@ -343,8 +352,8 @@ def score(docs: DataFrame, learn: Column, order: int = 3, id_column: str = "doc_
     end; a null or empty text has that token alone. A null ``learn`` counts as false. ``base_score`` takes single words
     only. Without learning texts every token counts as unknown. Other columns of ``docs`` are not read.
 
-    Memory: a task holds one batch of about ``BATCH`` bytes of texts (one text at least), or one part of a level, of about
-    ``PART`` questions; a context with more learnt occurrences than ``SPLIT`` is dealt out to several parts by word.
+    Memory: a task holds one batch of about ``batch`` bytes of texts (one text at least), or one part of a level, of about
+    ``part`` questions; a context with more learnt occurrences than a quarter of that is dealt out to several by word.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -356,10 +365,10 @@ def score(docs: DataFrame, learn: Column, order: int = 3, id_column: str = "doc_
     id_sql = rows.schema["id"].dataType.simpleString()
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     # A token takes some six bytes of text.
-    parts = 1 + size // (6 * PART)
+    parts = 1 + size // (6 * part)
     state = stored(
         rows.mapInArrow(
-            _tokens(parts),
+            _tokens(parts, batch),
             f"batch long, ids array<{id_sql}>, learn array<boolean>, learnt long, tokens long, state array<binary>, asks {ASK}",
         ),
         "ngram-batches",
@@ -372,12 +381,13 @@ def score(docs: DataFrame, learn: Column, order: int = 3, id_column: str = "doc_
         answers = stored(
             asks.groupBy("part").applyInArrow(level, "batch long, part int, data binary, seen long"), f"ngram-level-{n}"
         )
+        release_shuffles(spark)
         if n == 1:
             words = answers.agg(F.coalesce(F.sum("seen"), F.lit(0))).first()[0]
         got = answers.groupBy("batch").agg(F.collect_list(F.struct("part", "data")).alias("answers"))
         last = n == order
         joined = state.drop("asks").join(got, "batch", "left")
-        step = _next_round(total, words, parts, last, _arrow_type(rows))
+        step = _next_round((total, words, parts, max(1, part // 4)), last, _arrow_type(rows))
         if last:
             out = joined.mapInArrow(
                 step,
@@ -391,6 +401,7 @@ def score(docs: DataFrame, learn: Column, order: int = 3, id_column: str = "doc_
             joined.withColumn("asks", F.lit(None).cast(ASK)).mapInArrow(step, f"{shape}, asks {ASK}"), "ngram-batches"
         )
         forget(state, answers)
+        release_shuffles(spark)
         state = new.drop("answers")
         state.musterline_folder = new.musterline_folder
     raise ValueError("order must be 1 or more")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, ctph, gbt, imi, ngrams, packing, pii, repeats, simhash, textcnn
+from . import bpe, chat, ctph, gbt, imi, ngrams, packing, pii, prefixes, repeats, simhash, textcnn, whitening
 from .common import table
 from .labelled import held_out
 
@@ -162,10 +162,53 @@ def op11_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("held_out", ~F.col("learn")).drop("learn")
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.nodes(prefixes.rebuilt(prefixes.turn_rows(table(spark, sf_dir, "conversations"))))
+
+
+OP12_SQL = r"""
+WITH own AS (
+  SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST, role, text) AS turns,
+    list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+        lambda c: [CAST(ascii(c) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+      lambda c, x: CASE WHEN (xor(c, x) & 1) = 1 THEN xor(xor(c, x) >> 1, 3988292384) ELSE xor(c, x) >> 1 END) AS reg
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), headed AS (
+  SELECT o.conv_id, o.turns, coalesce(b.turns, []) AS lead, xor(o.reg, 4294967295) % 4 AS h
+  FROM own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 20
+), rebuilt AS (
+  SELECT conv_id, list_concat(lead[1:h], turns[h + 1:len(turns)]) AS p FROM headed
+), pre AS (
+  SELECT conv_id, d, p[1:d] AS k, len(p) = d AS is_end FROM (SELECT *, unnest(range(0, len(p) + 1)) AS d FROM rebuilt)
+), node AS (
+  SELECT k, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE is_end), '') AS ends
+  FROM pre GROUP BY k
+), kid AS (
+  SELECT k[1:depth - 1] AS k, count(*) AS n FROM node WHERE depth > 0 GROUP BY 1
+), whole AS (
+  SELECT node.*, coalesce(kid.n, 0) AS n_children,
+    CASE WHEN depth = 0 THEN 0 ELSE len(regexp_extract_all(node.k[depth].t, '[^ 	-
+]+')) END AS w
+  FROM node LEFT JOIN kid ON kid.k = node.k
+), up AS (
+  SELECT k[1:d] AS k, count(CASE WHEN n_children = 0 THEN 1 END) AS n_leaves, CAST(sum((n_convs - 1) * w) AS BIGINT) AS saved
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM whole) GROUP BY 1
+)
+SELECT a.conv_id, a.depth, p.conv_id AS parent_conv_id, a.n_convs, a.n_children, up.n_leaves, up.saved AS saved_tokens,
+  sha256(a.ends) AS ends_sha256
+FROM whole a JOIN up ON up.k = a.k LEFT JOIN whole p ON a.depth > 0 AND p.k = a.k[1:a.depth - 1]
+"""
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=4, step=256)
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_simhash, op2_chat, op3_suffix_array, op4_pii, op5_fingerprint, op6_quality, op7_embeddings, op8_toxicity, op9_packing, op10_bpe, op11_lm)
+    found = (op1_simhash, op2_chat, op3_suffix_array, op4_pii, op5_fingerprint, op6_quality, op7_embeddings, op8_toxicity, op9_packing, op10_bpe, op11_lm, op12_prefix_trie, op13_whitening)
     return {f.__name__: f for f in found}
 
 
 def all_sql() -> dict[str, str]:
-    return {"op2_chat": OP2_SQL, "op7_embeddings": OP7_SQL}
+    return {"op2_chat": OP2_SQL, "op7_embeddings": OP7_SQL, "op12_prefix_trie": OP12_SQL}
