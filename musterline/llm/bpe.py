@@ -195,17 +195,33 @@ def load(path: str) -> Bpe:
     return Bpe(path)
 
 
+def _lists(codes: list[bytes]) -> pa.Array:
+    """Little-endian 32-bit ids as lists."""
+    offsets = np.r_[0, np.cumsum([len(b) // 4 for b in codes])].astype(np.int32)
+    values = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(codes))])
+    return pa.ListArray.from_arrays(pa.array(offsets), values)
+
+
 def _encode(path: str):
     @F.arrow_udf("array<int>")
     def encode(text: pa.Array) -> pa.Array:
-        out = load(path).encode([t or "" for t in text.to_pylist()])
-        offsets = np.r_[0, np.cumsum([len(b) // 4 for b in out])].astype(np.int32)
-        values = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(out))])
-        return pa.ListArray.from_arrays(pa.array(offsets), values)
+        return _lists(load(path).encode([t or "" for t in text.to_pylist()]))
 
     return encode
 
 
+def _both(path: str):
+    @F.arrow_udf("struct<ids: array<int>, decoded: string>")
+    def both(text: pa.Array) -> pa.Array:
+        coder = load(path)
+        runs = [_lists(coder.encode_run(run)) for run in portions([t or "" for t in text.to_pylist()])]
+        ids = pa.concat_arrays(runs) if runs else pa.array([], pa.list_(pa.int32()))
+        decoded = pa.concat_arrays([coder.decode(run) for run in runs]) if runs else pa.array([], pa.string())
+        return pa.StructArray.from_arrays([ids, decoded], names=["ids", "decoded"])
+
+    return both
+
+
 def _decode(path: str):
     @F.arrow_udf("string")
     def decode(ids: pa.Array) -> pa.Array:
@@ -230,3 +246,11 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", into: str = "decoded")
     """``rows`` with the text of the list ``ids`` in ``into``; null or empty lists give an empty text."""
     small_batches(rows.sparkSession)
     return rows.withColumn(into, _decode(path)(F.col(ids)))
+
+
+def encode_and_decode(docs: DataFrame, path: str, text: str = "text", into: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``encode`` and ``decode`` of its ids in one go: the plan holds one call per text, whatever is made of the two columns."""
+    small_batches(docs.sparkSession)
+    others = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in (into.lower(), decoded.lower())]
+    # As generated columns the results are computed once.
+    return docs.select(*others, F.inline(F.array(_both(path)(F.col(text)))).alias(into, decoded))

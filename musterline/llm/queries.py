@@ -147,7 +147,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.decode(bpe.encode(docs, WORD_BPE), WORD_BPE)
+    coded = bpe.encode_and_decode(docs, WORD_BPE)
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
