@@ -57,14 +57,40 @@ def total(value: Column, places: int) -> Column:
     Values are summed as whole units of the last decimal; what a value has beyond them is summed apart, unless it
     is only the noise of its binary form. A NaN, an infinity or a value too large for units gives the plain sum.
     """
+    units, beyond, fits = _units(value, places)
+    return _whole_sum(F.sum(units), F.sum(beyond), F.sum(value), F.count_if(~fits), places)
+
+
+def _units(value: Column, places: int) -> tuple[Column, Column, Column]:
+    """Whole units of a value, what it has beyond them, and whether it has units at all."""
     scale = F.lit(float(10**places))
     fits = F.coalesce(F.abs(value) < F.lit(9e18 / 10**places), F.lit(True)) & ~F.isnan(value)
     units = F.when(fits, F.floor(value * scale + F.lit(0.5)))
     rest = value - units / scale
     beyond = F.when(fits & (F.abs(rest) > F.abs(value) * F.lit(2.0**-48)), rest)
+    return units.cast("decimal(28,0)"), beyond, fits
+
+
+def _whole_sum(units: Column, beyond: Column, plain: Column, unfit: Column, places: int) -> Column:
     unit = F.lit(f"{10**-places:.{places}f}").cast(f"decimal({places + 1},{places})")
-    exact = (F.sum(units.cast("decimal(28,0)")).cast("decimal(28,0)") * unit).cast("double")
-    return F.when(F.count_if(~fits) > 0, F.sum(value)).otherwise(exact + F.coalesce(F.sum(beyond), F.lit(0.0)))
+    exact = (units.cast("decimal(28,0)") * unit).cast("double")
+    return F.when(unfit > 0, plain).otherwise(exact + F.coalesce(beyond, F.lit(0.0)))
+
+
+def part_of_total(value: Column, places: int) -> Column:
+    """What ``total`` needs of some rows, to be stored and added up later by ``total_of_parts``."""
+    units, beyond, fits = _units(value, places)
+    return F.struct(
+        F.sum(units).cast("decimal(28,0)").alias("units"),
+        F.sum(beyond).alias("beyond"),
+        F.sum(value).alias("plain"),
+        F.count_if(~fits).alias("unfit"),
+    )
+
+
+def total_of_parts(part: Column, places: int) -> Column:
+    """``total`` over the rows behind several parts."""
+    return _whole_sum(F.sum(part["units"]), F.sum(part["beyond"]), F.sum(part["plain"]), F.sum(part["unfit"]), places)
 
 
 def average(value: Column, places: int) -> Column:

@@ -48,8 +48,13 @@ def trade_metrics(
         N.total(F.when(maker, quantity).otherwise(0.0), places).alias("sold"),
         *[measure.alias(name) for name, measure in (extra or {}).items()],
     )
+    return _shown(grouped, len(keys), policy, extra)
+
+
+def _shown(grouped: DataFrame, keys: int, policy: TradePolicy, extra: Mapping[str, Column] | None = None) -> DataFrame:
+    """Rounded metrics from the totals of every group."""
     return grouped.select(
-        *grouped.columns[: len(keys)],
+        *grouped.columns[:keys],
         "trade_count",
         F.round("volume", 6).alias("total_volume"),
         F.round("value", 2).alias("total_value"),
@@ -65,6 +70,41 @@ def trade_metrics(
     )
 
 
+def trade_parts(df: DataFrame, keys: Sequence[Column | str], policy: TradePolicy = TradePolicy()) -> DataFrame:
+    """What the metrics of a group need of some of its trades; parts of a group can be stored and put together later."""
+    price, quantity, maker = F.col("price"), F.col("quantity"), F.col("is_buyer_maker")
+    part = lambda value: N.part_of_total(value, policy.places)
+    return df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("trade_count"),
+        F.count("price").alias("priced"),
+        part(quantity).alias("volume"),
+        part(F.col("trade_value")).alias("value"),
+        part(price * quantity).alias("weighted"),
+        part(price).alias("prices"),
+        F.min("price").alias("low"),
+        F.max("price").alias("high"),
+        part(F.when(~maker, quantity).otherwise(0.0)).alias("bought"),
+        part(F.when(maker, quantity).otherwise(0.0)).alias("sold"),
+    )
+
+
+def metrics_of_parts(parts: DataFrame, keys: Sequence[Column | str], policy: TradePolicy = TradePolicy()) -> DataFrame:
+    """``trade_metrics`` over the trades behind ``parts``."""
+    total = lambda name: N.total_of_parts(F.col(name), policy.places)
+    grouped = parts.groupBy(*keys).agg(
+        F.sum("trade_count").alias("trade_count"),
+        total("volume").alias("volume"),
+        total("value").alias("value"),
+        F.try_divide(total("weighted"), total("volume")).alias("vwap_raw"),
+        F.try_divide(total("prices"), F.sum("priced").cast("double")).alias("avg_raw"),
+        F.min("low").alias("low"),
+        F.max("high").alias("high"),
+        total("bought").alias("bought"),
+        total("sold").alias("sold"),
+    )
+    return _shown(grouped, len(keys), policy)
+
+
 def trade_alerts(df: DataFrame, keys: Sequence[str] = ("symbol",), policy: TradePolicy = TradePolicy()) -> DataFrame:
     """At most one alert per symbol: a price move beyond the threshold or else a volume spike.
 

@@ -54,6 +54,43 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def hadoop(spark: SparkSession, folder: str):
+    """File system of a folder, wherever it is stored, and the class of its paths."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def exists(spark: SparkSession, folder: str) -> bool:
+    fs, path = hadoop(spark, folder)
+    return fs.exists(path(folder))
+
+
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what a folder holds; none if it does not exist."""
+    fs, path = hadoop(spark, folder)
+    return sorted(s.getPath().getName() for s in fs.listStatus(path(folder))) if fs.exists(path(folder)) else []
+
+
+def read_small(spark: SparkSession, file: str) -> str:
+    """Text of a small file, whatever its name."""
+    fs, path = hadoop(spark, file)
+    source = fs.open(path(file))
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
+def write_small(spark: SparkSession, file: str, text: str, replace: bool = False) -> None:
+    """A small file as a whole; unless it may be replaced, one that exists is an error."""
+    fs, path = hadoop(spark, file)
+    out = fs.create(path(file), replace)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
 def discard(spark: SparkSession, *folders: str) -> None:
     """Remove intermediate folders that ``scratch`` handed out, wherever they are stored."""
     base = shared_dir(spark).rstrip("/") + "/"

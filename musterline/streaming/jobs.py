@@ -8,11 +8,15 @@ from threading import Lock
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql.types import StructType
 
 from ..operators.trades import trade_alerts, trade_metrics, with_times
 from ..policy import TradePolicy
 from ..sinks.tables import append_batch, append_batch_table
 from ..sources.files import table_stream, trade_stream
+from ..sources.rescue import CORRUPT, RESCUED, parse_lines
+from ..sources.schemas import Schema, SchemaLedger, VersionedTable, infer_json
+from .counters import RunCounters, counted
 
 Trigger = Mapping[str, object]
 
@@ -41,16 +45,29 @@ def write_batches(
     checkpoint: str,
     trigger: Trigger = once(),
     name: str | None = None,
+    counters: RunCounters | None = None,
 ) -> StreamingQuery:
     """Apply ``build`` to every micro-batch and write the result as that batch's partition.
 
-    The target is a folder or, without a slash in it, a catalog table.
+    The target is a folder or, without a slash in it, a catalog table. With ``counters`` and a name the written rows are
+    counted on the way.
     """
     write = append_batch if "/" in target else append_batch_table
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write(build(batch), batch_id, target)
+        rows = build(batch)
+        if counters and name:
+            counters.write(name, batch_id, rows, lambda df: write(df, batch_id, target))
+        else:
+            write(rows, batch_id, target)
 
+    return start_batches(stream, handle, checkpoint, trigger, name)
+
+
+def start_batches(
+    stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, trigger: Trigger = once(), name: str | None = None
+) -> StreamingQuery:
+    """Call ``handle`` with every micro-batch and its id."""
     return _start(stream.writeStream.foreachBatch(handle), checkpoint, trigger, name)
 
 
@@ -64,9 +81,17 @@ def enrich(stream: DataFrame) -> DataFrame:
     return with_times(stream).withColumn("processing_time", F.current_timestamp())
 
 
-def ingest_trades(stream: DataFrame, path: str, checkpoint: str, trigger: Trigger = once(), name: str = "trades_raw"):
+def ingest_trades(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: Trigger = once(),
+    name: str = "trades_raw",
+    counters: RunCounters | None = None,
+):
     """Landed trades to the raw table that the other streams read."""
-    return write_files(enrich(stream), path, checkpoint, trigger, name)
+    rows = enrich(stream)
+    return write_files(counted(rows) if counters else rows, path, checkpoint, trigger, name)
 
 
 def ingest_batches(stream: DataFrame, path: str, checkpoint: str, trigger: Trigger = once(), name: str = "trades_raw"):
@@ -74,6 +99,38 @@ def ingest_batches(stream: DataFrame, path: str, checkpoint: str, trigger: Trigg
     return write_batches(stream, enrich, path, checkpoint, trigger, name)
 
 
+#: Columns beside the inferred ones.
+BESIDE = f"{RESCUED} string, {CORRUPT} string, _source_file string"
+
+
+def inferred_table(spark: SparkSession, path: str, ledger: str, hints: Schema | None = None) -> VersionedTable:
+    """Table that ``ingest_inferred`` fills; ``read()`` gives all rows under the latest schema."""
+    reserved = (RESCUED, CORRUPT, "_source_file")
+    return VersionedTable(SchemaLedger(spark, ledger, hints, reserved), path, BESIDE)
+
+
+def ingest_inferred(
+    lines: DataFrame,
+    table: VersionedTable,
+    checkpoint: str,
+    trigger: Trigger = once(),
+    infer: bool = True,
+    name: str | None = None,
+) -> StreamingQuery:
+    """Lines of NDJSON to a table whose schema is found on the way.
+
+    With ``infer`` each batch's types are joined with those known and the batch is stored under the version that holds
+    both, so new and widened fields need no restart. Without it the hints alone are the schema. Either way values
+    that do not fit and lines that are no object are kept beside the columns. A batch is read twice with ``infer``, else once.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        version, schema = table.ledger.merge(infer_json(batch) if infer else StructType([]))
+        table.write_batch(parse_lines(batch, schema), version, batch_id)
+
+    return start_batches(lines, handle, checkpoint, trigger, name)
+
+
 def batch_metrics(batch: DataFrame, policy: TradePolicy = TradePolicy()) -> DataFrame:
     """Metrics of one batch with the span of trade times they cover."""
     span = {
@@ -88,9 +145,11 @@ def stream_metrics(stream, path, checkpoint, trigger: Trigger = once(), name="tr
     return write_batches(stream, lambda b: batch_metrics(b, policy), path, checkpoint, trigger, name)
 
 
-def stream_alerts(stream, path, checkpoint, trigger: Trigger = once(), name="price_alerts", policy=TradePolicy()):
+def stream_alerts(
+    stream, path, checkpoint, trigger: Trigger = once(), name="price_alerts", policy=TradePolicy(), counters: RunCounters | None = None
+):
     """Alerts per batch and symbol."""
-    return write_batches(stream, lambda b: trade_alerts(b, policy=policy), path, checkpoint, trigger, name)
+    return write_batches(stream, lambda b: trade_alerts(b, policy=policy), path, checkpoint, trigger, name, counters)
 
 
 def windowed_metrics(
@@ -131,24 +190,37 @@ def chain(
     trigger: Trigger = once(),
     max_files: int | None = None,
     policy: TradePolicy = TradePolicy(),
+    counters: RunCounters | None = None,
 ) -> dict[str, StreamingQuery]:
     """Files to raw trades, then raw trades to metrics and to alerts.
 
     With an available-now trigger each hop ends before the next starts, so nothing
-    that was landed is missed downstream.
+    that was landed is missed downstream. ``counters`` take up the counts of earlier runs
+    first and go on with those of trades and alerts.
     """
     drain = bool(trigger.get("availableNow"))
     queries: dict[str, StreamingQuery] = {}
+    if counters:
+        counters.restore("trades_raw", f"{checkpoints}/trades_raw", f"{out}/trades_raw")
+        counters.restore("price_alerts", f"{checkpoints}/price_alerts")
+        spark.streams.addListener(counters)
 
     def run(name: str, start: Callable[[str, str], StreamingQuery]) -> None:
         queries[name] = start(f"{out}/{name}", f"{checkpoints}/{name}")
         if drain:
             queries[name].awaitTermination()
+            if counters:
+                counters.settle(queries[name])
+
+    def landed(path: str, checkpoint: str) -> StreamingQuery:
+        return ingest_trades(trade_stream(spark, landing, max_files=max_files), path, checkpoint, trigger, counters=counters)
 
-    run("trades_raw", lambda p, c: ingest_trades(trade_stream(spark, landing, max_files=max_files), p, c, trigger))
+    run("trades_raw", landed)
     raw = f"{out}/trades_raw"
     run("trades_analytics", lambda p, c: stream_metrics(table_stream(spark, raw), p, c, trigger, policy=policy))
-    run("price_alerts", lambda p, c: stream_alerts(table_stream(spark, raw), p, c, trigger, policy=policy))
+    run("price_alerts", lambda p, c: stream_alerts(table_stream(spark, raw), p, c, trigger, policy=policy, counters=counters))
+    if drain and counters:
+        spark.streams.removeListener(counters)
     return queries
 
 

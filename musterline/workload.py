@@ -11,6 +11,7 @@ from functools import partial, reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import workload_files, workload_streams
 from .operators import features, gold, lookups, market, models, planning, quality, reports, silver, trades
 from .plans import layers, sql_functions
 from .plans.bindings import AS_OF, POLICY, Bindings
@@ -216,13 +217,17 @@ def _ndjson_roundtrip(b: Bindings) -> DataFrame:
     return files.read_ndjson(b.spark, path, files.LANDED)
 
 
+#: Narrower than what the values would be read as.
+CSV_HINTS = "total int, nationals int, non_nationals int, last_updated timestamp_ntz"
+
+
 def _csv_roundtrip(b: Bindings) -> DataFrame:
-    """Organisations written as CSV and loaded twice; the second load finds nothing new."""
+    """Organisations written as CSV and loaded twice with types found in them; the second load finds nothing new."""
     base = scratch(b.spark, "csv")
     orgs = b.orgs()
     orgs.write.option("header", True).csv(f"{base}/csv")
     for _ in range(2):
-        loaded = files.load_csv(b.spark, f"{base}/csv", orgs.schema, f"{base}/table", f"{base}/ledger")
+        loaded = files.load_csv(b.spark, f"{base}/csv", None, f"{base}/table", f"{base}/ledger", hints=CSV_HINTS)
     discard(b.spark, f"{base}/csv")
     return loaded.drop("_ingestion_timestamp", "_source_file")
 
@@ -488,4 +493,4 @@ def _bound(build: Callable[[Bindings], DataFrame], spark: SparkSession, folder:
 
 
 def all_queries() -> dict[str, Query]:
-    return {name: partial(_bound, build) for name, build in {**BATCH, **MODELS}.items()}
+    return {name: partial(_bound, build) for name, build in {**BATCH, **MODELS, **workload_files.QUERIES, **workload_streams.QUERIES}.items()}

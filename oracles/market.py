@@ -83,7 +83,27 @@ WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR
   <= (SELECT make_timestamp(max(ms) * 1000) - INTERVAL 10 MINUTES FROM trade)
 GROUP BY 1, 2, 3"""
 
+_HELD = "trade_id % 9 = 0"
+_FIRST_MARK = f"(SELECT max(ms) - 600000 FROM trade WHERE NOT ({_HELD}))"
+_IS_LATE = f"({_HELD} AND ms // 60000 * 60000 + 60000 <= {_FIRST_MARK})"
+_WIDTHS = " UNION ALL ".join(
+    f"""SELECT CAST({w} AS INT) AS width, make_timestamp(ms // {w}000 * {w}000000) AS window_start,
+  make_timestamp((ms // {w}000 + 1) * {w}000000) AS window_end, symbol, {_METRICS} FROM trade
+WHERE NOT {_IS_LATE} AND (ms // {w}000 + 1) * {w}000 <= (SELECT max(ms) - 600000 FROM trade) GROUP BY 1, 2, 3, 4"""
+    for w in (60, 300)
+)
+
 SQL = {
+    "stream_once": query(_LANDED + ", CAST(CASE WHEN trade_id % 5 = 0 THEN 1 ELSE 0 END AS BIGINT) AS batch_id FROM trade", "trade"),
+    "stream_widths": query(_WIDTHS, "trade"),
+    "stream_late": query(
+        f"SELECT trade_id, symbol, ms AS trade_time, price, CAST(q AS DOUBLE) AS quantity FROM trade WHERE {_IS_LATE}", "trade"
+    ),
+    "stream_totals": query(
+        """SELECT 'batches' AS name, count(DISTINCT trade_id % 2) AS total FROM trade
+        UNION ALL SELECT 'trades', count(*) FROM trade UNION ALL SELECT 'alerts', count(*) FROM alert_rows""",
+        "trade", extra=alerts("trade_id % 2 AS wave, symbol"),
+    ),
     "stream_batches": query(
         "SELECT symbol, count(*) AS trades, CAST(sum(trade_id) AS BIGINT) AS id_sum, true AS several_batches "
         "FROM trade GROUP BY symbol",
