@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import gc
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,7 +54,12 @@ def forget(*frames: DataFrame) -> None:
 
 
 def release_shuffles(spark: SparkSession) -> None:
-    """Let Spark remove shuffle files of finished jobs now; it does so once the driver has collected their plans."""
+    """Let Spark remove shuffle files of finished jobs now; it does so once the driver has let their plans go.
+
+    Python's references go first; Spark itself keeps the newest finished job until the next one.
+    """
+    gc.collect()
+    spark.range(1).count()
     spark.sparkContext._jvm.System.gc()
 
 

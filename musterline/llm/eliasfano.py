@@ -22,6 +22,9 @@ for _byte in range(256):
     _set = np.flatnonzero(_BITS[_byte])
     _PLACE[_byte, : len(_set)] = _set
 
+_0, _1, _2, _4, _8, _BYTE = (np.uint64(x) for x in (0, 1, 2, 4, 8, 255))
+_5S, _3S, _FS, _ONES, _TOPS = (np.uint64(b * 0x0101010101010101) for b in (0x55, 0x33, 0x0F, 0x01, 0x80))
+
 
 def _words(bits: Array) -> Array:
     """Bits (0 or 1) as 64-bit words, with a spare one at the end."""
@@ -66,14 +69,17 @@ class EliasFano:
     def _select(self, before: Array, k: Array, flip: bool) -> Array:
         """Place of the k-th one (zero if ``flip``), counted from 0."""
         word = np.searchsorted(before, k, side="right") - 1
-        rest = k - before[word]
-        chunk = self.high[word]
-        octets = (~chunk if flip else chunk).view(np.uint8).reshape(-1, 8)
-        upto = np.cumsum(np.bitwise_count(octets), axis=1, dtype=np.int64)
-        at = (upto <= rest[:, None]).sum(axis=1)
-        row = np.arange(len(k))
-        rest = rest - np.where(at > 0, upto[row, np.maximum(at, 1) - 1], 0)
-        return 64 * word + 8 * at + _PLACE[octets[row, at], rest]
+        rest = (k - before[word]).astype(np.uint64)
+        bits = ~self.high[word] if flip else self.high[word]
+        # Ones up to and with each byte of a word, as the bytes of one number.
+        upto = bits - ((bits >> _1) & _5S)
+        upto = (upto & _3S) + ((upto >> _2) & _3S)
+        upto = (((upto + (upto >> _4)) & _FS) * _ONES).astype(np.uint64)
+        # Bytes that end before the wanted one: their count is not above ``rest``.
+        at = np.bitwise_count((((rest * _ONES) | _TOPS) - upto) & _TOPS).astype(np.uint64)
+        rest = rest - np.where(at > 0, (upto >> (np.maximum(at, _1) * _8 - _8)) & _BYTE, _0)
+        octet = (bits >> (at * _8)) & _BYTE
+        return 64 * word + 8 * at.astype(np.int64) + _PLACE[octet.astype(np.int64), rest.astype(np.int64)]
 
     def lows(self, index: Array) -> Array:
         if not self.width:
@@ -141,16 +147,25 @@ class Trie:
             if not values.size:
                 return np.full(n, -1)
             at = np.flatnonzero(found)
-            # Many rows share a context: pointers are followed once for each.
-            parent, back = np.unique(node[at], return_inverse=True)
+            # Rows in a row often share their context or even the node: each is looked up once per run.
+            asked, owner = column[at], node[at]
+            run = np.ones(len(at), dtype=bool)
+            run[1:] = owner[1:] != owner[:-1]
+            begins = np.flatnonzero(run)
+            parent = owner[begins]
             begin, end = pointers.get(parent), pointers.get(parent + 1)
             base = np.where(begin > 0, values.get(np.maximum(begin, 1) - 1) + 1, 0)
-            wanted = base[back] + column[at]
+            context = np.cumsum(run) - 1
+            run[1:] |= asked[1:] != asked[:-1]
+            heads = np.flatnonzero(run)
+            context = context[heads]
+            wanted = base[context] + asked[heads]
             place = values.successor(wanted)
-            hit = place < end[back]
+            hit = place < end[context]
             hit[hit] = values.get(place[hit]) == wanted[hit]
-            found[at] = hit
-            node[at[hit]] = place[hit]
+            size = np.diff(np.r_[heads, len(at)])
+            found[at] = np.repeat(hit, size)
+            node[at] = np.repeat(place, size)
         return np.where(found, node, -1)
 
     def mapped(self) -> Trie:

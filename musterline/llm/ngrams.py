@@ -2,26 +2,30 @@
 
 Texts go through in batches. A batch asks about each distinct n-gram once, with how often its learning texts hold it; the
 part of a level that owns the n-gram's context adds the counts of all batches up, builds an Elias-Fano trie of the
-n-grams that occur with quantised smoothed probabilities, and answers every batch from it. Orders follow each other, as
-a probability of order n needs that of order n - 1. Nothing is pruned: all n-grams of the learning texts count.
+n-grams that occur with their quantised smoothed probabilities, and answers every batch from it. Orders follow each other,
+as what is asked of order n depends on order n - 1. Nothing is pruned: all n-grams of the learning texts count.
 
-Smoothing: p(w | context) = (c(context w) + m p(w | shorter context)) / (c(context) + m), with m by order, down to
-(c(w) + 1) / (N + V + 1) for single words; it sums to one over the vocabulary and one unknown word.
+Smoothing: p(w | context) = c(context w) / (c(context) + m) + m / (c(context) + m) p(w | shorter context), with m by order,
+down to (c(w) + 1) / (N + V + 1) for single words; it sums to one over the vocabulary and one unknown word. The trie holds
+the first term, the smoothed share that an n-gram has of its own.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import discard, scratch
 from .common import forget, release_shuffles, small_batches, stored
 from .eliasfano import Trie
 
@@ -33,8 +37,8 @@ STEP = 1024
 BATCH = 4 << 20
 PART = 1_000_000
 
-ASK = "array<struct<part: int, data: binary>>"
-_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+#: Kinds of rows a batch is stored as: its texts, and its words by part of the vocabulary.
+TEXTS, WORDS = "texts", "words"
 Array = np.ndarray
 
 
@@ -44,7 +48,7 @@ def packed(*arrays: Array) -> bytes:
     for a in arrays:
         a = np.ascontiguousarray(a)
         out += [np.array([len(a), a.itemsize], dtype="<i8").tobytes(), a.view(np.uint8).reshape(-1, a.itemsize).T.tobytes()]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(out))
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(out))
 
 
 def unpacked(data: bytes) -> list[Array]:
@@ -73,12 +77,34 @@ def mixed(*columns: Array) -> Array:
     return h
 
 
-def code_of(p: Array) -> Array:
-    return np.minimum(np.rint(-np.log10(p) * STEP), 65535).astype(np.uint16)
+#: Code of the share of an n-gram that did not occur.
+NONE = 65535
 
 
-def chance_of(code: Array) -> Array:
-    return 10.0 ** (-code.astype(np.float64) / STEP)
+def code_of(share: Array) -> Array:
+    """Shares above 0 as steps of their log10."""
+    return np.minimum(np.rint(-np.log10(share) * STEP), NONE - 1).astype(np.uint16)
+
+
+_SHARE = np.r_[10.0 ** (-np.arange(NONE) / STEP), 0.0]
+
+
+def distinct(key: Array) -> tuple[Array, Array, Array]:
+    """Distinct values in order, a place of each, and which of them stands at every place."""
+    n = len(key)
+    bits = n.bit_length()
+    if n and int(key.max()) < 1 << (63 - bits):
+        # Sorting values is several times faster than sorting places.
+        both = np.sort((key << bits) | np.arange(n))
+        order, values = both & ((1 << bits) - 1), both >> bits
+    else:
+        order = np.argsort(key)
+        values = key[order]
+    new = np.ones(n, dtype=bool)
+    new[1:] = values[1:] != values[:-1]
+    at = np.empty(n, dtype=np.int64)
+    at[order] = np.cumsum(new) - 1
+    return values[new], order[new], at
 
 
 # --- Batches: words of texts, once per distinct word
@@ -87,24 +113,27 @@ def chance_of(code: Array) -> Array:
 def _tokens(parts: int, batch: int):
     """Batches of texts as local word numbers, and their words asked of the parts of the vocabulary."""
 
-    def batch_row(number: int, ids: list, learn: list[bool], texts: list[bytes]) -> dict:
-        known: dict[bytes, int] = {b"": 0}
-        flat, lens = [], np.zeros(len(texts), dtype=np.int64)
-        for i, text in enumerate(texts):
-            words = text.translate(_LOWER).split()
-            for w in set(words):
-                known.setdefault(w, len(known))
-            flat.append(np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
-            flat.append(np.zeros(1, dtype=np.int64))  # every text ends with one token, local number 0
-            lens[i] = len(words) + 1
-        token = np.concatenate(flat)
+    def batch_rows(number: int, ids: list, learn: list[bool], texts: list[pa.Array]) -> list[dict]:
+        split = pc.ascii_split_whitespace(pc.ascii_lower(pa.concat_arrays(texts)))
+        offsets = split.offsets.to_numpy()
+        flat = split.flatten()
+        # What stands before the first blank or after the last one is empty.
+        full = pc.binary_length(flat).to_numpy(zero_copy_only=False) > 0
+        upto = np.r_[0, np.cumsum(full)]
+        lens = upto[offsets[1:]] - upto[offsets[:-1]] + 1
+        coded = flat.filter(pa.array(full)).cast(pa.binary()).dictionary_encode()
+        words = [b"", *coded.dictionary.to_pylist()]
+        # Every text ends with one token, local number 0.
+        token = np.zeros(int(lens.sum()), dtype=np.int64)
+        inner = np.ones(len(token), dtype=bool)
+        inner[np.cumsum(lens) - 1] = False
+        token[inner] = coded.indices.to_numpy(zero_copy_only=False) + 1
         learnt = np.repeat(np.array(learn, dtype=bool), lens)
         # Words in falling frequency have small numbers.
-        often = np.bincount(token, minlength=len(known))
+        often = np.bincount(token, minlength=len(words))
         order = np.argsort(-often, kind="stable")
         place = np.empty_like(order)
         place[order] = np.arange(len(order))
-        words = list(known)
         words = [words[i] for i in order]
         token = place[token]
         count = np.bincount(token[learnt], minlength=len(words))
@@ -114,30 +143,31 @@ def _tokens(parts: int, batch: int):
             text = b" ".join(words[i] for i in at)
             asks.append({"part": p, "data": packed(np.frombuffer(text + b" ", dtype=np.uint8), count[at].astype(np.uint32))})
         end = int(place[0])
-        return {
-            "batch": number, "ids": ids, "learn": learn, "learnt": int(learnt.sum()), "tokens": len(token),
-            "state": [packed(token.astype(np.uint32), lens.astype(np.uint32), part, np.array([end], np.uint32))], "asks": asks,
-        }
+        data = packed(token.astype(np.uint32), lens.astype(np.uint32), part, np.array([end], np.uint32))
+        row = {"kind": TEXTS, "batch": number, "part": None, "ids": ids, "learn": learn, "learnt": int(learnt.sum()), "data": data}
+        return [row, *({"kind": WORDS, "batch": number, "ids": None, "learn": None, "learnt": None, **ask} for ask in asks)]
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         ids, learn, texts, size, schema = [], [], [], 0, None
         for frame in frames:
             schema = pa.schema(
-                [("batch", pa.int64()), ("ids", pa.list_(frame.schema.field("id").type)), ("learn", pa.list_(pa.bool_())),
-                 ("learnt", pa.int64()), ("tokens", pa.int64()), ("state", pa.list_(pa.binary())),
-                 ("asks", pa.list_(pa.struct([("part", pa.int32()), ("data", pa.binary())])))]
+                [("kind", pa.string()), ("batch", pa.int64()), ("part", pa.int32()), ("ids", pa.list_(frame.schema.field("id").type)),
+                 ("learn", pa.list_(pa.bool_())), ("learnt", pa.int64()), ("data", pa.binary())]
             )
-            for doc, flag, text in zip(*(frame.column(c).to_pylist() for c in ("id", "learn", "text")), strict=True):
-                if ids and size + len(text) > batch:
-                    yield pa.RecordBatch.from_pylist([batch_row(number, ids, learn, texts)], schema=schema)
-                    ids, learn, texts, size, number = [], [], [], 0, number + 1
-                ids.append(doc)
-                learn.append(flag)
-                texts.append(text)
-                size += len(text)
+            text = frame.column("text")
+            sizes = pc.binary_length(text).to_numpy(zero_copy_only=False)
+            docs, flags = frame.column("id").to_pylist(), frame.column("learn").to_pylist()
+            begin = 0
+            for i in range(frame.num_rows):
+                if (ids or i > begin) and size + sizes[i] > batch:
+                    ids, learn, texts = ids + docs[begin:i], learn + flags[begin:i], [*texts, text.slice(begin, i - begin)]
+                    yield pa.RecordBatch.from_pylist(batch_rows(number, ids, learn, texts), schema=schema)
+                    ids, learn, texts, size, number, begin = [], [], [], 0, number + 1, i
+                size += sizes[i]
+            ids, learn, texts = ids + docs[begin:], learn + flags[begin:], [*texts, text.slice(begin)]
         if ids:
-            yield pa.RecordBatch.from_pylist([batch_row(number, ids, learn, texts)], schema=schema)
+            yield pa.RecordBatch.from_pylist(batch_rows(number, ids, learn, texts), schema=schema)
 
     return run
 
@@ -185,7 +215,7 @@ def _vocabulary(parts: int):
 class Grams:
     """The n-grams of a batch, order by order, with what is known of them."""
 
-    def __init__(self, state: list[bytes], total: int, words: int, parts: int, split: int):
+    def __init__(self, state: list[bytes], total: int, words: int, parts: int, split: int, order: int):
         token, lens, part, end = (whole(a) for a in unpacked(state[0]))
         self.lens, self.parts, self.split = lens, parts, split
         self.first = np.r_[0, np.cumsum(lens)][:-1]
@@ -196,14 +226,14 @@ class Grams:
         self.count0 = int(count[end[0]])  # learning texts, each of which begins once
         self.word = token
         self.number, self.single = number, count
-        #: Per distinct n-gram: learnt occurrences, quantised probability; and the n-gram at every place.
-        self.count, self.code, self.at = count, code_of((count + 1) / (total + words + 1)), token
+        #: Per distinct n-gram: learnt occurrences, probability; and the n-gram at every place.
+        self.count, self.chance, self.at = count, (count + 1) / (total + words + 1), token
         #: Words of each distinct context of the next order, the nearest first; row 0 stands for the begin of a text.
         self.columns = [np.r_[0, number]]
         self.order = 1
         for answers in state[2:]:
             asks = self.ask()
-            self.known(asks, [whole(a) for a in unpacked(answers)])
+            self.known(asks, [whole(a) for a in unpacked(answers)], self.order == order)
 
     def ask(self) -> dict[str, Array]:
         """Distinct n-grams of the next order, and which of them some part of its level may hold."""
@@ -211,7 +241,7 @@ class Grams:
         context = np.empty_like(self.at)
         context[1:] = self.at[:-1] + 1
         context[self.first] = 0
-        key, first, at = np.unique(context * len(self.number) + self.word, return_index=True, return_inverse=True)
+        key, first, at = distinct(context * len(self.number) + self.word)
         context, word = key // len(self.number), key % len(self.number)
         shorter = self.at[first]
         before = np.r_[self.count0, self.count][context]
@@ -237,60 +267,66 @@ class Grams:
                 asks["before"][grams[begin]].astype(np.uint64),
                 np.diff(np.r_[begin, len(grams)]).astype(np.uint32),
                 self.number[asks["word"][grams]].astype(np.uint64),
-                self.code[asks["shorter"][grams]],
                 often[grams].astype(np.uint32),
             )
             out.append({"part": part, "data": data})
         return out
 
-    def known(self, asks: dict[str, Array], answers: list[Array]) -> None:
+    def known(self, asks: dict[str, Array], answers: list[Array], last: bool) -> None:
         """Take the answers of the parts; n-grams nobody was asked about follow from the shorter ones."""
         n, m = len(asks["context"]), PRIOR[self.order]
-        low, before = self.code[asks["shorter"]], asks["before"]
-        code = np.where(before > 0, code_of(m / (before + m) * chance_of(low)), low)
-        count = np.zeros(n, dtype=np.int64)
+        before = asks["before"]
+        share, count = np.zeros(n), np.zeros(n, dtype=np.int64)
         if answers:
-            code[asks["open"]], count[asks["open"]] = answers
+            if last:
+                share[asks["open"]] = _SHARE[answers[0]]
+            else:
+                count[asks["open"]] = answers[0]
+                share = count / (before + m)
+        lower = self.chance[asks["shorter"]]
+        chance = share + np.where(before > 0, m / (before + m), 1.0) * lower
         nearest = self.number[asks["word"]]
         self.columns = [np.r_[0, nearest], *[np.r_[0, c[asks["context"]]] for c in self.columns]]
-        self.count, self.code, self.at = count, code, asks["at"]
+        self.count, self.chance, self.at = count, chance, asks["at"]
 
 
-def _level(order: int):
-    """Adds up what all batches counted below the contexts of one part, and answers from the trie of it."""
+def _level(order: int, last: bool):
+    """Adds up what all batches counted below the contexts of one part, and answers from the trie of it.
+
+    An answer is the quantised share of each n-gram. Below the last order it is the count instead, which the n-gram needs
+    as a context in turn; the share follows from it and what the batch knows.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
         m = PRIOR[order]
         batches = table.column("batch").to_pylist()
-        asked = [[whole(a) for a in unpacked(d)] for d in table.column("data").to_pylist()]
-        columns = [np.concatenate([a[i] for a in asked]) for i in range(order - 1)]
-        before, children, word, low, often = (np.concatenate([a[order - 1 + i] for a in asked]) for i in range(5))
+        asked = [unpacked(d) for d in table.column("data").to_pylist()]
+        columns = [whole(np.concatenate([a[i] for a in asked])) for i in range(order - 1)]
+        before, children, word, often = (whole(np.concatenate([a[order - 1 + i] for a in asked])) for i in range(4))
         sizes = [len(a[order + 1]) for a in asked]
+        del asked
         top = 1 + max(int(word.max()), *(int(c.max()) for c in columns))
         node = np.zeros(len(before), dtype=np.int64)
         for column in columns:
-            node = np.unique(node * top + column, return_inverse=True)[1]
-        key, first, at = np.unique(np.repeat(node, children) * top + word, return_index=True, return_inverse=True)
+            node = distinct(node * top + column)[2]
+        _, first, at = distinct(np.repeat(node, children) * top + word)
         count = np.bincount(at, weights=often).astype(np.int64)
         owner = np.repeat(np.arange(len(before)), children)[first]
-        chance = (count + m * chance_of(low[first])) / (before[owner] + m)
+        rows = [*[c[owner] for c in columns], word[first]]
         held = np.flatnonzero(count > 0)
-        rows = [c[owner[held]] for c in columns] + [word[first[held]]]
-        trie = Trie.build(rows, code_of(chance[held]), count[held].astype(np.uint64)).mapped()
-        # Distinct questions go down the trie from its root; those it lacks get the shorter n-gram's share.
-        leaf = trie.find([c[owner] for c in columns] + [word[first]])
+        share = code_of(count[held] / (before[owner[held]] + m))
+        trie = Trie.build([r[held] for r in rows], share, count[held].astype(np.uint64)).mapped()
+        # Distinct questions go down the trie from its root.
+        leaf = trie.find(rows)
         lacking = leaf < 0
-        code = np.where(lacking, code_of(m / (before[owner] + m) * chance_of(low[first])), 0)
-        code[~lacking] = trie.codes[leaf[~lacking]]
-        total = np.zeros(len(key), dtype=np.int64)
-        total[~lacking] = trie.counts[leaf[~lacking]]
-        cuts = np.cumsum(sizes)[:-1]
-        rows = [
-            {"batch": b, "part": part, "data": packed(code[i].astype(np.uint16), total[i].astype(np.uint64)), "seen": 0}
-            for b, i in zip(batches, np.split(at, cuts), strict=True)
-        ]
-        return pa.Table.from_pylist(rows, schema=ANSWER)
+        code, total = np.append(trie.codes, NONE)[leaf], np.append(trie.counts, 0)[leaf]
+        code[lacking], total[lacking] = NONE, 0
+        answers = []
+        for b, i in zip(batches, np.split(at, np.cumsum(sizes)[:-1]), strict=True):
+            data = packed(code[i].astype(np.uint16) if last else total[i].astype(np.uint64))
+            answers.append({"batch": b, "part": part, "data": data, "seen": 0})
+        return pa.Table.from_pylist(answers, schema=ANSWER)
 
     return run
 
@@ -301,37 +337,46 @@ def _joined(answers: list[dict]) -> bytes:
     return packed(*[np.concatenate(c) for c in zip(*parts, strict=True)]) if parts else packed()
 
 
-def _next_round(known: tuple[int, int, int, int], last: bool, id_type: pa.DataType):
-    """Answers taken; the next order's questions, or in the end a row of scores per text."""
+def _batches(frames: Iterator[pa.RecordBatch], known: tuple[int, ...]) -> Iterator[tuple[dict, Grams]]:
+    """Each batch with its n-grams and the answers of all levels so far."""
+    for frame in frames:
+        for i in range(frame.num_rows):
+            row = frame.slice(i, 1).to_pylist()[0]
+            answers: dict[int, list[dict]] = {}
+            for a in row["answers"] or []:
+                answers.setdefault(a["level"], []).append(a)
+            yield row, Grams([row["data"], *(_joined(answers[n]) if n in answers else packed() for n in range(1, row["level"]))], *known)
+
 
-    total, words = known[:2]
+ASK = pa.schema([("part", pa.int32()), ("batch", pa.int64()), ("data", pa.binary())])
 
-    def rounds(row: dict) -> dict:
-        state = [*row["state"], _joined(row["answers"] or [])]
-        grams = Grams(state, *known)
-        asks = grams.questions(grams.ask(), np.array(row["learn"], dtype=bool))
-        return {**row, "state": state, "asks": asks, "answers": None}
 
-    def scores(row: dict) -> pa.RecordBatch:
-        grams = Grams([*row["state"], _joined(row["answers"] or [])], *known)
-        count = grams.single[grams.word]
-        add = lambda v: np.add.reduceat(v, grams.first)
-        base = add(np.log10((count + 1) / (total + words + 1)))
-        score = -add(grams.code[grams.at].astype(np.float64)) / STEP
-        return pa.RecordBatch.from_arrays(
-            [pa.array(row["ids"], id_type), pa.array(row["learn"]), pa.array(grams.lens), pa.array(add((count > 0).astype(np.int64))),
-             pa.array(np.full(len(base), total)), pa.array(base), pa.array(score)],
-            names=["id", "learn", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-        )
+def _asks(known: tuple[int, ...]):
+    """The next order's questions of every batch."""
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for frame in frames:
-            for i in range(frame.num_rows):
-                row = frame.slice(i, 1).to_pylist()[0]
-                if last:
-                    yield scores(row)
-                else:
-                    yield pa.RecordBatch.from_pylist([rounds(row)], schema=frame.schema)
+        for row, grams in _batches(frames, known):
+            asks = grams.questions(grams.ask(), np.array(row["learn"], dtype=bool))
+            yield pa.RecordBatch.from_pylist([{"batch": row["batch"], **a} for a in asks], schema=ASK)
+
+    return run
+
+
+def _scores(known: tuple[int, ...], id_type: pa.DataType):
+    """A row per text."""
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, words = known[:2]
+        for row, grams in _batches(frames, known):
+            count = grams.single[grams.word]
+            add = lambda v: np.add.reduceat(v, grams.first)  # noqa: B023, E731
+            base = add(np.log10((count + 1) / (total + words + 1)))
+            score = add(np.log10(grams.chance)[grams.at])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(row["ids"], id_type), pa.array(row["learn"]), pa.array(grams.lens), pa.array(add((count > 0).astype(np.int64))),
+                 pa.array(np.full(len(base), total)), pa.array(base), pa.array(score)],
+                names=["id", "learn", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+            )
 
     return run
 
@@ -360,51 +405,41 @@ def score(
     rows = docs.select(
         F.col(id_column).alias("id"),
         F.coalesce(learn, F.lit(False)).alias("learn"),
-        F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"),
+        F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
     id_sql = rows.schema["id"].dataType.simpleString()
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     # A token takes some six bytes of text.
     parts = 1 + size // (6 * part)
-    state = stored(
-        rows.mapInArrow(
-            _tokens(parts, batch),
-            f"batch long, ids array<{id_sql}>, learn array<boolean>, learnt long, tokens long, state array<binary>, asks {ASK}",
-        ),
-        "ngram-batches",
-    )
-    total = state.agg(F.coalesce(F.sum("learnt"), F.lit(0))).first()[0]
-    words = 0
+    shape = f"kind string, batch long, part int, ids array<{id_sql}>, learn array<boolean>, learnt long, data binary"
+    folder = scratch(spark, "ngram-batches")
+    rows.mapInArrow(_tokens(parts, batch), shape).write.partitionBy("kind").parquet(folder)
+    stored_rows = spark.read.schema(shape).parquet(folder)
+    texts = stored_rows.where(F.col("kind") == TEXTS).drop("kind", "part")
+    total = texts.agg(F.coalesce(F.sum("learnt"), F.lit(0))).first()[0]
+    asks = stored_rows.where(F.col("kind") == WORDS).select("part", "batch", "data")
+    known = (total, 0, parts, max(1, part // 4), order)
+    levels: list[DataFrame] = []
     for n in range(1, order + 1):
-        level = _vocabulary(parts) if n == 1 else _level(n)
-        asks = state.select("batch", F.inline("asks")).select("part", "batch", "data")
-        answers = stored(
-            asks.groupBy("part").applyInArrow(level, "batch long, part int, data binary, seen long"), f"ngram-level-{n}"
-        )
-        release_shuffles(spark)
+        work = _vocabulary(parts) if n == 1 else _level(n, n == order)
+        answers = asks.groupBy("part").applyInArrow(work, "batch long, part int, data binary, seen long")
+        levels.append(stored(answers.withColumn("level", F.lit(n)), f"ngram-level-{n}"))
         if n == 1:
-            words = answers.agg(F.coalesce(F.sum("seen"), F.lit(0))).first()[0]
-        got = answers.groupBy("batch").agg(F.collect_list(F.struct("part", "data")).alias("answers"))
-        last = n == order
-        joined = state.drop("asks").join(got, "batch", "left")
-        step = _next_round((total, words, parts, max(1, part // 4)), last, _arrow_type(rows))
-        if last:
-            out = joined.mapInArrow(
-                step,
-                f"id {id_sql}, learn boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
-            )
-            done = stored(out.withColumnRenamed("id", id_column), "ngram-scores")
-            forget(state, answers)
-            return done
-        shape = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in joined.schema.fields)
-        new = stored(
-            joined.withColumn("asks", F.lit(None).cast(ASK)).mapInArrow(step, f"{shape}, asks {ASK}"), "ngram-batches"
-        )
-        forget(state, answers)
+            discard(spark, f"{folder}/kind={WORDS}")
+            known = (total, levels[0].agg(F.coalesce(F.sum("seen"), F.lit(0))).first()[0], *known[2:])
+        # Questions and answers of a level are moved once; what they left behind goes before the next one.
         release_shuffles(spark)
-        state = new.drop("answers")
-        state.musterline_folder = new.musterline_folder
-    raise ValueError("order must be 1 or more")
+        found = reduce(DataFrame.unionByName, levels).groupBy("batch").agg(F.collect_list(F.struct("level", "part", "data")).alias("answers"))
+        batches = texts.join(found, "batch", "left").withColumn("level", F.lit(n + 1))
+        asks = batches.mapInArrow(_asks(known), "part int, batch long, data binary")
+    scores = batches.mapInArrow(
+        _scores(known, _arrow_type(rows)),
+        f"id {id_sql}, learn boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
+    )
+    done = stored(scores.withColumnRenamed("id", id_column), "ngram-scores")
+    forget(*levels)
+    discard(spark, folder)
+    return done
 
 
 def _arrow_type(rows: DataFrame) -> pa.DataType:
