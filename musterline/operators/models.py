@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA, IndexToString, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
@@ -18,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..session import shared_dir
+from . import clusters
 from . import features as FE
 
 # The features of each model.
@@ -131,6 +130,11 @@ def risk_probabilities(fitted: Fitted, table: DataFrame) -> DataFrame:
     return fitted.score(table).select("org_id", "sector", vector_to_array("probability")[1].alias("risk_probability"))
 
 
+def held_back_probabilities(fitted: Fitted) -> DataFrame:
+    """Probability of risk and actual label of the organisations held back from fitting."""
+    return fitted.tested.select("org_id", "at_risk", vector_to_array("probability")[1].alias("risk_probability"))
+
+
 def fit_salary_model(
     people: DataFrame, orgs: DataFrame, trees: int = 100, depth: int = 8, step: float = 0.1, seed: int = 42
 ) -> Fitted:
@@ -188,9 +192,9 @@ def classification_report(fitted: Fitted, label: str = "label") -> DataFrame:
 
 @dataclass(frozen=True)
 class Segments:
-    """K-means over standardised features: the chosen model, rows with their cluster, cost per k."""
+    """K-means over standardised features: the chosen centres, rows with their cluster, cost per k."""
 
-    model: KMeansModel
+    centres: clusters.Centres
     rows: DataFrame
     elbow: dict[int, float]
 
@@ -205,33 +209,20 @@ def standardise(table: DataFrame, columns: Sequence[str] = SEGMENT_FEATURES) ->
     return Pipeline(stages=stages).fit(filled).transform(filled)
 
 
-def segment(
-    table: DataFrame, k: int = 4, elbow: Sequence[int] = range(2, 8), restarts: int = 10, seed: int = 42, parallel: int = 4
-) -> Segments:
+def segment(table: DataFrame, k: int = 4, elbow: Sequence[int] = range(2, 8), restarts: int = 10, seed: int = 42) -> Segments:
     """Cluster the organisations: the best of several restarts for ``k`` and, for the elbow, for every other k.
 
-    Restarts are independent Spark jobs and run a few at a time over one persisted input.
+    All restarts of all sizes are moved by the same passes over one persisted input.
     """
-    scaled = standardise(table)
-    points = scaled.select("scaled").persist(StorageLevel.MEMORY_AND_DISK)
-
-    def fit(job: tuple[int, int]) -> tuple[int, float, KMeansModel]:
-        size, run = job
-        model = KMeans(k=size, seed=seed + run, featuresCol="scaled", predictionCol="cluster").fit(points)
-        return size, model.summary.trainingCost, model
-
+    scaled = standardise(table).withColumn("features", vector_to_array("scaled"))
+    points = scaled.select("features").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        jobs = [(size, run) for size in sorted({k, *elbow}) for run in range(restarts)]
-        with ThreadPoolExecutor(parallel) as pool:
-            fits = list(pool.map(fit, jobs))
+        found = clusters.fit_all(points, sorted({k, *elbow}), restarts, seed)
     finally:
         points.unpersist()
-    best: dict[int, tuple[float, KMeansModel]] = {}
-    for size, cost, model in fits:
-        if size not in best or cost < best[size][0]:
-            best[size] = (cost, model)
-    costs = {size: best[size][0] for size in elbow}
-    return Segments(best[k][1], best[k][1].transform(scaled), costs)
+    best = {size: min((c for c in found if c.k == size), key=lambda c: c.cost) for size in {k, *elbow}}
+    rows = scaled.withColumn("cluster", clusters.nearest(F.col("features"), best[k].places))
+    return Segments(best[k], rows, {size: best[size].cost for size in elbow})
 
 
 def segment_profiles(rows: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from functools import partial, reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import workload_files, workload_streams
+from . import workload_files, workload_more, workload_streams
 from .operators import features, gold, lookups, market, models, planning, quality, reports, silver, trades
 from .plans import layers, sql_functions
 from .plans.bindings import AS_OF, POLICY, Bindings
@@ -322,7 +322,16 @@ def _layer_audit(b: Bindings) -> DataFrame:
     return reduce(DataFrame.unionByName, [g.agg(F.count(F.lit(1)).alias("rows")) for g in [*raw, kept]])
 
 
+#: Arguments of one call per stored function.
+CALLS = {
+    "org_status": "'#00000001'", "orgs_in_tier": "'high green'", "sector_summary": "'U'", "expiring_nationals": "'customer#', 60",
+    "org_alerts": "'#00000001'", "overall_summary": "", "tier_thresholds": "'BUILDING', 'Small'", "hires_needed": "'#000000010', 'High Green'",
+    "simulate_change": "'#000000010', 5, 0, 0, 3", "org_people": "'customer#0000001'", "list_orgs": "",
+}
+
+
 def _functions_listed(b: Bindings) -> DataFrame:
+    """The functions a database lists, each with the rows that a call gives over the stored tables."""
     db = _database(b, "tools")
     raw = _database(b, "raw_tools")
     _raw_tables(b, raw)
@@ -330,9 +339,14 @@ def _functions_listed(b: Bindings) -> DataFrame:
     sql_functions.register(b.spark, {k: f"{raw}.{v}" for k, v in names.items()}, AS_OF, POLICY, db=db)
     listed = sql_functions.list_functions(b.spark, db)
     # The session's own functions are listed too, without a database.
-    stored = listed.filter(F.contains(listed[0], F.lit(f"{db}.")))
-    orgs = b.spark.table(f"{raw}.organisations").agg(F.count(F.lit(1))).scalar()
-    return stored.select(F.element_at(F.split(stored[0], r"\."), -1).alias("function"), orgs.alias("orgs_behind"))
+    stored = [name.split(".")[-1] for (name,) in listed.collect() if f"{db}." in name]
+    before = b.spark.catalog.currentDatabase()
+    b.spark.catalog.setCurrentDatabase(db)
+    try:
+        calls = [f"SELECT '{name}' AS function, count(*) AS rows FROM {name}({CALLS[name]})" for name in stored]
+        return b.spark.sql(" UNION ALL ".join(calls))
+    finally:
+        b.spark.catalog.setCurrentDatabase(before)
 
 
 def _ndjson_malformed(b: Bindings) -> DataFrame:
@@ -493,4 +507,4 @@ def _bound(build: Callable[[Bindings], DataFrame], spark: SparkSession, folder:
 
 
 def all_queries() -> dict[str, Query]:
-    return {name: partial(_bound, build) for name, build in {**BATCH, **MODELS, **workload_files.QUERIES, **workload_streams.QUERIES}.items()}
+    return {name: partial(_bound, build) for name, build in {**BATCH, **MODELS, **workload_files.QUERIES, **workload_streams.QUERIES, **workload_more.QUERIES}.items()}

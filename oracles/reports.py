@@ -46,10 +46,6 @@ _ENCODED = ", ".join(
 _RAW = [("organisations", "org"), ("people", "person"), ("alerts", "alert")]
 _AUDIT = " UNION ALL ".join(f"SELECT '{n}' AS name, '{n}.csv' AS mark, count(*) AS rows FROM {t}" for n, t in _RAW)
 _AUDIT += " UNION ALL SELECT 'silver people', '2000-01-01', count(*) FROM personc"
-_FUNCTIONS = (
-    "org_status", "orgs_in_tier", "sector_summary", "expiring_nationals", "org_alerts", "overall_summary", "tier_thresholds",
-    "hires_needed", "simulate_change", "org_people", "list_orgs",
-)
 _DRAW = "CAST('0x' || substr(md5(org_id || ':42'), 1, 8) AS BIGINT) % 10000"
 
 SQL = {
@@ -59,10 +55,6 @@ SQL = {
         "org",
     ),
     "layers_audit": query(_AUDIT, "org", "personc", "alert"),
-    "functions_listed": query(
-        "SELECT unnest([" + ", ".join(f"'{f}'" for f in _FUNCTIONS) + "]) AS function, (SELECT count(*) FROM org) AS orgs_behind",
-        "org",
-    ),
     "ndjson_malformed": (
         "SELECT event_id % 40 = 0 AS is_broken, count(*) AS lines, count(*) FILTER (WHERE event_id % 40 <> 0) AS trades "
         "FROM events GROUP BY 1"

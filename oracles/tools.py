@@ -111,3 +111,9 @@ SQL = {
     ),
     "tvf_compare": query(_COMPARE, "orgc", extra=_ASKED),
 }
+
+_CALLED = {name: SQL[f"tvf_{name}"] for name in (
+    "org_status", "orgs_in_tier", "sector_summary", "expiring_nationals", "org_alerts", "overall_summary", "hires_needed",
+    "simulate_change", "org_people", "list_orgs",
+)} | {"tier_thresholds": query("SELECT * FROM rules WHERE sector = 'BUILDING' AND size = 'Small'", "rules")}
+SQL["functions_listed"] = " UNION ALL ".join(f"SELECT '{name}' AS function, count(*) AS rows FROM ({sql})" for name, sql in _CALLED.items())
