@@ -104,9 +104,8 @@ def components(edges: DataFrame, label: str = "links") -> DataFrame:
             hooks = jumped
             if not moved:
                 break
-        hooks = jumped.select("node", "root")
-        parts.append(hooks)
-        up = hooks.select(F.col("node").alias("mid"), F.col("root").alias("top"))
+        parts.append(jumped)
+        up = jumped.select(F.col("node").alias("mid"), F.col("root").alias("top"))
         step = links.join(up, links.a == up.mid, "left").select(F.coalesce("top", "a").alias("a"), "b")
         step = step.join(up, step.b == up.mid, "left").select("a", F.coalesce("top", "b").alias("b"))
         redrawn = stored(
@@ -119,15 +118,15 @@ def components(edges: DataFrame, label: str = "links") -> DataFrame:
         return spark.createDataFrame([], "node long, root long").select(
             F.col("node").cast(kind).alias("node"), F.col("root").cast(kind).alias("root")
         )
-    # A node hooked in an early round follows the roots of the later rounds.
+    # A node hooked in an early round follows the roots of the later rounds; every step is stored, so the plan stays small.
     known = parts[-1]
     for earlier in reversed(parts[:-1]):
         up = known.select(F.col("node").alias("mid"), F.col("root").alias("top"))
-        known = (
-            earlier.join(up, earlier.root == up.mid, "left")
-            .select("node", F.coalesce("top", "root").alias("root"))
-            .unionByName(known)
-        )
+        followed = earlier.join(up, earlier.root == up.mid, "left").select("node", F.coalesce("top", "root").alias("root"))
+        step = stored(followed.unionByName(known.select("node", "root")), label)
+        forget(earlier, known)
+        known = step
+    known = known.select("node", "root")
     ends = known.select(F.col("root").alias("node"), "root").distinct()
     return known.unionByName(ends)
 

@@ -228,3 +228,14 @@ def test_recall_of_the_index_alone(spark):
 def test_embedding_query_equals_sql(spark):
     folder = "/root/testdata/sf0.01"
     assert differences(queries.op7_embeddings(spark, folder), connect(folder), queries.OP7_SQL) == []
+
+
+def test_components_of_a_long_chain_have_a_small_plan(spark):
+    rng = random.Random(3)
+    nodes = list(range(3000))
+    rng.shuffle(nodes)
+    edges = spark.createDataFrame(list(zip(nodes, nodes[1:])), "a long, b long")
+    got = common.components(edges)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") <= 4
+    assert {tuple(r) for r in got.collect()} == {(n, 0) for n in nodes}
