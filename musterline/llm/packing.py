@@ -8,6 +8,7 @@ shuffled. Windows still open at the end of a task are emptied into each other by
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from struct import pack
@@ -18,11 +19,14 @@ import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .bpe import byte_characters
+from .bpe import SPACES, byte_characters
 from .common import small_batches, strings
 
 #: Words of byte-level BPE, as the tokenizers library cuts them; a fixed value.
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Runs of white space of at least this many characters are encoded apart: the pattern would go back over them step by step.
+LONG = 50_000
+_BLANKS = re.compile(f"[{SPACES}]+")
 #: Partially filled windows a task keeps open; beyond it the emptier half is poured into the fuller one.
 OPEN = 4096
 #: Pieces handed to Spark at a time.
@@ -59,10 +63,33 @@ class ByteTokens:
             special_tokens=special,
         )
 
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
+    def encode(self, texts: list[str], long: int = LONG) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text; special tokens in it are recognised."""
         for text in texts:
-            yield self.encoder.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False).tobytes()
+            if len(text) < long:
+                yield self._ids(text)
+            else:
+                yield b"".join(self._in_parts(text, long))
+
+    def _ids(self, text: str) -> bytes:
+        return self.encoder.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False).tobytes()
+
+    def _in_parts(self, text: str, long: int) -> Iterator[bytes]:
+        """Ids of what stands between long runs of white space, and of the runs.
+
+        A run is one word, but for its last character if more text follows: that one belongs to what comes next.
+        """
+        done = 0
+        for run in _BLANKS.finditer(text):
+            begin, end = run.span()
+            if end - begin < long:
+                continue
+            if end < len(text) and not text.startswith(tuple(self.encoder.special_tokens_set), end):
+                end -= 1
+            yield self._ids(text[done:begin])
+            yield np.array(self.encoder._encode_single_piece(text[begin:end]), dtype="<u4").tobytes()
+            done = end
+        yield self._ids(text[done:])
 
 
 @lru_cache(maxsize=2)
@@ -73,8 +100,8 @@ def tokens(path: str) -> ByteTokens:
 class Packer:
     """Open windows of one task by fill level, and the sequences finished so far."""
 
-    def __init__(self, length: int, task: int):
-        self.length, self.next = length, task << 33
+    def __init__(self, length: int, task: int, most: int = OPEN):
+        self.length, self.most, self.next = length, most, task << 33
         self.level = np.zeros(length + 1, dtype=np.int64)
         self.windows: list[list[list[Piece]]] = [[] for _ in range(length + 1)]
         self.rows: list[tuple] = []
@@ -117,8 +144,8 @@ class Packer:
             return
         self.windows[fill].append(window)
         self.level[fill] += 1
-        if int(self.level.sum()) > OPEN:
-            self.pour(OPEN // 2)
+        if int(self.level.sum()) > self.most:
+            self.pour(max(1, self.most // 2))
 
     def pour(self, count: int) -> None:
         """Empty the ``count`` least filled windows into the others, cutting pieces where a window becomes full."""
@@ -176,7 +203,7 @@ class Packer:
         return pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, _ARROW, strict=True)], schema=_ARROW)
 
 
-def pack_documents(docs: DataFrame, path: str, length: int = 1024, separator: int = 0) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str, length: int = 1024, separator: int = 0, open_windows: int = OPEN) -> DataFrame:
     """Pieces of all documents, packed into sequences of ``length`` tokens.
 
     A document's tokens are the ids that the tokenizer file at ``path`` gives its whole text, without special tokens
@@ -187,12 +214,16 @@ def pack_documents(docs: DataFrame, path: str, length: int = 1024, separator: in
     A null text counts as empty and is packed as the separator alone. Repeated rows and null or repeated ``doc_id``
     are packed row by row; other columns are ignored; no documents give no pieces. A task that is run again packs
     its rows as before, and sequence numbers of different tasks never meet.
+
+    ``open_windows`` bounds a task's memory, as the ids of all open windows are held: with 4,096 windows of 1,024 tokens
+    at most 17 MB. When more are open, the emptier half is poured into the fuller one by cutting pieces; nothing is padded
+    or left out, there are only more cuts.
     """
     small_batches(docs.sparkSession)
     end = pack("<I", separator)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer, source = Packer(length, TaskContext.get().partitionId()), tokens(path)
+        packer, source = Packer(length, TaskContext.get().partitionId(), open_windows), tokens(path)
         for batch in batches:
             texts, ids = list(strings(batch.column(1))), batch.column(0).to_pylist()
             for doc, code in zip(ids, source.encode(texts), strict=True):

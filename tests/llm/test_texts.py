@@ -153,3 +153,24 @@ def test_edits_take_the_next_document(spark, buckets):
     found = sorted((r["n_chars"], r["edited_sha256"]) for r in got.collect())
     assert found == sorted((n, sha256(e.encode()).hexdigest()) for n, e in want)
     assert ctph.compare_with_edits(docs.limit(0)).count() == 0
+
+
+def test_long_runs_of_blanks_are_encoded_as_the_library_does():
+    library, own = Tokenizer.from_file(queries.BYTE_BPE), packing.tokens(queries.BYTE_BPE)
+    rng = random.Random(8)
+    blanks = [" ", "\n", "\t", " \n", "　", "\xa0 "]
+    texts = ["".join(rng.choice(["a", "B.", "é", "<|endoftext|>", "1", "\x1c", *[b * 9 for b in blanks], *blanks]) for _ in range(12)) for _ in range(1500)]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    # With a small limit every run of nine counts as long.
+    assert [np.frombuffer(b, "<u4").tolist() for b in own.encode(texts, long=6)] == want
+
+
+@pytest.mark.parametrize("blank", [" ", "\n"])
+def test_five_million_blanks_are_packed(spark, blank):
+    docs = spark.createDataFrame([(1, "a" + blank * 5_000_000 + "b"), (2, blank * 5_000_000)], "doc_id long, text string")
+    got = packing.pack_documents(docs, queries.BYTE_BPE).groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("all"))
+    one = packing.tokens(queries.BYTE_BPE)
+    for r in got.collect():
+        assert r.n == r["all"]
+    tail = list(one.encode(["a" + blank * 100_000 + "b"]))[0]
+    assert len(tail) // 4 == len(Tokenizer.from_file(queries.BYTE_BPE).encode("a" + blank * 100_000 + "b", add_special_tokens=False).ids)
