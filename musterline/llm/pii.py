@@ -63,17 +63,30 @@ def spans_in(rows: DataFrame, pattern: str, needs, into: str, text: str) -> Data
             gaps: F.when(when, F.split(F.col(text), pattern, -1)),
         }
     )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
     numbered = F.transform(F.col(hits), lambda m, i: F.struct(F.length(m).alias("n"), F.length(F.get(F.col(gaps), i)).alias("gap")))
-    summed = F.aggregate(
-        numbered,
-        start,
-        lambda acc, x: F.struct(
-            (acc["at"] + x.gap + x.n).alias("at"), F.array_append(acc.out, acc["at"] + x.gap).alias("out")
+    out = out.withColumn(begins, numbered)
+    # Sums run within blocks of about the square root of the number, then over blocks: an array that grows by one is copied.
+    sums = fresh(rows, "sums")
+    block = F.ceil(F.sqrt(F.size(begins))).cast("int")
+    blocks = F.sequence(F.lit(0), F.ceil(F.size(begins) / block).cast("int") - 1)
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+    within = F.transform(
+        blocks,
+        lambda i: F.aggregate(
+            F.slice(F.col(begins), i * block + 1, block),
+            zero,
+            lambda acc, x: F.struct((acc["at"] + x.gap + x.n).alias("at"), F.array_append(acc.out, acc["at"] + x.gap).alias("out")),
         ),
+    )
+    out = out.withColumn(sums, F.when(F.size(begins) > 0, within))
+    over = F.aggregate(
+        F.col(sums),
+        zero,
+        lambda acc, x: F.struct((acc["at"] + x["at"]).alias("at"), F.array_append(acc.out, acc["at"]).alias("out")),
         lambda acc: acc.out,
     )
-    out = out.withColumn(begins, summed)
+    spots = F.flatten(F.zip_with(F.col(sums), over, lambda x, offset: F.transform(x.out, lambda at: at + offset)))
+    out = out.withColumn(begins, spots)
     found = F.transform(
         F.col(hits),
         lambda m, i: F.struct(
@@ -85,7 +98,7 @@ def spans_in(rows: DataFrame, pattern: str, needs, into: str, text: str) -> Data
         ),
     )
     empty = F.array().cast("array<struct<start:int,end:int,m:string,before:string,after:string>>")
-    return out.withColumn(into, F.coalesce(found, empty)).drop(hits, gaps, begins)
+    return out.withColumn(into, F.coalesce(found, empty)).drop(hits, gaps, begins, sums)
 
 
 def digits_of(m: Column) -> Column:
