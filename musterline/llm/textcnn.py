@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, strings
+from .common import forget, small_batches, stored, strings
 from .labelled import sample_of
 
 BUCKETS = 1 << 16
@@ -150,12 +150,8 @@ def train(
     return net
 
 
-def calibrate(net: Net, margins: np.ndarray, y: np.ndarray, langs: list[str | None], target: float) -> None:
-    """Turn margins into probabilities by a logistic fit, and set each language's threshold.
-
-    The threshold of a language is the lowest score at which at least ``target`` of the texts above it have label 1;
-    languages without enough labelled texts use the threshold of all.
-    """
+def calibrate(net: Net, margins: np.ndarray, y: np.ndarray) -> None:
+    """Turn margins into probabilities by a logistic fit."""
     a, b = 1.0, 0.0
     goal = np.where(y > 0, (y.sum() + 1) / (y.sum() + 2), 1 / (len(y) - y.sum() + 2))
     for _ in range(50):
@@ -166,24 +162,39 @@ def calibrate(net: Net, margins: np.ndarray, y: np.ndarray, langs: list[str | No
         move = np.linalg.solve(hess + 1e-9 * np.eye(2), grad)
         a, b = a - float(np.clip(move[0], -1, 1)), b - float(np.clip(move[1], -2, 2))
     net.scale, net.shift = max(a, 0.05), b
-    scores = net.score(margins)
 
-    def lowest(pick: np.ndarray) -> float:
-        order = np.argsort(-scores[pick], kind="stable")
-        good = np.cumsum(y[pick][order]) / np.arange(1, len(order) + 1) >= target
-        return float(scores[pick][order][np.flatnonzero(good)[-1]]) if good.any() else 0.5
 
-    net.thresholds[""] = lowest(np.arange(len(y)))
-    for lang in {x for x in langs if x}:
-        pick = np.array([i for i, x in enumerate(langs) if x == lang])
-        if y[pick].sum() >= 10:
-            net.thresholds[lang] = lowest(pick)
+def set_thresholds(net: Net, counts: list[tuple[str | None, int, int, int]], target: float, shrink: float = 50.0) -> None:
+    """Per language the lowest score at which at least ``target`` of the texts above it have label 1.
+
+    ``counts`` are (language, score in steps, label, texts). The share of a language is drawn towards that of all by
+    ``shrink`` texts, so a language with few labels comes close to all and one with many goes by its own.
+    """
+    by_lang: dict[str, np.ndarray] = {"": np.zeros((STEPS + 1, 2))}
+    for lang, step, y, n in counts:
+        for key in {"", lang or ""}:
+            by_lang.setdefault(key, np.zeros((STEPS + 1, 2)))[step, y] += n
+    above = {lang: c[::-1].cumsum(axis=0)[::-1] for lang, c in by_lang.items()}
+    every = above[""][:, 1] / np.maximum(above[""].sum(axis=1), 1)
+    for lang, c in above.items():
+        m = shrink if lang else 0.0
+        share = (c[:, 1] + m * every) / np.maximum(c.sum(axis=1) + m, 1e-9)
+        fine = np.flatnonzero((share >= target) & (above[""].sum(axis=1) > 0))
+        net.thresholds[lang] = float(fine[0]) / STEPS if fine.size else 0.5
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = 8000, target: float = 0.8) -> Net:
-    """A net fitted on at most ``sample`` labelled documents, a fifth of which only calibrate it.
+#: Steps of a score where thresholds are set.
+STEPS = 1000
+
+
+def fit(
+    docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = 8000, target: float = 0.8, words: int = 8_000_000
+) -> Net:
+    """A net fitted on at most ``sample`` labelled documents of at most ``words`` words together, a fifth of which only
+    calibrate its scores. The thresholds of the languages come from all labelled documents that did not train it.
 
-    Texts are hashed word by word on the executors; the driver gets one number per word of the sample.
+    Texts are hashed word by word on the executors; the driver gets one number per word of the sample. The documents are
+    taken in order of a hash, whole ones only; the first is taken whatever its length.
     """
     small_batches(docs.sparkSession)
 
@@ -193,14 +204,28 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int =
 
     rows = sample_of(docs, labels, label, sample).select("doc_id", "y", "lang", hashed("text").alias("codes"))
     one = rows.groupBy("doc_id").agg(F.min(F.struct("y", "lang", "codes")).alias("r")).select("doc_id", "r.*")
-    found = one.orderBy(F.xxhash64("doc_id"), "doc_id").toPandas()
+    one = stored(one.withColumn("order", F.xxhash64("doc_id")), "toxic-sample")
+    # At most ``sample`` sizes tell how many of the documents fit.
+    sizes = one.select("order", "doc_id", F.octet_length("codes").alias("n")).orderBy("order", "doc_id").toPandas()
+    most = max(1, int((np.cumsum(sizes["n"] // 8) <= words).sum()))
+    found = one.orderBy("order", "doc_id").limit(most).toPandas()
+    forget(one)
     codes = [np.frombuffer(c, dtype=np.uint64) for c in found["codes"]]
     y = found["y"].to_numpy(dtype=np.float64)
     apart = np.arange(len(y)) % 5 == 4
     net = train([c for c, x in zip(codes, apart, strict=True) if not x], y[~apart])
     if len(np.unique(y[apart])) == 2:
         margins = np.array([net.margin(c) for c, x in zip(codes, apart, strict=True) if x])
-        calibrate(net, margins, y[apart], [v for v, x in zip(found["lang"], apart, strict=True) if x], target)
+        calibrate(net, margins, y[apart])
+    used = docs.sparkSession.createDataFrame([(int(i),) for i in found["doc_id"][~apart]], "doc_id long")
+    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
+    # At most ``sample`` ids trained the net.
+    lang = F.col("lang") if "lang" in docs.columns else F.lit(None)
+    texts = docs.select("doc_id", "text", lang.cast("string").alias("lang"))
+    fresh = texts.join(known.join(F.broadcast(used), "doc_id", "left_anti"), "doc_id")
+    step = F.floor(F.col("score") * STEPS).cast("int").alias("step")
+    scored = score(fresh, net).groupBy("lang", step, "y")
+    set_thresholds(net, [tuple(r) for r in scored.agg(F.count(F.lit(1))).select("lang", "step", "y", "count(1)").collect()], target)
     return net
 
 
