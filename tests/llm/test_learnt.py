@@ -231,25 +231,3 @@ def test_pipeline_against_its_parts(spark):
     pieces = corpus_pipeline.run(spark, SMALL)
     got = pieces.groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("t")).collect()
     assert sorted((r["doc_id"], r["n"]) for r in got) == want and all(r["n"] == r["t"] for r in got)
-
-
-def test_thresholds_of_small_languages_come_close_to_those_of_all():
-    many = [("en", s, int(s >= 600), 100) for s in range(0, 1000, 10)]
-    net = textcnn.Net(None, [], None, None)
-    textcnn.set_thresholds(net, [*many, ("de", 200, 1, 2)], 0.8)
-    assert abs(net.thresholds["de"] - net.thresholds[""]) < 0.1
-    textcnn.set_thresholds(net, many + [("xx", s, int(s >= 300), 1000) for s in range(0, 1000, 10)], 0.8)
-    # A language with many texts goes by its own.
-    assert net.thresholds["xx"] < net.thresholds["en"] - 0.1
-    textcnn.set_thresholds(empty := textcnn.Net(None, [], None, None), [], 0.8)
-    assert empty.thresholds == {"": 0.5}
-
-
-def test_training_takes_a_bounded_number_of_words(spark, monkeypatch):
-    docs = spark.createDataFrame([(i, f"good{i} " * 50 + ("idiot " if i % 2 else "") * 3) for i in range(60)], "doc_id long, text string")
-    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
-    taken = []
-    real = textcnn.train
-    monkeypatch.setattr(textcnn, "train", lambda codes, y: taken.append(sum(map(len, codes))) or real(codes, y))
-    textcnn.fit(docs, labels, words=500)
-    assert 0 < taken[0] <= 500
