@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -40,6 +41,8 @@ SEGMENT_FEATURES = (
     "total", "rate", "avg_salary", "female_ratio", "permanent_ratio", "department_diversity", "total_alerts",
 )
 ENCODED = ("sector", "size", "region")
+#: Pooled rows of a task when a model is fitted; a level of a tree takes some 50 ms over them.
+ROWS = 50_000
 
 
 @dataclass(frozen=True)
@@ -71,12 +74,26 @@ def _filled(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns})
 
 
+def pooled(rows: DataFrame, keys: Sequence[str], label: str) -> DataFrame:
+    """One row per distinct ``keys``: the mean of ``label`` and, as ``weight``, the number of rows.
+
+    A tree can only part rows whose features differ, so for squared errors it grows the same from these as from the rows.
+    """
+    return rows.groupBy(*keys).agg(F.avg(F.col(label).cast("double")).alias(label), F.count(F.lit(1)).cast("double").alias("weight"))
+
+
 def _fit(
-    marked: DataFrame, features: Sequence[str], stages: Sequence, codes: Sequence[str] = (), suffix: str = "_encoded"
+    marked: DataFrame,
+    features: Sequence[str],
+    stages: Sequence,
+    codes: Sequence[str] = (),
+    suffix: str = "_encoded",
+    pool: str | None = None,
 ) -> Fitted:
     """Fit on the rows not marked as test; iterative trainers checkpoint to the shared folder.
 
     ``codes`` are categories whose codes are learnt as the first stage; a value not seen then has a code of its own.
+    ``pool`` names the label of a regressor that reads ``weight``: rows with equal features are then ``pooled``.
     """
     context = marked.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
@@ -84,10 +101,15 @@ def _fit(
     made = [f"{c}{suffix}" for c in codes]
     given = tuple(f for f in features if f not in made)
     first = [FE.indexer(codes, suffix)] if codes else []
-    kept = _filled(marked, given).persist(StorageLevel.MEMORY_AND_DISK)
+    kept = _filled(marked, given)
+    if pool:
+        kept = pooled(kept.filter(~F.col("is_test")), [*codes, *given], pool)
+    kept = kept.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-        model = Pipeline(stages=[*first, assembler, *stages]).fit(kept.filter(~F.col("is_test")))
+        # Every level of every tree is a job: no more tasks than the pooled rows are worth.
+        train = kept.coalesce(max(1, math.ceil(kept.count() / ROWS))) if pool else kept.filter(~F.col("is_test"))
+        model = Pipeline(stages=[*first, assembler, *stages]).fit(train)
     finally:
         kept.unpersist()
     tested = model.transform(_filled(marked.filter("is_test"), given))
@@ -138,13 +160,16 @@ def held_back_probabilities(fitted: Fitted) -> DataFrame:
 def fit_salary_model(
     people: DataFrame, orgs: DataFrame, trees: int = 100, depth: int = 8, step: float = 0.1, seed: int = 42
 ) -> Fitted:
-    """Boosted trees for the salary of a person from job, person and organisation."""
+    """Boosted trees for the salary of a person from job, person and organisation.
+
+    All features are codes, so many people share theirs; every level of every tree reads each such group once.
+    """
     org = orgs.select("org_id", "sector", "size", "region")
     joined = people.filter(F.col("salary").isNotNull()).join(C.unaligned(org), "org_id")
     marked = FE.split(FE.hash_codes(joined, SALARY_OPEN, "_enc"), "person_id", seed=seed)
-    boosted = GBTRegressor(labelCol="salary", maxIter=trees, maxDepth=depth, stepSize=step, seed=seed)
+    boosted = GBTRegressor(labelCol="salary", weightCol="weight", maxIter=trees, maxDepth=depth, stepSize=step, seed=seed)
     names = [f"{c}_enc" for c in (*SALARY_OPEN, *SALARY_CATEGORIES)]
-    return _fit(marked, [*names, "is_remote"], [boosted], SALARY_CATEGORIES, "_enc")
+    return _fit(marked, [*names, "is_remote"], [boosted], SALARY_CATEGORIES, "_enc", pool="salary")
 
 
 def regression_report(fitted: Fitted, label: str) -> DataFrame:

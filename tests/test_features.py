@@ -136,3 +136,29 @@ def test_codes_do_not_depend_on_what_is_scored(spark, bound):
     whole = {r["org_id"]: r["risk_probability"] for r in models.risk_probabilities(fitted, table).collect()}
     alone = models.risk_probabilities(fitted, table.filter("sector = 'MACHINERY'")).collect()
     assert alone and all(whole[r["org_id"]] == r["risk_probability"] for r in alone)
+
+
+def test_salary_trees_read_equal_people_once(spark, monkeypatch):
+    from pyspark.ml.regression import GBTRegressor
+
+    from musterline.operators import models
+
+    orgs = spark.createDataFrame([org(i, sector=f"S{i % 3}") for i in range(6)], ORG)
+    people = spark.createDataFrame([person(i, org_id=i % 6, salary=(i * 37) % 101 + 40 * (i % 6), dept=f"D{i % 4}") for i in range(1200)], PERSON)
+    seen, real = [], GBTRegressor.fit
+
+    def counted(self, rows):
+        seen.append((rows.count(), rows.rdd.getNumPartitions()))
+        return real(self, rows)
+
+    monkeypatch.setattr(GBTRegressor, "fit", counted)
+    fitted = models.fit_salary_model(people, orgs, trees=4, depth=4)
+    assert seen == [(12, 1)]  # 6 organisations, of two departments each
+    # The trees are those grown from every person.
+    parts = fitted.model.stages
+    marked = models.FE.split(models.FE.hash_codes(people.join(orgs.select("org_id", "sector", "size", "region"), "org_id"), models.SALARY_OPEN, "_enc"), "person_id")
+    ready = parts[1].transform(parts[0].transform(models._filled(marked.filter("not is_test"), fitted.given)))
+    alone = real(GBTRegressor(labelCol="salary", maxIter=4, maxDepth=4, stepSize=0.1, seed=42), ready)
+    got, want = (sorted(rows(m.transform(ready), "person_id", "prediction")) for m in (parts[-1], alone))
+    assert [k for k, _ in got] == [k for k, _ in want] and len({p for _, p in got}) > 6
+    assert [p for _, p in got] == pytest.approx([p for _, p in want])
