@@ -2,7 +2,8 @@
 
 All models that have not settled are moved by one pass over the points: a task adds up the points nearest to each of their
 centres, Spark adds up the tasks, and the driver gets one row per centre. So a pass serves every model, and the passes are as
-many as the longest run takes. The first centres come from a few passes that draw many candidates in parallel, each point
+many as the longest run takes. The points are packed once into blocks of plain numbers, which the passes read without taking
+rows apart; distances to all centres are one matrix product, and so are the sums. The first centres come from a few passes that draw many candidates in parallel, each point
 with a chance in proportion to its distance from those drawn so far, and from a weighted choice among the candidates.
 """
 
@@ -13,11 +14,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Points whose distances to all centres are held at a time.
-ROWS = 4096
+#: Points whose distances to all centres are held at a time; they should stay in the cache of a core.
+ROWS = 1024
 
 Array = np.ndarray
 
@@ -33,11 +35,20 @@ class Centres:
     passes: int
 
 
+def _packed(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One block per batch: the numbers of its points, one point after the other."""
+    for frame in frames:
+        flat = frame.column(0).flatten().to_numpy(zero_copy_only=False)
+        if len(flat):
+            yield pa.RecordBatch.from_arrays([pa.array([flat.astype("<f8").tobytes()], pa.binary())], names=["block"])
+
+
 def _points(frames: Iterator[pa.RecordBatch], width: int) -> Iterator[Array]:
     for frame in frames:
-        flat = frame.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-        for i in range(0, len(flat), ROWS):
-            yield flat[i : i + ROWS]
+        for block in frame.column(0):
+            flat = np.frombuffer(block.as_buffer(), dtype="<f8").reshape(-1, width)
+            for i in range(0, len(flat), ROWS):
+                yield flat[i : i + ROWS]
 
 
 def _squares(x: Array, centres: Array) -> Array:
@@ -57,39 +68,55 @@ def _uniform(x: Array, salt: int) -> Array:
 
 
 SUMS = "model int, cluster int, n long, cost double, sums array<double>"
+BLOCKS = "block binary"
 
 
 def _sums(models: Sequence[tuple[int, Array]], width: int):
     """Per model and centre: points nearest to it, their sum and squared distances."""
+    # Models of as many centres lie together and are compared centre by centre, all at once.
+    models = sorted(models, key=lambda m: len(m[1]))
+    sizes = [len(c) for _, c in models]
     stacked = np.concatenate([c for _, c in models])
-    ends = np.cumsum([len(c) for _, c in models])
+    squared, twice = (stacked * stacked).sum(axis=1)[:, None], 2 * stacked
+    spans, begin = [], 0
+    for k in sorted(set(sizes)):
+        spans.append((begin, begin + k * sizes.count(k), k))
+        begin = spans[-1][1]
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, cost, total = np.zeros(len(stacked), dtype=np.int64), np.zeros(len(stacked)), np.zeros(stacked.shape)
+        # The last column counts.
+        total, cost = np.zeros((len(stacked), width + 1)), np.zeros(len(models))
         for x in _points(frames, width):
-            squares = _squares(x, stacked)
-            for (_, c), end in zip(models, ends, strict=True):
-                begin = end - len(c)
-                own = squares[:, begin:end]
-                near = own.argmin(axis=1)
-                mark = np.zeros(own.shape)
-                mark[np.arange(len(x)), near] = 1.0
-                n[begin:end] += mark.sum(axis=0).astype(np.int64)
-                cost[begin:end] += (mark * own).sum(axis=0)
-                total[begin:end] += mark.T @ x
-        model = np.repeat([i for i, _ in models], [len(c) for _, c in models]).astype(np.int32)
-        cluster = np.concatenate([np.arange(len(c)) for _, c in models]).astype(np.int32)
+            squares = twice @ x.T
+            np.subtract((x * x).sum(axis=1), squares, out=squares)
+            squares += squared
+            np.maximum(squares, 0.0, out=squares)
+            first = 0
+            for begin, end, k in spans:
+                own = squares[begin:end].reshape(-1, k, len(x))
+                best = own.min(axis=1)
+                cost[first : first + len(own)] += best.sum(axis=1)
+                first += len(own)
+                mark = own == best[:, None]
+                if np.count_nonzero(mark) != best.size:  # several as near: the first of them
+                    mark = own.argmin(axis=1)[:, None] == np.arange(k)[:, None]
+                own[...] = mark  # the distances are done with
+            total += squares @ np.column_stack([x, np.ones(len(x))])
+        model = np.repeat([i for i, _ in models], sizes).astype(np.int32)
+        cluster = np.concatenate([np.arange(k) for k in sizes]).astype(np.int32)
+        # A model's cost stands with its first centre.
+        costs = np.where(cluster == 0, np.repeat(cost, sizes), 0.0)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(model), pa.array(cluster), pa.array(n), pa.array(cost), pa.array(list(total), pa.list_(pa.float64()))],
+            [pa.array(model), pa.array(cluster), pa.array(total[:, -1].astype(np.int64)), pa.array(costs), pa.array(list(total[:, :-1]), pa.list_(pa.float64()))],
             names=["model", "cluster", "n", "cost", "sums"],
         )
 
     return run
 
 
-def one_pass(points: DataFrame, models: Sequence[tuple[int, Array]], width: int) -> dict[int, tuple[Array, Array, float]]:
-    """Per model: points and their sum for each centre, and the cost. ``points`` has one column, an array of doubles."""
-    parts = points.mapInArrow(_sums(models, width), SUMS).groupBy("model", "cluster")
+def one_pass(blocks: DataFrame, models: Sequence[tuple[int, Array]], width: int) -> dict[int, tuple[Array, Array, float]]:
+    """Per model: points and their sum for each centre, and the cost. ``blocks`` has one column, packed points."""
+    parts = blocks.mapInArrow(_sums(models, width), SUMS).groupBy("model", "cluster")
     rows = parts.agg(
         F.sum("n").alias("n"), F.sum("cost").alias("cost"), F.array(*[F.sum(F.col("sums")[i]) for i in range(width)]).alias("sums")
     ).collect()
@@ -117,19 +144,19 @@ def _drawn(candidates: Sequence[Array], chances: Sequence[float], width: int, sa
     return run
 
 
-def _seeds(points: DataFrame, width: int, restarts: int, most: int, seed: int, rounds: int = 2) -> list[tuple[Array, Array]]:
+def _seeds(points: DataFrame, blocks: DataFrame, width: int, restarts: int, most: int, seed: int, rounds: int = 2) -> list[tuple[Array, Array]]:
     """Per restart: distinct candidates, about four times ``most`` for each round, and how many points are nearest to each."""
     first = points.agg(*[F.min_by("features", F.xxhash64("features", F.lit(seed + r))).alias(f"r{r}") for r in range(restarts)]).first()
     candidates = [np.array([p]) for p in first]
-    found = one_pass(points, list(enumerate(candidates)), width)
+    found = one_pass(blocks, list(enumerate(candidates)), width)
     # Expected draws per round: the chance of a point is its share of the cost times this number.
     chances = [4 * most / cost if cost > 0 else 0.0 for _, _, cost in (found[r] for r in range(restarts))]
     for i in range(rounds):
-        drawn = points.mapInArrow(_drawn(candidates, chances, width, seed + restarts * (i + 1)), "restart int, point array<double>").distinct()
+        drawn = blocks.mapInArrow(_drawn(candidates, chances, width, seed + restarts * (i + 1)), "restart int, point array<double>").distinct()
         for r in drawn.collect():
             candidates[r.restart] = np.vstack([candidates[r.restart], r.point])
         candidates = [np.unique(c, axis=0) for c in candidates]
-    weights = one_pass(points, list(enumerate(candidates)), width)
+    weights = one_pass(blocks, list(enumerate(candidates)), width)
     return [(c, weights[r][0]) for r, c in enumerate(candidates)]
 
 
@@ -156,21 +183,25 @@ def fit_all(points: DataFrame, sizes: Sequence[int], restarts: int = 10, seed: i
     if head is None:
         return []
     width = len(head[0])
-    seeds = _seeds(points, width, restarts, max(sizes), seed)
     jobs = [(k, r) for k in sizes for r in range(restarts)]
-    places = {i: _chosen(*seeds[r], k, seed + 1000 * k + r) for i, (k, r) in enumerate(jobs)}
-    passes = dict.fromkeys(places, 0)
-    moving = set(places)
-    for _ in range(most):
-        if not moving:
-            break
-        for i, (n, total, _) in one_pass(points, [(i, places[i]) for i in sorted(moving)], width).items():
-            new = np.where(n[:, None] > 0, total / np.maximum(n, 1)[:, None], places[i])
-            shift = np.sqrt(((new - places[i]) ** 2).sum(axis=1)).max()
-            places[i], passes[i] = new, passes[i] + 1
-            if shift <= settled:
-                moving.discard(i)
-    last = one_pass(points, sorted(places.items()), width)
+    blocks = points.mapInArrow(_packed, BLOCKS).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        seeds = _seeds(points, blocks, width, restarts, max(sizes), seed)
+        places = {i: _chosen(*seeds[r], k, seed + 1000 * k + r) for i, (k, r) in enumerate(jobs)}
+        passes = dict.fromkeys(places, 0)
+        moving = set(places)
+        for _ in range(most):
+            if not moving:
+                break
+            for i, (n, total, _) in one_pass(blocks, [(i, places[i]) for i in sorted(moving)], width).items():
+                new = np.where(n[:, None] > 0, total / np.maximum(n, 1)[:, None], places[i])
+                shift = np.sqrt(((new - places[i]) ** 2).sum(axis=1)).max()
+                places[i], passes[i] = new, passes[i] + 1
+                if shift <= settled:
+                    moving.discard(i)
+        last = one_pass(blocks, sorted(places.items()), width)
+    finally:
+        blocks.unpersist()
     # Centres in rising order of their coordinates, so that a cluster's number means something.
     ordered = {i: c[np.lexsort(np.round(c, 6).T[::-1])] for i, c in places.items()}
     return [Centres(k, r, ordered[i], last[i][2], passes[i]) for i, (k, r) in enumerate(jobs)]

@@ -3,6 +3,7 @@
 import itertools
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
@@ -71,3 +72,32 @@ def test_nearest_is_the_first_of_equals(spark):
     df = spark.createDataFrame([([0.0, 0.0],), ([2.0, 0.0],), ([1.0, 0.0],)], "features array<double>")
     got = df.select(clusters.nearest(F.col("features"), np.array([[0.0, 0.0], [2.0, 0.0]])).alias("c"))
     assert [r.c for r in got.collect()] == [0, 1, 0]
+
+
+def test_passes_read_packed_points_that_are_kept(spark, blobs, monkeypatch):
+    seen, real = set(), clusters.one_pass
+
+    def looked(df, models, width):
+        seen.add((str(df.dtypes), df.storageLevel.useMemory))
+        return real(df, models, width)
+
+    monkeypatch.setattr(clusters, "one_pass", looked)
+    clusters.fit_all(points(spark, blobs), [2, 3], restarts=2)
+    assert seen == {("[('block', 'binary')]", True)}
+
+
+def test_sums_of_models_of_several_sizes(monkeypatch):
+    monkeypatch.setattr(clusters, "ROWS", 7)
+    x = np.random.default_rng(1).integers(0, 4, size=(50, 2)).astype(float)
+    # Centres on the grid: many points are as near to several, some of which are equal.
+    models = [(5, np.array([[0.0, 0.0], [2.0, 0.0], [2.0, 0.0]])), (2, np.array([[1.0, 1.0]])), (9, np.array([[0.0, 2.0], [2.0, 2.0], [3.0, 3.0]]))]
+    frame = pa.RecordBatch.from_arrays([pa.array(x.tolist(), pa.list_(pa.float64()))], names=["features"])
+    got = next(clusters._sums(models, 2)(clusters._packed(iter([frame, frame.slice(0, 0)])))).to_pylist()
+    assert [(r["model"], r["cluster"]) for r in got] == [(2, 0), (5, 0), (5, 1), (5, 2), (9, 0), (9, 1), (9, 2)]
+    for i, c in models:
+        squares = ((x[:, None] - c) ** 2).sum(axis=2)
+        near = squares.argmin(axis=1)
+        own = [r for r in got if r["model"] == i]
+        assert [r["n"] for r in own] == [(near == j).sum() for j in range(len(c))]
+        assert [r["sums"] for r in own] == [x[near == j].sum(axis=0).tolist() for j in range(len(c))]
+        assert sum(r["cost"] for r in own) == squares.min(axis=1).sum()
