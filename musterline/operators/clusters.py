@@ -18,8 +18,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Points whose distances to all centres are held at a time; they should stay in the cache of a core.
-ROWS = 1024
+#: Points whose distances to all centres are held at a time.
+ROWS = 4096
 
 Array = np.ndarray
 
@@ -74,10 +74,12 @@ BLOCKS = "block binary"
 def _sums(models: Sequence[tuple[int, Array]], width: int):
     """Per model and centre: points nearest to it, their sum and squared distances."""
     # Models of as many centres lie together and are compared centre by centre, all at once.
-    models = sorted(models, key=lambda m: len(m[1]))
+    given = np.concatenate([c for _, c in models])
+    ends = np.cumsum([len(c) for _, c in models])
+    ranked = sorted(range(len(models)), key=lambda m: len(models[m][1]))
+    order = np.concatenate([np.arange(ends[m] - len(models[m][1]), ends[m]) for m in ranked])
+    models = [models[m] for m in ranked]
     sizes = [len(c) for _, c in models]
-    stacked = np.concatenate([c for _, c in models])
-    squared, twice = (stacked * stacked).sum(axis=1)[:, None], 2 * stacked
     spans, begin = [], 0
     for k in sorted(set(sizes)):
         spans.append((begin, begin + k * sizes.count(k), k))
@@ -85,12 +87,9 @@ def _sums(models: Sequence[tuple[int, Array]], width: int):
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # The last column counts.
-        total, cost = np.zeros((len(stacked), width + 1)), np.zeros(len(models))
+        total, cost = np.zeros((len(given), width + 1)), np.zeros(len(models))
         for x in _points(frames, width):
-            squares = twice @ x.T
-            np.subtract((x * x).sum(axis=1), squares, out=squares)
-            squares += squared
-            np.maximum(squares, 0.0, out=squares)
+            squares = np.ascontiguousarray(_squares(x, given).T[order])
             first = 0
             for begin, end, k in spans:
                 own = squares[begin:end].reshape(-1, k, len(x))

@@ -93,7 +93,7 @@ def _fit(
     """Fit on the rows not marked as test; iterative trainers checkpoint to the shared folder.
 
     ``codes`` are categories whose codes are learnt as the first stage; a value not seen then has a code of its own.
-    ``pool`` names the label of a regressor that reads ``weight``: rows with equal features are then ``pooled``.
+    ``pool`` names the label of a regressor that reads ``weight``: rows are then ``pooled`` if that at least halves them.
     """
     context = marked.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
@@ -101,14 +101,21 @@ def _fit(
     made = [f"{c}{suffix}" for c in codes]
     given = tuple(f for f in features if f not in made)
     first = [FE.indexer(codes, suffix)] if codes else []
-    kept = _filled(marked, given)
-    if pool:
-        kept = pooled(kept.filter(~F.col("is_test")), [*codes, *given], pool)
-    kept = kept.persist(StorageLevel.MEMORY_AND_DISK)
+    filled = _filled(marked, given)
+    kept = (pooled(filled.filter(~F.col("is_test")), [*codes, *given], pool) if pool else filled).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-        # Every level of every tree is a job: no more tasks than the pooled rows are worth.
-        train = kept.coalesce(max(1, math.ceil(kept.count() / ROWS))) if pool else kept.filter(~F.col("is_test"))
+        groups, rows = kept.agg(F.count(F.lit(1)), F.coalesce(F.sum("weight"), F.lit(0.0))).first() if pool else (0, 0)
+        if pool and rows >= 2 * groups:
+            # Every level of every tree is a job: no more tasks than the pooled rows are worth.
+            train = kept.coalesce(max(1, math.ceil(groups / ROWS)))
+        elif pool:
+            # Hardly any features are equal: the rows themselves.
+            kept.unpersist()
+            kept = filled.withColumn("weight", F.lit(1.0)).persist(StorageLevel.MEMORY_AND_DISK)
+            train = kept.filter(~F.col("is_test"))
+        else:
+            train = kept.filter(~F.col("is_test"))
         model = Pipeline(stages=[*first, assembler, *stages]).fit(train)
     finally:
         kept.unpersist()
